@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridrisk.llm import language_id, quality_rules, sharding
+from gridrisk.llm import hmm, language_id, near_dedup, quality_classifier, quality_rules, sharding, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": suffix_dedup.query,
+        "op2_quality_classifier": quality_classifier.query,
+        "op3_hmm_scoring": hmm.query,
         "op4_quality_rules": quality_rules.query,
         "op5_sharding": sharding.query,
+        "op6_near_dedup": near_dedup.query,
         "op9_language_id": language_id.query,
     }
 
