@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridrisk.llm import hmm, language_id, near_dedup, quality_classifier, quality_rules, sharding, suffix_dedup
+from gridrisk.llm import decontaminate, hmm, language_id, licenses, near_dedup, quality_classifier, quality_rules, sentencepiece_bpe, sharding, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,9 +17,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_rules": quality_rules.query,
         "op5_sharding": sharding.query,
         "op6_near_dedup": near_dedup.query,
+        "op7_license_scan": licenses.query,
+        "op8_decontamination": decontaminate.query,
         "op9_language_id": language_id.query,
+        "op10_sentencepiece": sentencepiece_bpe.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_license_scan": licenses.SQL, "op8_decontamination": decontaminate.SQL}

@@ -79,13 +79,17 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
-def words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first) of the words [^\\x20\\x09-\\x0D]+; words first[d]:first[d+1] are those of document d."""
+#: Blanks, ASCII marks and control characters.
+MARKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
+
+
+def words(raw: np.ndarray, offs: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first) of the words [^\\x20\\x09-\\x0D]+ (or what lies between other bytes); words first[d]:first[d+1] are those of document d."""
     n = len(raw)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs), np.int64)
-    ink = ~_SPACE[raw]
+    ink = ~between[raw]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offs] = True
     left = ink.copy()
