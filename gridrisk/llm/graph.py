@@ -8,21 +8,21 @@ from pyspark.sql import functions as F
 from gridrisk.llm.textops import stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every larger node has one edge, to a node that has none to a smaller one."""
+    ends = edges.select(F.col("u").alias("k"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("k"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("k").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has an edge to another one."""
     now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
-    state = _state(now)
-    while True:
+    while not _settled(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = stored(large.distinct(), "edges")
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        now = stored(small, "edges")
-        before, state = state, _state(now)
-        if state == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v")))
+        now = stored(small.distinct(), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -9,9 +9,9 @@ the result is the connected components of all links found.
    tokens) picks one or two signature places (1 / 0.85 on average), and its
    classes go on to the children named by the tokens that they have there.
    Nodes of LEAF classes or fewer, and those at MAX_DEPTH, are compared
-   exhaustively on signatures and give a spanning forest of candidate links.
-3. Candidate clusters (components of that forest) get their whole texts, and all
-   pairs in a cluster that aren't connected yet are confirmed on full sets.
+   exhaustively on signatures; what is similar there, directly or by others, is a candidate cluster.
+3. Each distinct candidate cluster gets its whole texts, and all
+   pairs in it that aren't connected yet are confirmed on full sets.
 
 Larger nodes and clusters than BLOCK are dealt out as pairs of blocks, so that a
 task holds two blocks at most; no pair is left out. A pair of similarity 0.85
@@ -35,7 +35,9 @@ from pyspark.sql import types as T
 from gridrisk.llm.graph import components
 from gridrisk.llm.textops import U64, Prints, column_bytes, lower_ascii, mix, shingles, slices, stored, words
 
-WORDS, PERCENT, PLACES, TREES, LEAF, MAX_DEPTH, BLOCK = 5, 85, 64, 10, 256, 8, 2048
+WORDS, PERCENT, PLACES, TREES, LEAF, MAX_DEPTH, BLOCK = 5, 85, 64, 10, 4096, 4, 4096
+#: Candidate ids are told to the scan of the texts as hashes of so many values: that is the bound of what is broadcast.
+ID_HASHES = 1 << 20
 _MUL = mix(np.arange(1, PLACES + 1, dtype=U64)) | U64(1)
 _ADD = mix(np.arange(1001, PLACES + 1001, dtype=U64))
 
@@ -95,32 +97,23 @@ def _children(paths: np.ndarray, sig: np.ndarray, row: np.ndarray) -> tuple[np.n
     return row[who], mix(paths[who] * U64(0x9E3779B97F4A7C15) + mix(sig[row[who], place].astype(U64) * U64(PLACES) + place.astype(U64)))
 
 
-class Forest:
-    """Union-find over the members of one group."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-
-    def join(self, i: int, j: int) -> None:
-        a, b = self.root[i], self.root[j]
-        self.root[self.root == max(a, b)] = min(a, b)
-
-
-def _spanning(sig: np.ndarray, side: np.ndarray, least: int, confirm: Callable[[int, int], bool] | None) -> list[tuple[int, int]]:
-    """Links that connect all members that similar signatures (and confirm) connect. Sides 0 and 1: pairs across only; -1: all pairs."""
-    n, out, forest = len(sig), [], Forest(len(sig))
-    values = np.sort(sig, axis=0)
-    middle = values[n // 2] if n > 2 else sig[0]
+def _spanning(sig: np.ndarray, side: np.ndarray, least: int, confirm: Callable[[int, int], bool] | None, root: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect all members that similar signatures (and confirm) connect; root gets the component of each. Sides 0 and 1: pairs across only; -1: all pairs."""
+    out = []
+    middle = np.sort(sig, axis=0)[len(sig) // 2]
     order = np.argsort(-(sig == middle).sum(axis=1), kind="stable")  # likely hubs first
     for nth, i in enumerate(order[:-1]):
         rest = order[nth + 1 :]
-        rest = rest[(forest.root[rest] != forest.root[i]) & ((side[i] < 0) | (side[rest] != side[i]))]
-        if not len(rest):
-            continue
+        rest = rest[(root[rest] != root[i]) & ((side[i] < 0) | (side[rest] != side[i]))]
         near = rest[(sig[rest] == sig[i]).sum(axis=1) >= least]
+        if confirm is None:  # all of them join at once
+            if len(near):
+                joined = np.isin(root, root[np.append(near, i)])
+                root[joined] = root[joined].min()
+            continue
         for j in near:
-            if forest.root[j] != forest.root[i] and (confirm is None or confirm(i, j)):
-                forest.join(i, j)
+            if root[j] != root[i] and confirm(i, j):
+                root[root == max(root[i], root[j])] = min(root[i], root[j])
                 out.append((i, j))
     return out
 
@@ -153,8 +146,8 @@ def _in_blocks(rows: DataFrame, group: str, size: DataFrame, *columns: str) -> D
     )
 
 
-def _candidate_links(reps: DataFrame, trees: int, least: int) -> DataFrame:
-    """(a, b): links that connect the classes that meet in a node and have similar signatures."""
+def _clusters(reps: DataFrame, trees: int, least: int) -> DataFrame:
+    """(cluster, side, rep): the classes that meet in a node and have similar signatures."""
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,9 +167,14 @@ def _candidate_links(reps: DataFrame, trees: int, least: int) -> DataFrame:
         for g in _groups(batches):
             g = g.combine_chunks()
             ids, side = np.asarray(g["rep"]), np.asarray(g["side"])
-            got = _spanning(_matrix(g["sig"]), side, least, None)
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(ids[[i for i, _ in got]]), pa.array(ids[[j for _, j in got]])], names=["a", "b"])
+            root = np.arange(len(ids))
+            _spanning(_matrix(g["sig"]), side, least, None, root)
+            for r in np.flatnonzero(np.bincount(root, minlength=len(ids)) > 1):
+                own = np.flatnonzero(root == r)
+                # by the members: the same cluster of another tree is the same group
+                member = ids[own].astype(U64) ^ (side[own].astype(U64) << U64(60))
+                name = mix(mix(member).sum(keepdims=True) + mix(mix(member) ^ U64(99)).sum(keepdims=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, len(own)).view(np.int64)), pa.array(side[own]), pa.array(ids[own])], names=["cluster", "side", "rep"])
 
     level = stored(reps.select("rep", "sig").mapInArrow(plant, "rep bigint, path bigint"), "paths")
     out = None
@@ -184,7 +182,7 @@ def _candidate_links(reps: DataFrame, trees: int, least: int) -> DataFrame:
         nodes = stored(level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "nodes")
         last = depth == MAX_DEPTH
         leaves = _in_blocks(level, "path", nodes if last else nodes.where(F.col("size") <= LEAF)).join(reps.select("rep", "sig"), "rep").select("unit", "side", "rep", "sig")
-        links = stored(leaves.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "a bigint, b bigint").distinct(), "links")
+        links = stored(leaves.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "cluster bigint, side int, rep bigint").distinct(), "clusters")
         out = links if out is None else out.unionByName(links)
         large = nodes.where(F.col("size") > LEAF)
         if last or large.isEmpty():
@@ -199,7 +197,6 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, doc_id: str, text: str, k:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches):
-            g = g.combine_chunks()
             ids, side = np.asarray(g["rep"]), np.asarray(g["side"])
             chunks = [shingle_sets(c, k) for c in g["_text"].chunks]
             sets = [s[o[i] : o[i + 1]] for s, o in chunks for i in range(len(o) - 1)]
@@ -213,14 +210,16 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, doc_id: str, text: str, k:
                 common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 return 100 * common >= percent * (len(x) + len(y) - common)
 
-            got = _spanning(sig, side, least, linked)
+            got = _spanning(sig, side, least, linked, np.arange(len(ids)))
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[[i for i, _ in got]]), pa.array(ids[[j for _, j in got]])], names=["a", "b"])
 
-    size = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     own = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("_text"))
-    rows = _in_blocks(clusters.withColumnRenamed("node", "rep"), "component", size).join(own, "rep").select("unit", "side", "rep", "_text")
-    return stored(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "a bigint, b bigint").where("a <> b").distinct(), "confirmed")
+    bucket = F.pmod(F.xxhash64("rep"), F.lit(ID_HASHES)).alias("bucket")
+    wanted = F.broadcast(clusters.select(bucket).distinct())  # ID_HASHES rows at most
+    own = own.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").select("rep", "_text")
+    rows = clusters.join(own.hint("merge"), "rep").select("cluster", "side", "rep", "_text")
+    return rows.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(compare, "a bigint, b bigint").where("a <> b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT, trees: int = TREES) -> DataFrame:
@@ -230,8 +229,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     alive = drawn.where("n_shingles > 0 and doc_id is not null")
     classes = stored(alive.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "classes")
     least = int(PLACES * (percent / 100 - 0.225))  # five standard deviations below the threshold
-    clusters = stored(components(_candidate_links(classes, trees, least)), "clusters")
-    found = components(_confirmed(docs, clusters, doc_id, text, k, percent, least))
+    found = components(_confirmed(docs, _clusters(classes, trees, least), doc_id, text, k, percent, least))
     of_class = classes.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("reach"))
     reach = drawn.join(of_class, same, "left").withColumn("reach", F.when(F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id")))
     return reach.select("doc_id", "n_shingles", F.col("reach").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("reach"), F.lit(True)).alias("kept"))
