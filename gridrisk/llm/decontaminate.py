@@ -27,13 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridrisk.llm.textops import MARKS, U64, Prints, column_bytes, lower_ascii, shingles, slices, words
 
 ITEMS, BLOCK, THRESHOLD, OVERLAP, PART_OVERLAP, WORDS = 4000, 8, 0.6, 0.8, 0.5, 5
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id bigint, item_id bigint, score double, n_item bigint, n_shared bigint, n_question bigint, question_shared bigint, n_answer bigint, answer_shared bigint"
+NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 
 
 def _hashed(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,36 +157,62 @@ def _search(index: Index, h: np.ndarray, first: np.ndarray, threshold: float) ->
     return [(d, i, s) for (d, i), s in sorted(best.items())]
 
 
+def _indexes(items: DataFrame, item_id: str, item_text: str, items_at_once: int) -> Iterator[Index]:
+    """Indexes of all items, about items_at_once at a time."""
+    items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
+    blocks = max(1, -(-items.count() // items_at_once))
+    for block in range(blocks):
+        got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).orderBy("i", "t").collect()
+        yield build_index([r["i"] for r in got], [r["t"] for r in got])
+
+
+def confirmed(index: Index, col: pa.Array, threshold: float = THRESHOLD) -> list[tuple]:
+    """(row, item's place, score, then size and shared shingles of the item, its question and its answer) of all confirmed hits."""
+    h, first, _ = _hashed(*column_bytes(col))
+    rows = []
+    for d, i, s in _search(index, h, first, threshold):
+        grams, _ = shingles(h[first[d] : first[d + 1]], np.array([0, first[d + 1] - first[d]]), WORDS)
+        size = [len(g) for g in index.grams[i]]
+        shared = [int(np.isin(g, grams).sum()) for g in index.grams[i]]
+        parts = all(n < 2 or k >= PART_OVERLAP * n for k, n in zip(shared[1:], size[1:], strict=True))
+        if shared[0] >= OVERLAP * size[0] and parts:
+            rows.append((d, i, s, *(x for pair in zip(size, shared, strict=True) for x in pair)))
+    return rows
+
+
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, items_at_once: int = ITEMS) -> DataFrame:
     """A row for each document and test item that it holds, with the passage score and the shared shingles."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
-    blocks = max(1, -(-items.count() // items_at_once))
     out = None
-    for block in range(blocks):
-        got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).orderBy("i", "t").collect()  # about items_at_once rows
-        index = build_index([r["i"] for r in got], [r["t"] for r in got])
+    for index in _indexes(items, item_id, item_text, items_at_once):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "_text"):
-                raw, offs = column_bytes(b.column(1))
-                h, first, _ = _hashed(raw, offs)
-                rows = []
                 ids = b.column(0).to_pylist()
-                for d, i, s in _search(index, h, first, threshold):
-                    grams, _ = shingles(h[first[d] : first[d + 1]], np.array([0, first[d + 1] - first[d]]), WORDS)
-                    shared = [int(np.isin(g, grams).sum()) for g in index.grams[i]]
-                    size = [len(g) for g in index.grams[i]]
-                    if shared[0] >= OVERLAP * size[0] and all(n < 2 or k >= PART_OVERLAP * n for k, n in zip(shared[1:], size[1:], strict=True)):
-                        rows.append((ids[d], index.ids[i], s, size[0], shared[0], size[1], shared[1], size[2], shared[2]))
+                rows = [(ids[d], index.ids[i], *rest) for d, i, *rest in confirmed(index, b.column(1), threshold)]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64() if n == 2 else pa.int64()) for n, x in enumerate(zip(*rows, strict=True))], names=[x.split()[0] for x in SCHEMA.split(", ")])
+                    cols = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64() if n == 2 else pa.int64()) for n, x in enumerate(cols)], names=NAMES)
 
-        found = own.mapInArrow(run, T._parse_datatype_string(SCHEMA))
+        found = own.mapInArrow(run, SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, items_at_once: int = ITEMS) -> DataFrame:
+    """docs without the rows that hold a test item."""
+    for index in _indexes(items, item_id, item_text, items_at_once):
+
+        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, text):
+                keep = np.ones(b.num_rows, bool)
+                keep[[x[0] for x in confirmed(index, b.column(b.schema.get_field_index(text)), threshold)]] = False
+                yield b.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: every document and test item that it holds."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))

@@ -28,9 +28,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridrisk.llm.graph import components
 from gridrisk.llm.textops import U64, Prints, column_bytes, lower_ascii, mix, shingles, slices, stored, words
@@ -235,6 +234,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return reach.select("doc_id", "n_shingles", F.col("reach").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("reach"), F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """docs with one row for each component (the smallest id's first row) and all rows without id."""
+    gone = near_duplicates(docs, doc_id, text, **settings).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col(doc_id).cast("long") == F.col("_gone"), "left_anti")
+    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text)))
+    named = left.where(F.col(doc_id).isNotNull()).withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return named.unionByName(left.where(F.col(doc_id).isNull()))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: near-duplicate components of all documents at similarity 0.85."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
