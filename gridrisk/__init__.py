@@ -1,0 +1 @@
+"""Gridded climate-risk and exposure analytics on Spark: long cell tables in, DataFrames out."""
