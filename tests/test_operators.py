@@ -174,3 +174,18 @@ def test_io_round_trip(spark, tmp_path):
 def test_fixture_medium_has_incomplete_seasons(spark):
     got = plans.queries()["w01_rolling_seasons"](spark, MEDIUM)
     assert not got.where("not complete").isEmpty()
+
+
+def test_incremental_stream(spark, tmp_path):
+    from gridrisk.streaming import incremental
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet").select("ts", "event_type", "value")
+    early, late = events.where("day(ts) <= 10"), events.where("day(ts) > 10")
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    for part in (early, late):
+        part.coalesce(1).write.mode("append").parquet(src)
+        incremental.run_available(incremental.hot_days(incremental.daily_stream(spark, src, "ts timestamp, event_type string, value double"), [30.0], "1 day"), out, ck)
+    done = spark.read.parquet(out)
+    want = events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("value") > 30).cast("long")).alias("above_30"))
+    finished = done.agg(F.max("day")).first()[0]
+    assert sorted(map(tuple, done.collect())) == sorted(tuple(r) for r in want.where(F.col("day") <= F.lit(finished)).collect())
