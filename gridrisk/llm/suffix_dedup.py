@@ -2,24 +2,24 @@
 
 A byte goes if a string of LENGTH bytes that covers it also starts in a document
 with a smaller id. Prefix doubling sorts positions by the pair (rank of the
-first h bytes, rank of the h bytes after them) and goes on with 2h for positions
+first h bytes, rank of what follows them) and goes on with longer prefixes for positions
 whose rank isn't unique yet, until unique or past the threshold. Here:
 
-* h = LENGTH / 2. Ranks of h-byte prefixes are named by 64-bit fingerprints inside a task,
-  as shorter prefixes would hardly rule out a position. Only minimizer
-  positions enter (the least name of every LENGTH-byte window: equal windows
-  have equal minimizers), about 1 in 13 bytes.
-* Round 1 sorts positions by (rank, rank of the surroundings). A rank within one
-  document is unique and drops out. If the whole surroundings, h before to
-  LENGTH after, occur in a smaller id, every window in them is settled at once.
-* Round 2 doubles: for the positions left (at the ends of repeats), all windows
-  i around them are sorted by the pair (rank at i, rank at i + h), past the threshold.
+* Ranks of the first h = GRAM bytes are named by 64-bit fingerprints inside a task,
+  as shorter prefixes would hardly rule out a position. Only minimizers enter: the least
+  name in every LENGTH-byte window (equal windows have equal minimizers), about 1 position in
+  16. A run of windows with the same minimizer is one row.
+* Round 1 sorts the runs by (name, fingerprint of the whole run). A name within one
+  document only is unique and drops out. If the whole run occurs in a smaller id, all of its windows are settled at once.
+* Round 2 goes past the threshold for the runs left, at the ends of repeats: sorted by (name, id), each
+  carries its own bytes (under 2 LENGTH), and its windows are ranked by the pair (name, fingerprint of LENGTH bytes).
 
-Names are 64 bits wide and always compared in pairs (128 bits).
+Fingerprints are thus always compared in pairs of 64 bits.
 
 Defined results: null and empty texts have no bytes and lose none; a row without id
 neither loses bytes nor takes them from others; rows with equal ids don't take
-bytes from each other, and each repeated row is reported. Columns named like the results are
+bytes from each other, and each repeated row is reported (rows of one id with different texts are
+told apart by 16 bits of a text hash). Columns named like the results are
 replaced. Cuts can split a UTF-8 character: `kept` is binary.
 """
 
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from gridrisk.llm.textops import U64, Prints, column_bytes, mix, passed, slices, stored
 
-LENGTH = 50
+LENGTH, GRAM = 50, 20
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -49,83 +49,121 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
 
-def anchors(raw: np.ndarray, offs: np.ndarray, length: int) -> dict[str, np.ndarray]:
-    """The minimizer positions of every window of a buffer of documents: doc, name, around (fingerprint), lo and hi (the surroundings, from the document's start)."""
-    n, h = len(raw), length // 2
-    w = length - h + 1
+def runs(raw: np.ndarray, offs: np.ndarray, length: int, gram: int) -> dict[str, np.ndarray]:
+    """Runs of windows with the same minimizer in a buffer of documents: doc, name, whole (the fingerprint), lo and size (bytes, from the document's start)."""
+    n = len(raw)
     if n < length:
-        return {k: np.zeros(0, U64 if k in ("name", "around") else np.int64) for k in ("doc", "name", "around", "lo", "hi")}
+        return {k: np.zeros(0, U64 if k in ("name", "whole") else np.int64) for k in ("doc", "name", "whole", "lo", "size")}
     prints = Prints(raw)
-    names = prints.windows(h)
-    least = _sliding(names, w, np.minimum)
-    end = np.repeat(offs[1:], np.diff(offs))
-    least[np.arange(n - length + 1) + length > end[: n - length + 1]] = 0
-    pad = np.zeros(w - 1, U64)
-    held = _sliding(np.concatenate([pad, least, pad]), w, np.maximum)
-    at = np.flatnonzero((held == names) & (held > 0))
-    doc = np.searchsorted(offs, at, side="right") - 1
-    lo, hi = np.maximum(offs[doc], at - (w - 1)), np.minimum(offs[doc + 1], at + length)
-    around = mix(prints.of(lo, hi) ^ (at - lo).astype(U64) * U64(0x9E3779B97F4A7C15))
-    return {"doc": doc, "name": names[at], "around": around, "lo": lo - offs[doc], "hi": hi - offs[doc]}
-
-
-def _starts(lists: pa.Array, offs: np.ndarray, length: int) -> np.ndarray:
-    """Distinct positions in the buffer where the windows of the listed ranges start."""
-    flat, count = lists.flatten(), np.asarray(lists.value_lengths())
-    base = np.repeat(offs[:-1], count)
-    lo, hi = base + np.asarray(flat.field("lo")), base + np.asarray(flat.field("hi")) - length + 1
-    edge = np.zeros(offs[-1] + 2, np.int32)
-    np.add.at(edge, lo, 1)
-    np.add.at(edge, hi, -1)
-    return np.flatnonzero(np.cumsum(edge) > 0)
+    least = _sliding(prints.windows(gram), length - gram + 1, np.minimum)
+    m = len(least)
+    valid = np.ones(m, bool)  # windows inside of a document
+    edge = np.zeros(n + 1, np.int32)
+    np.add.at(edge, np.maximum(offs[1:] - length + 1, offs[:-1]), 1)
+    np.add.at(edge, offs[1:], -1)
+    valid &= np.cumsum(edge)[:m] == 0
+    first = valid.copy()
+    first[1:] &= ~valid[:-1] | (least[1:] != least[:-1])
+    starts_doc = offs[:-1][offs[:-1] < m]
+    first[starts_doc] = valid[starts_doc]
+    last = valid.copy()
+    last[:-1] &= ~valid[1:] | first[1:]
+    lo, hi = np.flatnonzero(first), np.flatnonzero(last) + length
+    doc = np.searchsorted(offs, lo, side="right") - 1
+    return {"doc": doc, "name": least[lo], "whole": prints.of(lo, hi), "lo": lo - offs[doc], "size": hi - lo}
 
 
 def _tag(text: str) -> Column:
-    return F.hash(F.coalesce(F.col(text), F.lit("")))
+    return F.pmod(F.hash(F.coalesce(F.col(text), F.lit(""))), F.lit(1 << 16))
 
 
-def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """_id, _tag (of the text), lo, hi: byte ranges that repeat a smaller id's bytes; they may overlap."""
-    own = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("_id"), _tag(text).alias("_tag"), F.col(text).alias("_text")).where(F.octet_length("_text") >= length)
+def _texts(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
+    return docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("_id"), _tag(text).alias("_tag"), F.col(text).alias("_text")).where(F.octet_length("_text") >= length)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text"):
-            raw, offs = column_bytes(b.column(2))
-            got = anchors(raw, offs, length)
-            if len(got["doc"]):
-                ids, tags = np.asarray(b.column(0)), np.asarray(b.column(1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (got["name"].view(np.int64), got["around"].view(np.int64), ids[got["doc"]], tags[got["doc"]], got["lo"].astype(np.int32), got["hi"].astype(np.int32))], names=["name", "around", "_id", "_tag", "lo", "hi"]
-                )
 
-    found = own.mapInArrow(find, "name bigint, around bigint, _id bigint, _tag int, lo int, hi int")
-    rank, whole = Window.partitionBy("name"), Window.partitionBy("name", "around")
-    shared = found.withColumns({"first": F.min("_id").over(rank), "last": F.max("_id").over(rank), "one": F.min("around").over(rank) == F.max("around").over(rank)}).where("first < last")
-    round1 = shared.withColumn("settled", F.min("_id").over(whole) < F.col("_id")).where("settled or not one").select("_id", "_tag", "lo", "hi", "settled")
-    round1 = stored(round1, "suffix-round1")
+#: tag and start of a range in one number, which takes less room in a shuffle
+_TAG, _LO = "cast(at >> 40 AS int)", "cast(at & ((1L << 40) - 1) AS int)"
+
 
-    open_ = round1.where("not settled").groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi")).alias("_at"))
+def _round1(docs: DataFrame, doc_id: str, text: str, length: int, gram: int) -> DataFrame:
+    """Runs that occur in several documents: settled, or open to round 2."""
 
-    def double(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "_text"):
+            got = runs(*column_bytes(b.column(2)), length, gram)
+            if len(got["doc"]):
+                ids, tags = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64)
+                cols = got["name"].view(np.int64), got["whole"].view(np.int64), ids[got["doc"]], tags[got["doc"]] << 40 | got["lo"], got["size"].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["name", "whole", "_id", "at", "size"])
+
+    found = _texts(docs, doc_id, text, length).mapInArrow(find, "name bigint, whole bigint, _id bigint, at bigint, size int")
+    name, whole = Window.partitionBy("name"), Window.partitionBy("name", "whole")
+    shared = found.withColumns({"first": F.min("_id").over(name), "last": F.max("_id").over(name), "one": F.min("whole").over(name) == F.max("whole").over(name)}).where("first < last")
+    return shared.withColumn("settled", F.min("_id").over(whole) < F.col("_id")).where("settled or not one").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi", "if(settled, null, name) AS name")
+
+
+def _rank_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of windows that a smaller id has, from runs sorted by (name, id). Kept between batches: the distinct windows of the last name."""
+    held_name, held_hash, held_id = None, np.zeros(0, U64), np.zeros(0, np.int64)
+    for b in batches:
+        if not b.num_rows:
+            continue
+        name, ids, at = np.asarray(b.column(0)), np.asarray(b.column(1)), np.asarray(b.column(2))
+        raw, offs = column_bytes(b.column(3))
+        n = np.diff(offs) - length + 1
+        row = np.repeat(np.arange(len(n)), n)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        key = mix(Prints(raw).windows(length)[offs[row] + nth] ^ mix(name.view(U64))[row])
+        if held_name != name[0]:
+            held_hash, held_id = np.zeros(0, U64), np.zeros(0, np.int64)
+        keys, who = np.concatenate([held_hash, key]), np.concatenate([held_id, ids[row]])
+        order = np.lexsort((who, keys))
+        head = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
+        least = np.empty(len(keys), np.int64)
+        least[order] = who[order][np.maximum.accumulate(np.where(head, np.arange(len(keys)), 0))]
+        gone = least[len(held_hash) :] < ids[row]
+        held_name = name[-1]
+        own = order[head]
+        own = own[np.concatenate([np.full(len(held_hash), name[0] == held_name), name[row] == held_name])[own]]
+        held_hash, held_id = keys[own], who[own]
+        begin, end = gone.copy(), gone.copy()
+        begin[1:] &= ~gone[:-1] | (row[1:] != row[:-1])
+        end[:-1] &= ~gone[1:] | (row[1:] != row[:-1])
+        lo, hi = np.flatnonzero(begin), np.flatnonzero(end)
+        if len(lo):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[row[lo]], at[row[lo]] + nth[lo], (nth[hi] - nth[lo] + length).astype(np.int32))], names=["_id", "at", "size"])
+
+
+def _round2(docs: DataFrame, open_: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
+    """Ranges of open runs that occur in a smaller id."""
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text"):
             raw, offs = column_bytes(b.column(2))
-            at = _starts(b.column(3), offs, length)
-            names = Prints(raw).windows(length // 2)
-            doc = np.searchsorted(offs, at, side="right") - 1
-            ids, tags = np.asarray(b.column(0)), np.asarray(b.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (names[at].view(np.int64), names[at + length - length // 2].view(np.int64), ids[doc], tags[doc], (at - offs[doc]).astype(np.int32))], names=["name", "next", "_id", "_tag", "lo"]
-            )
+            runs_, count = b.column(3).flatten(), np.asarray(b.column(3).value_lengths())
+            lo, hi = np.asarray(runs_.field("lo")).astype(np.int64), np.asarray(runs_.field("hi")).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), count)
+            ids, tags, blob = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64), raw.tobytes()
+            part = [blob[x:y] for x, y in zip((offs[row] + lo).tolist(), (offs[row] + hi).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([runs_.field("name"), pa.array(ids[row]), pa.array(tags[row] << 40 | lo), pa.array(part, pa.binary())], names=["name", "_id", "at", "part"])
 
-    if length % 2:
-        raise ValueError("length must be even: it is twice h")
-    pairs = own.join(open_, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(double, "name bigint, next bigint, _id bigint, _tag int, lo int")
-    round2 = pairs.withColumn("first", F.min("_id").over(Window.partitionBy("name", "next"))).where("first < _id").select("_id", "_tag", "lo", (F.col("lo") + length).alias("hi"))
-    return stored(round1.where("settled").select("_id", "_tag", "lo", "hi").unionByName(round2), "suffix-ranges")
+    lists = open_.groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi", "name")).alias("_at"))
+    parts = _texts(docs, doc_id, text, length).join(lists, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(carry, "name bigint, _id bigint, at bigint, part binary")
+    ranked = parts.repartition("name").sortWithinPartitions("name", "_id").mapInArrow(lambda x: _rank_windows(x, length), "_id bigint, at bigint, size int")
+    return ranked.selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
+
+
+def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """_id, _tag (of the text), lo, hi: byte ranges that repeat a smaller id's bytes; they may overlap."""
+    if not 0 < gram <= length:
+        raise ValueError("gram must not be longer than length")
+    round1 = stored(_round1(docs, doc_id, text, length, gram), "suffix-round1")
+    round2 = stored(_round2(docs, round1.where("name is not null"), doc_id, text, length), "suffix-round2")
+    return round1.where("name is null").select("_id", "_tag", "lo", "hi").unionByName(round2)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, returns: tuple[str, ...] = RESULTS) -> DataFrame:
-    """docs with n_bytes, n_removed, n_spans and kept (what is left, binary); returns may add `kept_sha256` (lowercase hex)."""
+    """docs with n_bytes, n_removed, n_spans and kept (what is left, binary); returns may name `kept_sha256` (lowercase hex) and `kept_text` (what is left, without parts of cut characters; null stays null) too."""
     ranges = repeated_ranges(docs, doc_id, text, length).groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi")).alias("_at"))
     base = docs.drop(*returns)
     names = base.columns
@@ -153,10 +191,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             new = {"n_bytes": np.diff(offs), "n_removed": np.diff(upto[offs]), "n_spans": np.diff(spans[offs]), "kept": pa.array(kept, pa.binary())}
             if "kept_sha256" in returns:
                 new["kept_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())
+            if "kept_text" in returns:
+                null = b.column(b.schema.get_field_index(text)).is_null().to_pylist()
+                new["kept_text"] = pa.array([None if n else x.decode("utf-8", "ignore") for n, x in zip(null, kept, strict=True)], pa.string())
             out = passed(b.drop_columns(["_at"]), **{k: v for k, v in new.items() if k in returns})
             yield out.select([*names, *returns])
 
-    kinds = {"kept": T.BinaryType(), "kept_sha256": T.StringType()}
+    kinds = {"kept": T.BinaryType(), "kept_sha256": T.StringType(), "kept_text": T.StringType()}
     return joined.select(*names, "_at").mapInArrow(cut, T.StructType([*base.schema.fields, *(T.StructField(c, kinds.get(c, T.LongType())) for c in returns)]))
 
 

@@ -34,11 +34,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: With it, a written frame's shuffle files go when the write ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/llm-tables/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/llm-tables/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # --------------------------------------------------------------------------- slices
