@@ -190,12 +190,19 @@ def _step(seqs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) ->
 
 
 def _guess(seqs: DataFrame) -> np.ndarray:
-    """Emissions to start from: the profiles of documents that differ most among START ones."""
-    rows = seqs.where("length(seq) >= 64").withColumn("o", F.xxhash64("seq")).orderBy("o").limit(START).select(F.substring("seq", 1, 4000).alias("seq")).collect()
+    """Emissions to start from: the class profiles of documents that differ most among START ones (START x CLASSES counts reach the driver)."""
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts = [np.bincount(np.frombuffer(x, np.int16), minlength=CLASSES).astype(np.int32).tobytes() for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.binary())], names=["counts"])
+
+    some = seqs.where(F.octet_length("seq") >= 128).withColumn("o", F.xxhash64("seq")).orderBy("o").limit(START).select("seq")
+    rows = some.mapInArrow(profile, "counts binary").collect()
     base = np.full((STATES, CLASSES), 1.0 / CLASSES)
     if not rows:
         return base
-    counts = np.stack([np.bincount(np.frombuffer(bytes(r["seq"]), np.int16), minlength=CLASSES) for r in rows]).astype(float)
+    counts = np.stack([np.frombuffer(bytes(r["counts"]), np.int32) for r in rows]).astype(float)
     unit = np.sqrt(counts / counts.sum(axis=1, keepdims=True))
     chosen, near = [int(np.argmax(unit @ unit.mean(axis=0)))], None
     for _ in range(1, STATES):

@@ -236,10 +236,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """docs with one row for each component (the smallest id's first row) and all rows without id."""
-    gone = near_duplicates(docs, doc_id, text, **settings).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col(doc_id).cast("long") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, doc_id, text, **settings).where("not kept").select(F.col("doc_id").alias("_near_gone")).distinct()
+    left = docs.join(gone, F.col(doc_id).cast("long") == F.col("_near_gone"), "left_anti")
     nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text)))
-    named = left.where(F.col(doc_id).isNotNull()).withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    named = left.where(F.col(doc_id).isNotNull()).withColumn("_near_nth", nth).where("_near_nth = 1").drop("_near_nth")
     return named.unionByName(left.where(F.col(doc_id).isNull()))
 
 

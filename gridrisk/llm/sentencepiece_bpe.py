@@ -281,9 +281,9 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
         is_byte[pieces.byte] = 1
         for b in slices(batches, text, 1 << 20):
             col = b.column(b.schema.get_field_index(text))
-            keys = np.asarray(b.column(b.schema.get_field_index("_key"))).view(U64)
+            keys = np.asarray(b.column(b.schema.get_field_index("_bpe_key"))).view(U64)
             ids, cut = merger.encode(col, keys, rate)
-            b = b.drop_columns(["_key"])
+            b = b.drop_columns(["_bpe_key"])
             if digest:
                 raw, offs = column_bytes(col)
                 blob, n = raw.tobytes(), b.num_rows
@@ -295,7 +295,7 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
                 lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=pc.is_null(col))
                 yield passed(b, ids=lists)
 
-    keyed = base.withColumn("_key", F.xxhash64(F.lit(seed), F.col(doc_id)))
+    keyed = base.withColumn("_bpe_key", F.xxhash64(F.lit(seed), F.col(doc_id)))
     return keyed.mapInArrow(run, T.StructType([*base.schema.fields, *fields]))
 
 

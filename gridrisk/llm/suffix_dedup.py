@@ -164,15 +164,15 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, returns: tuple[str, ...] = RESULTS) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept (what is left, binary); returns may name `kept_sha256` (lowercase hex) and `kept_text` (what is left, without parts of cut characters; null stays null) too."""
-    ranges = repeated_ranges(docs, doc_id, text, length).groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi")).alias("_at"))
+    ranges = repeated_ranges(docs, doc_id, text, length).groupBy(F.col("_id").alias("_suffix_id"), F.col("_tag").alias("_suffix_tag")).agg(F.collect_list(F.struct("lo", "hi")).alias("_suffix_at"))
     base = docs.drop(*returns)
     names = base.columns
-    joined = base.withColumns({"_id": F.col(doc_id).cast("long"), "_tag": _tag(text)}).join(ranges, ["_id", "_tag"], "left").drop("_id", "_tag")
+    joined = base.withColumns({"_suffix_id": F.col(doc_id).cast("long"), "_suffix_tag": _tag(text)}).join(ranges, ["_suffix_id", "_suffix_tag"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text):
             raw, offs = column_bytes(b.column(b.schema.get_field_index(text)))
-            lists = b.column(b.schema.get_field_index("_at"))
+            lists = b.column(b.schema.get_field_index("_suffix_at"))
             flat, count = lists.flatten(), np.asarray(lists.value_lengths().fill_null(0))
             start = np.repeat(offs[:-1], count)
             edge = np.zeros(len(raw) + 1, np.int32)
@@ -194,11 +194,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             if "kept_text" in returns:
                 null = b.column(b.schema.get_field_index(text)).is_null().to_pylist()
                 new["kept_text"] = pa.array([None if n else x.decode("utf-8", "ignore") for n, x in zip(null, kept, strict=True)], pa.string())
-            out = passed(b.drop_columns(["_at"]), **{k: v for k, v in new.items() if k in returns})
+            out = passed(b.drop_columns(["_suffix_at"]), **{k: v for k, v in new.items() if k in returns})
             yield out.select([*names, *returns])
 
     kinds = {"kept": T.BinaryType(), "kept_sha256": T.StringType(), "kept_text": T.StringType()}
-    return joined.select(*names, "_at").mapInArrow(cut, T.StructType([*base.schema.fields, *(T.StructField(c, kinds.get(c, T.LongType())) for c in returns)]))
+    return joined.select(*names, "_suffix_at").mapInArrow(cut, T.StructType([*base.schema.fields, *(T.StructField(c, kinds.get(c, T.LongType())) for c in returns)]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ def odd(spark):
     """Nulls, empty and blank texts, ties, a repeated row, a long text, a shared id, and columns that clash."""
     base = "The quick brown fox jumps over the lazy dog and runs far away from the old farm house today. "
     rows = [(0, base), (1, base), (1, base), (2, None), (3, ""), (4, " \n\t "), (None, base), (5, "x"), (5, base + "!"), (6, base * 300), (7, "é☃\x00 12"), (8, "a" * 5000), (9, "one two three four"), (10, "One two three four"), (11, "  ")]
-    return spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) AS long) AS n_chars", "1 AS score", "'k' AS kept", "2 AS n_words", "'i' AS ids", "7 AS size", "'u' AS lang_pred", "0 AS predicted", "1 AS _at2")
+    return spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) AS long) AS n_chars", "1 AS score", "'k' AS kept", "2 AS n_words", "'i' AS ids", "7 AS size", "'u' AS lang_pred", "0 AS predicted", "1 AS _at", "2 AS _id", "3 AS _text", "4 AS _key", "5 AS _tag")
 
 
 def brute_sets(texts):
