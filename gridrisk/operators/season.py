@@ -34,13 +34,13 @@ def in_season(series: DataFrame, cal: DataFrame | None, cell: str = "cell", plan
     return joined.withColumn("season_year", F.floor(off / 12).cast("int")).withColumn("_pos", F.pmod(off, F.lit(12))).where(F.col("_pos") <= span).drop("_pos")
 
 
-def roll_up(series: DataFrame, cal: DataFrame, keys: list[str], stat: str, annual: bool = False, drop_last: bool = True) -> DataFrame:
-    """One value per cell, keys and season year; the last input year, whose season may be cut, is dropped."""
+def roll_up(series: DataFrame, cal: DataFrame, keys: list[str], stat: str, annual: bool = False, years: tuple[int, int] | None = None) -> DataFrame:
+    """One value per cell, keys and season year; the last input year, whose season may be cut, is dropped. With years (first, last) given, the input isn't read a second time to find them."""
     out = in_season(series, cal, annual=annual).groupBy("cell", *keys, "season_year").agg(statistic("value", stat).alias("value"), F.count("value").alias("n_months"))
-    if drop_last:
-        last = series.agg(F.max("year").alias("_last"), F.min("year").alias("_first"))
-        out = out.join(F.broadcast(last), (F.col("season_year") < F.col("_last")) & (F.col("season_year") >= F.col("_first"))).drop("_last", "_first")  # one row
-    return out
+    if years:
+        return out.where((F.col("season_year") >= years[0]) & (F.col("season_year") < years[1]))
+    last = series.agg(F.max("year").alias("_last"), F.min("year").alias("_first"))
+    return out.join(F.broadcast(last), (F.col("season_year") < F.col("_last")) & (F.col("season_year") >= F.col("_first"))).drop("_last", "_first")  # one row
 
 
 def rolling_seasons(series: DataFrame, keys: list[str], stat: str, seasons=SEASONS) -> DataFrame:

@@ -17,14 +17,15 @@ def zonal(cells: DataFrame, cell_zone: DataFrame, keys: list[str], zone: list[st
 
 
 def roll_up_admin(df: DataFrame, keys: list[str], value: str = "value", levels: list[str] = ADMIN) -> DataFrame:
-    """Sums at every admin level in one pass, lower levels null. Partial sums combine before the shuffle."""
+    """Sums at every admin level, lower levels null. The finest sums come first, so that only they are expanded to the levels."""
+    df = df.groupBy(*levels, *keys).agg(F.sum(value).alias(value))
     sets = [[F.col(c) for c in [*levels[: n + 1], *keys]] for n in range(len(levels))]
     return df.groupingSets(sets, *levels, *keys).agg(F.sum(value).alias(value))
 
 
 def margins(df: DataFrame, keys: list[str], value: str = "value", label: str = "all") -> DataFrame:
     """Sums over every subset of the keys; a key summed over reads `all`."""
-    out = df.cube(*keys).agg(F.sum(value).alias(value), *(F.grouping(k).alias(f"_g_{k}") for k in keys))
+    out = df.groupBy(*keys).agg(F.sum(value).alias(value)).cube(*keys).agg(F.sum(value).alias(value), *(F.grouping(k).alias(f"_g_{k}") for k in keys))
     return out.select(*(F.when(F.col(f"_g_{k}") == 1, label).otherwise(F.col(k)).alias(k) for k in keys), value)
 
 
