@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridrisk.functions.scalars import safe_ratio
@@ -28,12 +28,15 @@ def nearby_fill(df: DataFrame, edges: DataFrame, unit: str, region: str, keys: l
     if not df.where(F.col(region).isNull()).isEmpty():
         raise ValueError(f"a {unit} has no {region}")
     near = edges.join(df.select(F.col(unit).alias("neighbour"), *keys, F.col(value).alias("_v")), "neighbour").groupBy(unit, *keys).agg(F.avg("_v").alias("_near"))
-    w, all_ = Window.partitionBy(region, *keys), Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
+    regions = df.groupBy(region, *keys).agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    whole = df.groupBy(*keys).agg(F.avg(value).alias("_all"))
     own, has = F.coalesce(F.col(value), F.lit(0.0)), F.col(value).isNotNull().cast("int")
-    mean = F.avg(value).over(w) if include_self else safe_ratio(F.sum(value).over(w) - own, (F.count(value).over(w) - has).cast("double"))
-    rows = df.join(near, [unit, *keys], "left").withColumns({"_region": mean, "_all": F.avg(value).over(all_)})
+    mean = safe_ratio("_sum", F.col("_n").cast("double")) if include_self else safe_ratio(F.col("_sum") - own, (F.col("_n") - has).cast("double"))
+    rows = df.join(near, [unit, *keys], "left").join(regions, [region, *keys])
+    rows = rows.join(whole, keys) if keys else rows.join(F.broadcast(whole), F.lit(True))  # one row
+    rows = rows.withColumn("_region", mean)
     source = F.when(F.col(value).isNotNull(), "own").when(F.col("_near").isNotNull(), "neighbours").when(F.col("_region").isNotNull(), "region").when(F.col("_all").isNotNull(), "all")
-    return rows.withColumn("source", source).withColumn("filled", F.coalesce(value, "_near", "_region", "_all")).drop("_near", "_region", "_all")
+    return rows.withColumn("source", source).withColumn("filled", F.coalesce(value, "_near", "_region", "_all")).drop("_near", "_region", "_all", "_sum", "_n")
 
 
 def risk_times_exposure(freq: DataFrame, exposure: DataFrame, p: str = "p", value: str = "value") -> DataFrame:
