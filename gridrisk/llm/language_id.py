@@ -31,7 +31,7 @@ DIMS = 1024
 #: More languages than this mean that the label column isn't one; the prototypes (languages x DIMS) are broadcast.
 MAX_LANGUAGES = 2000
 _FIXED = 1 << 20
-_CELLS = 6_000_000
+_CELLS = 3_000_000
 
 
 @lru_cache(maxsize=1)

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one slice of a batch holds (a longer document is a slice by itself).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 U64 = np.uint64
 
 
