@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from gridrisk.llm.textops import MARKS, U64, Prints, column_bytes, lower_ascii, shingles, slices, words
 
 ITEMS, BLOCK, THRESHOLD, OVERLAP, PART_OVERLAP, WORDS = 4000, 8, 0.6, 0.8, 0.5, 5
+#: (passage, term) rows that are scored at once.
+ROWS = 100_000
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id bigint, item_id bigint, score double, n_item bigint, n_shared bigint, n_question bigint, question_shared bigint, n_answer bigint, answer_shared bigint"
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -101,6 +103,19 @@ def _ragged(starts: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (total - count), count) + np.arange(total[-1] if len(total) else 0)
 
 
+def _blocks(where: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Cuts of the sorted passages into blocks of whole ones: up to limit rows each, or one larger passage."""
+    a = 0
+    while a < len(where):
+        b = len(where)
+        if b - a > limit:
+            b = int(np.searchsorted(where, where[a + limit]))
+            if b == a:
+                b = int(np.searchsorted(where, where[a], side="right"))
+        yield a, b
+        a = b
+
+
 def search(index: Index, raw: np.ndarray, offs: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
     """(document, item, best passage's score) of all hits at or above the threshold."""
     h, first, _ = _hashed(raw, offs)
@@ -128,13 +143,7 @@ def _search(index: Index, h: np.ndarray, first: np.ndarray, threshold: float) ->
     keep = bound[where] >= threshold - slack
     where, term = where[keep], term[keep]
     best: dict[tuple[int, int], float] = {}
-    for lo in range(0, len(where), 100_000):  # blocks of passages; cut at a passage's first term
-        hi = min(len(where), lo + 100_000)
-        a, b = np.searchsorted(where, where[lo]), len(where) if hi == len(where) else np.searchsorted(where, where[hi])
-        if a != lo:
-            a = np.searchsorted(where, where[lo], side="right")
-        if a >= b:
-            continue
+    for a, b in _blocks(where, ROWS):
         w, t = where[a:b], term[a:b]
         head = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
         block_bound = np.add.reduceat(index.block_max[t], head, axis=0)  # block maxima

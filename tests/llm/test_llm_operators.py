@@ -249,6 +249,32 @@ def test_block_max_bounds_lose_nothing():
     assert all((d, d % 60) in got for d in range(80) if d % 3)
 
 
+@pytest.mark.parametrize("rows", [1, 4, 37])
+def test_small_blocks_lose_no_passage(monkeypatch, rows):
+    rng = np.random.default_rng(4)
+    vocab = [f"t{i}" for i in range(200)]
+    items = [" ".join(rng.choice(vocab, rng.integers(6, 20))) for _ in range(40)]
+    docs = [" ".join([*rng.choice(vocab, 5 * (i % 4)), items[i], *rng.choice(vocab, 25)]) for i in range(40)]
+    index = decontaminate.build_index(list(range(40)), items)
+    raw, offs = decontaminate.column_bytes(pa.array(docs))
+    h, first, _ = decontaminate._hashed(raw, offs)
+    term = np.repeat(np.arange(len(index.terms)), np.diff(index.first))
+    weight = {(int(index.terms[t]), int(i)): w for t, i, w in zip(term, index.items, index.weights, strict=True)}
+    want = {}
+    for d in range(40):
+        own = h[first[d] : first[d + 1]].tolist()
+        for lo in range(0, len(own), index.span):
+            for i in range(40):
+                s = sum(weight.get((t, i), 0) for t in set(own[lo : lo + 2 * index.span]))
+                if s >= 0.5:
+                    want[d, i] = max(s, want.get((d, i), 0))
+    monkeypatch.setattr(decontaminate, "ROWS", rows)
+    got = {(d, i): s for d, i, s in decontaminate.search(index, raw, offs, 0.5)}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert all((d, d) in got for d in range(40))
+    assert list(decontaminate._blocks(np.array([0, 0, 1, 1, 1, 2]), 4)) == [(0, 2), (2, 6)]
+
+
 def test_language_id(spark):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect()}
     rows = language_id.query(spark, "/root/testdata/sf0.01").collect()
