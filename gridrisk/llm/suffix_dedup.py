@@ -11,8 +11,9 @@ whose rank isn't unique yet, until unique or past the threshold. Here:
   16. A run of windows with the same minimizer is one row.
 * Round 1 sorts the runs by (name, fingerprint of the whole run). A name within one
   document only is unique and drops out. If the whole run occurs in a smaller id, all of its windows are settled at once.
-* Round 2 goes past the threshold for the runs left, at the ends of repeats: sorted by (name, id), each
-  carries its own bytes (under 2 LENGTH), and its windows are ranked by the pair (name, fingerprint of LENGTH bytes).
+* Round 2 goes past the threshold for the runs left, at the ends of repeats: each carries its own bytes, and its
+  windows are ranked by the pair (name, fingerprint of LENGTH bytes). The least id of each pair is found by a
+  grouping that combines before its shuffle, and joined back: only equal windows meet, and no task holds a whole name.
 
 Fingerprints are thus always compared in pairs of 64 bits.
 
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridrisk.llm.textops import U64, Prints, column_bytes, mix, passed, slices, stored
+from gridrisk.llm.textops import U64, Prints, column_bytes, passed, slices, stored
 
 LENGTH, GRAM = 50, 20
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
@@ -102,36 +103,28 @@ def _round1(docs: DataFrame, doc_id: str, text: str, length: int, gram: int) ->
     return shared.withColumn("settled", F.min("_id").over(whole) < F.col("_id")).where("settled or not one").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi", "if(settled, null, name) AS name")
 
 
-def _rank_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Ranges of windows that a smaller id has, from runs sorted by (name, id). Kept between batches: the distinct windows of the last name."""
-    held_name, held_hash, held_id = None, np.zeros(0, U64), np.zeros(0, np.int64)
-    for b in batches:
-        if not b.num_rows:
-            continue
-        name, ids, at = np.asarray(b.column(0)), np.asarray(b.column(1)), np.asarray(b.column(2))
+def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """(name, print, _id, at) of every window of open runs."""
+    for b in slices(batches, "part", 1 << 18):
         raw, offs = column_bytes(b.column(3))
         n = np.diff(offs) - length + 1
         row = np.repeat(np.arange(len(n)), n)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        key = mix(Prints(raw).windows(length)[offs[row] + nth] ^ mix(name.view(U64))[row])
-        if held_name != name[0]:
-            held_hash, held_id = np.zeros(0, U64), np.zeros(0, np.int64)
-        keys, who = np.concatenate([held_hash, key]), np.concatenate([held_id, ids[row]])
-        order = np.lexsort((who, keys))
-        head = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
-        least = np.empty(len(keys), np.int64)
-        least[order] = who[order][np.maximum.accumulate(np.where(head, np.arange(len(keys)), 0))]
-        gone = least[len(held_hash) :] < ids[row]
-        held_name = name[-1]
-        own = order[head]
-        own = own[np.concatenate([np.full(len(held_hash), name[0] == held_name), name[row] == held_name])[own]]
-        held_hash, held_id = keys[own], who[own]
-        begin, end = gone.copy(), gone.copy()
-        begin[1:] &= ~gone[:-1] | (row[1:] != row[:-1])
-        end[:-1] &= ~gone[1:] | (row[1:] != row[:-1])
-        lo, hi = np.flatnonzero(begin), np.flatnonzero(end)
-        if len(lo):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[row[lo]], at[row[lo]] + nth[lo], (nth[hi] - nth[lo] + length).astype(np.int32))], names=["_id", "at", "size"])
+        prints = Prints(raw).windows(length)[offs[row] + nth]
+        name, ids, at = (np.asarray(b.column(i)) for i in range(3))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name[row], prints.view(np.int64), ids[row], at[row] + nth)], names=["name", "print", "_id", "at"])
+
+
+def _cell_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of windows from cells: bit i of the mask is the window that starts at 32 cell + i."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        gone = (np.asarray(b.column(2))[:, None] >> np.arange(32)) & 1 == 1
+        edge = np.diff(np.pad(gone, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        (row, lo), hi = np.nonzero(edge == 1), np.nonzero(edge == -1)[1]
+        at = (np.asarray(b.column(1))[row] << 5) + lo
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.asarray(b.column(0))[row], at, (hi - lo - 1 + length).astype(np.int32))], names=["_id", "at", "size"])
 
 
 def _round2(docs: DataFrame, open_: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
@@ -149,8 +142,11 @@ def _round2(docs: DataFrame, open_: DataFrame, doc_id: str, text: str, length: i
 
     lists = open_.groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi", "name")).alias("_at"))
     parts = _texts(docs, doc_id, text, length).join(lists, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(carry, "name bigint, _id bigint, at bigint, part binary")
-    ranked = parts.repartition("name").sortWithinPartitions("name", "_id").mapInArrow(lambda x: _rank_windows(x, length), "_id bigint, at bigint, size int")
-    return ranked.selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
+    windows = stored(parts, "suffix-parts").mapInArrow(lambda x: _windows(x, length), "name bigint, print bigint, _id bigint, at bigint")
+    owners = windows.groupBy("name", "print").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").select("name", "print", "first")
+    gone = windows.join(stored(owners, "suffix-owners").hint("merge"), ["name", "print"]).where("_id > first")
+    cells = gone.groupBy("_id", F.expr("at >> 5").alias("cell")).agg(F.expr("bit_or(1L << cast(at & 31 AS int))").alias("mask"))
+    return cells.mapInArrow(lambda x: _cell_ranges(x, length), "_id bigint, at bigint, size int").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
 
 
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:

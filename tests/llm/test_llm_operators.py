@@ -83,6 +83,34 @@ def test_suffix_dedup_periodic(spark):
     assert got == {1: 0, 2: 60, 3: 0, 4: 0, 5: 50}
 
 
+def test_suffix_dedup_common_line(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+
+    def noise(n):
+        return "".join(map(chr, rng.integers(97, 123, n)))
+
+    rows = [(i, noise(60) + "0123456789 a common line 0123456789"[: 20 + i % 16] + noise(60)) for i in range(120)]
+    rows += [(200 + i, noise(i) + rows[i][1][30 + i % 7 : 110 + i % 5] + noise(40)) for i in range(40)] + [(300, "a" * 200 + noise(60)), (301, "b" + "a" * 90)]
+    plans, write = {}, suffix_dedup.stored
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "stored", seen)
+    got = {r["doc_id"]: r["kept"] for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    first, want = {}, {}
+    for d, t in rows:
+        for i in range(len(t) - 49):
+            first.setdefault(t[i : i + 50], d)
+    for d, t in rows:
+        gone = {j for i in range(len(t) - 49) if first[t[i : i + 50]] < d for j in range(i, i + 50)}
+        want[d] = "".join(c for i, c in enumerate(t) if i not in gone).encode()
+    assert {d: bytes(k) for d, k in got.items()} == want and sum(len(t) for _, t in rows) > sum(map(len, want.values()))
+    # no task of round 2 holds all windows of one name
+    assert not [n for n, p in plans.items() if n != "suffix-round1" and re.search(r"hashpartitioning\(name#\d+L?, \d+\)", p)]
+
+
 def test_quality_classifier(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     rows = quality_classifier.query(spark, "/root/testdata/sf0.01").collect()
