@@ -6,7 +6,7 @@ the result is the connected components of all links found.
 
 1. Equal sets are one class from the start, with its smallest id. A class has a signature of 64 minwise tokens.
 2. Chosen path: in each of TREES independent trees, a node (a path of chosen
-   tokens) picks one or two signature places (1 / 0.85 on average), and its
+   tokens) picks one or two signature places (1 / 0.85 on average, 100 / percent in general), and its
    classes go on to the children named by the tokens that they have there.
    Nodes of LEAF classes or fewer, and those at MAX_DEPTH, are compared
    exhaustively on signatures; what is similar there, directly or by others, is a candidate cluster.
@@ -86,11 +86,11 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(-1, PLACES)
 
 
-def _children(paths: np.ndarray, sig: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _children(paths: np.ndarray, sig: np.ndarray, row: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(row, child path) of nodes' rows: the places that a node picks depend on its path alone."""
     pick = mix(paths + U64(0x2545F4914F6CDD1D))
     at = (pick % U64(PLACES)).astype(np.int64)
-    more = np.flatnonzero((pick >> U64(32)) % U64(PERCENT) < U64(100 - PERCENT))
+    more = np.flatnonzero((pick >> U64(32)) % U64(percent) < U64(100 - percent))
     also = (at[more] + 1 + ((pick[more] >> U64(16)) % U64(PLACES - 1)).astype(np.int64)) % PLACES
     who, place = np.concatenate([np.arange(len(paths)), more]), np.concatenate([at, also])
     return row[who], mix(paths[who] * U64(0x9E3779B97F4A7C15) + mix(sig[row[who], place].astype(U64) * U64(PLACES) + place.astype(U64)))
@@ -145,21 +145,21 @@ def _in_blocks(rows: DataFrame, group: str, size: DataFrame, *columns: str) -> D
     )
 
 
-def _clusters(reps: DataFrame, trees: int, least: int) -> DataFrame:
+def _clusters(reps: DataFrame, trees: int, least: int, percent: int) -> DataFrame:
     """(cluster, side, rep): the classes that meet in a node and have similar signatures."""
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 sig, ids = _matrix(b.column(1)), np.asarray(b.column(0))
-                row, path = _children(np.repeat(mix(np.arange(1, trees + 1, dtype=U64)), len(ids)), sig, np.tile(np.arange(len(ids)), trees))
+                row, path = _children(np.repeat(mix(np.arange(1, trees + 1, dtype=U64)), len(ids)), sig, np.tile(np.arange(len(ids)), trees), percent)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(path.view(np.int64))], names=["rep", "path"])
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 sig, ids = _matrix(b.column(2)), np.asarray(b.column(0))
-                row, path = _children(np.asarray(b.column(1)).view(U64), sig, np.arange(len(ids)))
+                row, path = _children(np.asarray(b.column(1)).view(U64), sig, np.arange(len(ids)), percent)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(path.view(np.int64))], names=["rep", "path"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +227,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same = ["n_shingles", "f1", "f2"]
     alive = drawn.where("n_shingles > 0 and doc_id is not null")
     classes = stored(alive.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "classes")
-    least = int(PLACES * (percent / 100 - 0.225))  # five standard deviations below the threshold
-    found = components(_confirmed(docs, _clusters(classes, trees, least), doc_id, text, k, percent, least))
+    p = percent / 100
+    least = int(PLACES * p - 5 * (PLACES * p * (1 - p)) ** 0.5)  # five standard deviations below the threshold
+    found = components(_confirmed(docs, _clusters(classes, trees, least, percent), doc_id, text, k, percent, least))
     of_class = classes.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("reach"))
     reach = drawn.join(of_class, same, "left").withColumn("reach", F.when(F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id")))
     return reach.select("doc_id", "n_shingles", F.col("reach").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("reach"), F.lit(True)).alias("kept"))

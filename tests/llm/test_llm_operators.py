@@ -222,6 +222,18 @@ def test_near_dedup_recall_and_small_blocks(spark, monkeypatch):
     assert got == want
 
 
+def test_near_dedup_follows_percent(spark, texts):
+    paths = near_dedup.mix(np.arange(1, 20_001, dtype=np.uint64))
+    sig = np.zeros((1, near_dedup.PLACES), np.uint32)
+    for percent in (80, 85, 95):  # 100 / percent children on average
+        row, _ = near_dedup._children(paths, sig, np.zeros(len(paths), np.int64), percent)
+        assert len(row) / len(paths) == pytest.approx(100 / percent, abs=0.015)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = brute_components(brute_sets(texts), 80)
+    assert want != brute_components(brute_sets(texts), 85)
+    assert {r["doc_id"] for r in near_dedup.one_of_each(docs, percent=80).collect()} == {d for d, c in want.items() if c == d}
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 200, (150, 2))] + [(i, i + 1) for i in range(300, 340)]
