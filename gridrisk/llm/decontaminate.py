@@ -12,7 +12,8 @@ A hit is confirmed on five-word shingles: OVERLAP of the item's, and PART_OVERLA
 sentences but the last) and its answer (the last sentence), must be in the document (a part of under five words: any).
 
 The index is read by all tasks, so it is made for at most ITEMS items at a time; a
-larger benchmark is worked through in blocks of items.
+larger benchmark is worked through in blocks of items. Item count, document frequencies, mean
+length and L are those of the whole benchmark in every block.
 
 Defined results: documents and items without words match nothing; items of under five words match
 documents of these words only. Repeated rows give repeated hits. Ids may be null.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridrisk.llm.textops import MARKS, U64, Prints, column_bytes, lower_ascii, shingles, slices, words
+from gridrisk.llm.textops import MARKS, U64, Prints, column_bytes, lower_ascii, shingles, slices, stored, words
 
 ITEMS, BLOCK, THRESHOLD, OVERLAP, PART_OVERLAP, WORDS = 4000, 8, 0.6, 0.8, 0.5, 5
 #: (passage, term) rows that are scored at once.
@@ -72,7 +73,18 @@ class Index:
     grams: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each item: all, question, answer
 
 
-def build_index(ids: list, texts: list[str]) -> Index:
+@dataclass
+class Whole:
+    """Of all items, when an index has a block of them only; df has at least the block's terms, sorted."""
+
+    n_items: int
+    mean: float
+    span: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
+def build_index(ids: list, texts: list[str], whole: Whole | None = None) -> Index:
     def grams(parts: list[str]) -> list[np.ndarray]:
         h, first, _ = _hashed(*column_bytes(pa.array(parts)))
         got, whose = shingles(h, first, WORDS)
@@ -86,16 +98,18 @@ def build_index(ids: list, texts: list[str]) -> Index:
     terms, term = np.unique(h, return_inverse=True)
     key, tf = np.unique(term * max(len(texts), 1) + item, return_counts=True)
     term, item = key // max(len(texts), 1), key % max(len(texts), 1)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log1p((len(texts) - df + 0.5) / (df + 0.5))
-    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / max(length.mean(), 1e-9))) if len(key) else np.zeros(0)
+    if whole is None:
+        whole = Whole(len(texts), length.mean() if len(length) else 0.0, int(length.max(initial=1)), terms, np.bincount(term, minlength=len(terms)))
+    df = whole.df[np.searchsorted(whole.terms, terms)]
+    idf = np.log1p((whole.n_items - df + 0.5) / (df + 0.5))
+    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / max(whole.mean, 1e-9))) if len(key) else np.zeros(0)
     own = np.bincount(item, weights=weight, minlength=len(texts))
     weight = weight / own[item]
     block_max = np.zeros((len(terms), -(-len(texts) // BLOCK)), np.float32)
     np.maximum.at(block_max, (term, item // BLOCK), weight.astype(np.float32))
     seen = np.zeros(1 << 16, bool)
     seen[(terms >> U64(48)).astype(np.int64)] = True
-    return Index(list(ids), terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, weight, block_max.max(axis=1, initial=0), block_max, seen, int(length.max(initial=1)), all_grams)
+    return Index(list(ids), terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, weight, block_max.max(axis=1, initial=0), block_max, seen, whole.span, all_grams)
 
 
 def _ragged(starts: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -166,13 +180,44 @@ def _search(index: Index, h: np.ndarray, first: np.ndarray, threshold: float) ->
     return [(d, i, s) for (d, i), s in sorted(best.items())]
 
 
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "t"):
+        _, first, _ = _hashed(*column_bytes(b.column(1)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.diff(first))], names=["words"])
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, term): the distinct terms of each item."""
+    for b in slices(batches, "t"):
+        h, first, _ = _hashed(*column_bytes(b.column(1)))
+        item = np.repeat(np.arange(b.num_rows), np.diff(first))
+        order = np.lexsort((h, item))
+        h, item = h[order], item[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (item[1:] != item[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(np.asarray(b.column(2))[item[new]]), pa.array(h[new].view(np.int64))], names=["block", "term"])
+
+
 def _indexes(items: DataFrame, item_id: str, item_text: str, items_at_once: int) -> Iterator[Index]:
-    """Indexes of all items, about items_at_once at a time."""
+    """Indexes of all items, about items_at_once at a time, with the statistics of all."""
     items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
-    blocks = max(1, -(-items.count() // items_at_once))
+    n_items = items.count()
+    blocks = max(1, -(-n_items // items_at_once))
+    items = items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).cast("int"))
+    if blocks > 1:
+        words_, longest = items.mapInArrow(_lengths, "words bigint").agg(F.sum("words"), F.max("words")).first()
+        own = items.mapInArrow(_terms, "block int, term bigint").groupBy("term", "block").agg(F.count(F.lit(1)).alias("n"))
+        own = stored(own, "bm25-terms")
+        terms = stored(own.join(own.groupBy("term").agg(F.sum("n").alias("df")), "term").select("block", "term", "df"), "bm25-df")
     for block in range(blocks):
-        got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).orderBy("i", "t").collect()
-        yield build_index([r["i"] for r in got], [r["t"] for r in got])
+        got = items.where(F.col("block") == block).orderBy("i", "t").collect()
+        whole = None
+        if blocks > 1:
+            known = terms.where(F.col("block") == block).select("term", "df").toArrow()
+            term, df = known["term"].to_numpy().view(U64), known["df"].to_numpy()
+            order = np.argsort(term)
+            whole = Whole(n_items, words_ / n_items, max(int(longest), 1), term[order], df[order])
+        yield build_index([r["i"] for r in got], [r["t"] for r in got], whole)
 
 
 def confirmed(index: Index, col: pa.Array, threshold: float = THRESHOLD) -> list[tuple]:

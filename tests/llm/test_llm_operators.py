@@ -315,6 +315,20 @@ def test_small_blocks_lose_no_passage(monkeypatch, rows):
     assert list(decontaminate._blocks(np.array([0, 0, 1, 1, 1, 2]), 4)) == [(0, 2), (2, 6)]
 
 
+def test_blocks_of_items_change_no_score(spark):
+    rng = np.random.default_rng(8)
+    vocab = [f"t{i}" for i in range(150)]
+    items = [(i, " ".join(rng.choice(vocab, rng.integers(6, 30)))) for i in range(50)] + [(50, None), (51, "")]
+    docs = [(i, " ".join([*rng.choice(vocab, 10), items[i % 50][1], *rng.choice(vocab, 25)])) for i in range(80)]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole, parts = ({(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs, items, items_at_once=n).collect()} for n in (100, 9))
+    assert len(whole) >= 80 and whole.keys() == parts.keys() and all(parts[k] == pytest.approx(whole[k], abs=1e-12) for k in whole)
+    one, few = (list(decontaminate._indexes(items, "item_id", "text", n)) for n in (100, 9))
+    assert len(few) == 6 and {x.span for x in few} == {one[0].span}
+    weight = [{(x.ids[i], int(x.terms[t])): w for x in xs for t in range(len(x.terms)) for i, w in zip(x.items[x.first[t] : x.first[t + 1]], x.weights[x.first[t] : x.first[t + 1]], strict=True)} for xs in (one, few)]
+    assert weight[0].keys() == weight[1].keys() and all(weight[1][k] == pytest.approx(w, abs=1e-12) for k, w in weight[0].items())
+
+
 def test_language_id(spark):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect()}
     rows = language_id.query(spark, "/root/testdata/sf0.01").collect()
