@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridrisk.llm.textops import stored
+from gridrisk.llm.textops import discard, stored
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -22,7 +22,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = stored(large.distinct(), "edges")
+        discard(now)
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v")))
         now = stored(small.distinct(), "edges")
+        discard(large)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

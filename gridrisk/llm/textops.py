@@ -7,8 +7,10 @@ is tokenised and hashed by a few numpy passes instead of a loop over words.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +24,13 @@ U64 = np.uint64
 
 # --------------------------------------------------------------------------- tables
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, else a local one (tests)."""
+    """The shared folder for intermediate tables: spark.checkpoint.dir. Only a local session without it (tests) gets one of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         found = tempfile.mkdtemp(prefix="spark-shared-")
@@ -36,19 +40,57 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: With it, a written frame's shuffle files go when the write ends, not when the driver happens to collect its garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_WRITING = {"lock": threading.Lock(), "n": 0, "before": "false"}
+
+
+@contextmanager
+def _cleanup(spark: SparkSession) -> Iterator[None]:
+    """The setting is on while any write of this process runs, so that writes side by side don't undo each other's."""
+    with _WRITING["lock"]:
+        if not _WRITING["n"]:
+            _WRITING["before"] = spark.conf.get(_CLEANUP, "false")
+            spark.conf.set(_CLEANUP, "true")
+        _WRITING["n"] += 1
+    try:
+        yield
+    finally:
+        with _WRITING["lock"]:
+            _WRITING["n"] -= 1
+            if not _WRITING["n"]:
+                spark.conf.set(_CLEANUP, _WRITING["before"])
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage, survives lost executors."""
+    """Write df to the shared folder and read it again: cuts lineage, survives lost executors. The table goes with the application, or by `discard`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-tables/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _cleanup(spark):
         df.write.options(**options).parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    files, at = _folder(spark, path)
+    files.deleteOnExit(at)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        files, at = _folder(df.sparkSession, df._stored_at)
+        files.delete(at, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores after it as long as df has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 # --------------------------------------------------------------------------- slices
