@@ -7,20 +7,25 @@ item's score against itself, so a passage that holds the whole item scores 1.
 Every document is read in passages of 2 L words at every L-th word (L: the longest
 item), so each item's copy lies inside of one. All passages of a slice
 are queried at once, with the bounds of block-max WAND: a passage goes on only if its list maxima reach the
-threshold, then a block only if its block maxima do, and what is left is scored in full.
-A hit is confirmed on five-word shingles: OVERLAP of the item's, and PART_OVERLAP each of its question (all
-sentences but the last) and its answer (the last sentence), must be in the document (a part of under five words: any).
-
-The index is read by all tasks, so it is made for at most ITEMS items at a time; a
-larger benchmark is worked through in blocks of items. Item count, document frequencies, mean
-length and L are those of the whole benchmark in every block.
-
-Defined results: documents and items without words match nothing; items of under five words match
-documents of these words only. Repeated rows give repeated hits. Ids may be null.
+threshold, then a block only if its block maxima do, and what is left is scored in full. (Moving a pivot through the lists passage by
+passage gives the same hits, see the tests; the README has its cost.)
+A hit is confirmed on five-word shingles: OVERLAP of the item's, and PART_OVERLAP each of its question and its
+answer, must be in the document. The answer is what follows the last sentence end that leaves
+WORDS words on either side, the question what comes before it; without such an end they are cut in the middle, and an
+item of under 2 * WORDS words is both.
+
+The benchmark is the query set: it is worked through in blocks of ITEMS items or ITEM_BYTES bytes at most, each an index that
+all tasks read. Item count, document frequencies, mean length and L are those of the whole benchmark in every block.
+
+Defined results: documents and items without words (null and empty texts too) match nothing; items of under five words match
+documents of these words only; very long texts are read whole, a slice by themselves; several items of equal score are all reported;
+repeated rows give repeated hits; an empty table gives no hits. Ids may be null and are cast to long (what isn't a number: null).
+Columns of docs named like the results don't matter to `contaminated` and stay as they are in `without_contaminated`.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +36,7 @@ from pyspark.sql import functions as F
 
 from gridrisk.llm.textops import MARKS, U64, Prints, column_bytes, lower_ascii, shingles, slices, stored, words
 
-ITEMS, BLOCK, THRESHOLD, OVERLAP, PART_OVERLAP, WORDS = 4000, 8, 0.6, 0.8, 0.5, 5
+ITEMS, ITEM_BYTES, BLOCK, THRESHOLD, OVERLAP, PART_OVERLAP, WORDS = 4000, 4 << 20, 8, 0.6, 0.8, 0.5, 5
 #: (passage, term) rows that are scored at once.
 ROWS = 100_000
 K1, B = 1.2, 0.75
@@ -45,18 +50,17 @@ def _hashed(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return Prints(raw).of(starts, ends), first, ends
 
 
-def split_item(text: str, least: int = WORDS) -> tuple[str, str]:
-    """(question, answer): cut at the last sentence end that leaves `least` words on either side, else in the middle; a text too short for that is both."""
-    body = text.rstrip()
-    blanks = [i for i, c in enumerate(body) if c.isspace()]
-    count = [len(body[:i].split()) for i in blanks]
-    total = len(body.split())
-    fit = [i for i, n in zip(blanks, count, strict=True) if least <= n <= total - least]
-    ends = [i for i in fit if body[i - 1] in ".?!"]
-    if not fit:
-        return body, body
-    cut = ends[-1] if ends else fit[len(fit) // 2]
-    return body[:cut], body[cut:]
+_SENTENCE_END = re.compile(r"[.?!]+[ \t\n\v\f\r]+")
+
+
+def split_at(text: str, total: int, least: int = WORDS) -> int:
+    """Words of the item's question, of total words; total if question and answer are one."""
+    if total < 2 * least:
+        return total
+    parts = _SENTENCE_END.split(text)
+    _, first, _ = _hashed(*column_bytes(pa.array(parts)))
+    fit = first[(first >= least) & (first <= total - least)]
+    return int(fit.max()) if len(fit) else total // 2
 
 
 @dataclass
@@ -85,14 +89,15 @@ class Whole:
 
 
 def build_index(ids: list, texts: list[str], whole: Whole | None = None) -> Index:
-    def grams(parts: list[str]) -> list[np.ndarray]:
-        h, first, _ = _hashed(*column_bytes(pa.array(parts)))
-        got, whose = shingles(h, first, WORDS)
-        return [np.unique(got[whose == i]) for i in range(len(parts))]
-
-    pairs = [split_item(t or "") for t in texts]
-    all_grams = list(zip(grams([t or "" for t in texts]), grams([q for q, _ in pairs]), grams([a for _, a in pairs]), strict=True)) if texts else []
     h, first, _ = _hashed(*column_bytes(pa.array([t or "" for t in texts], pa.string())))
+    def grams(own: np.ndarray) -> np.ndarray:
+        return np.unique(shingles(own, np.array([0, len(own)]), WORDS)[0])
+
+    all_grams = []
+    for i, t in enumerate(texts):
+        own = h[first[i] : first[i + 1]]
+        cut = split_at(t or "", len(own))
+        all_grams.append((grams(own), grams(own[:cut]), grams(own[cut:] if cut < len(own) else own)))
     length = np.diff(first)
     item = np.repeat(np.arange(len(texts)), length)
     terms, term = np.unique(h, return_inverse=True)
@@ -200,9 +205,9 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _indexes(items: DataFrame, item_id: str, item_text: str, items_at_once: int) -> Iterator[Index]:
     """Indexes of all items, about items_at_once at a time, with the statistics of all."""
-    items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
-    n_items = items.count()
-    blocks = max(1, -(-n_items // items_at_once))
+    items = items.select(F.col(item_id).try_cast("long").alias("i"), F.col(item_text).alias("t"))
+    n_items, n_bytes = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
+    blocks = max(1, -(-n_items // items_at_once), -(-n_bytes // ITEM_BYTES))
     items = items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).cast("int"))
     if blocks > 1:
         words_, longest = items.mapInArrow(_lengths, "words bigint").agg(F.sum("words"), F.max("words")).first()
@@ -228,7 +233,7 @@ def confirmed(index: Index, col: pa.Array, threshold: float = THRESHOLD) -> list
         grams, _ = shingles(h[first[d] : first[d + 1]], np.array([0, first[d + 1] - first[d]]), WORDS)
         size = [len(g) for g in index.grams[i]]
         shared = [int(np.isin(g, grams).sum()) for g in index.grams[i]]
-        parts = all(n < 2 or k >= PART_OVERLAP * n for k, n in zip(shared[1:], size[1:], strict=True))
+        parts = all(k >= PART_OVERLAP * n for k, n in zip(shared[1:], size[1:], strict=True))
         if shared[0] >= OVERLAP * size[0] and parts:
             rows.append((d, i, s, *(x for pair in zip(size, shared, strict=True) for x in pair)))
     return rows
@@ -236,7 +241,7 @@ def confirmed(index: Index, col: pa.Array, threshold: float = THRESHOLD) -> list
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, items_at_once: int = ITEMS) -> DataFrame:
     """A row for each document and test item that it holds, with the passage score and the shared shingles."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
+    own = docs.select(F.col(doc_id).try_cast("long").alias("doc_id"), F.col(text).alias("_text"))
     out = None
     for index in _indexes(items, item_id, item_text, items_at_once):
 
@@ -270,15 +275,24 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text: str = "text",
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: every document and test item that it holds."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return contaminated(docs.select("doc_id", "text"), items).select("doc_id", "item_id", "n_item", "n_shared")
+    return contaminated(docs.select("doc_id", "text"), items).select(*(n for n in NAMES if n != "score"))
 
 
 _WORDS = "list_filter(string_split_regex(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 _GRAMS = "list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END)"
+#: Words of the question: the largest sum of words of leading sentences that leaves five on either side.
+_ENDS = f"list_transform(regexp_split_to_array(text, '[.?!]+[ \\t\\n\\v\\f\\r]+'), lambda p: len({_WORDS.format('p')}))"
 SQL = f"""
-WITH i AS (SELECT item_id, {_GRAMS} AS g FROM (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark)),
+WITH i0 AS (SELECT item_id, {_WORDS.format("text")} AS w, {_ENDS} AS e FROM benchmark),
+i1 AS (SELECT item_id, w, len(w) AS n, list_filter(list_transform(range(1, len(e) + 1), lambda k: CAST(list_sum(e[1:k]) AS BIGINT)), lambda c: c >= 5 AND c <= len(w) - 5) AS fit FROM i0),
+i2 AS (SELECT item_id, w, CASE WHEN n < 10 THEN n WHEN len(fit) > 0 THEN list_max(fit) ELSE n // 2 END AS cut FROM i1),
+i3 AS (SELECT item_id, 'g' AS part, w FROM i2 UNION ALL SELECT item_id, 'q', w[1:cut] FROM i2 UNION ALL SELECT item_id, 'a', CASE WHEN cut < len(w) THEN w[cut + 1:] ELSE w END FROM i2),
+i4 AS (SELECT item_id, part, {_GRAMS} AS g FROM i3),
+i AS (SELECT item_id, any_value(g) FILTER (part = 'g') AS g, any_value(g) FILTER (part = 'q') AS q, any_value(g) FILTER (part = 'a') AS a FROM i4 GROUP BY item_id),
 d AS (SELECT doc_id, {_GRAMS} AS g FROM (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents)),
-ix AS (SELECT item_id, len(g) AS n_item, unnest(g) AS s FROM i), dx AS (SELECT doc_id, unnest(g) AS s FROM d)
-SELECT doc_id, item_id, CAST(n_item AS BIGINT) AS n_item, count(*) AS n_shared
-FROM dx JOIN ix USING (s) GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item
+ix AS (SELECT item_id, len(g) AS n_item, len(q) AS n_question, len(a) AS n_answer, unnest(list_transform(g, lambda x: {{'s': x, 'q': list_contains(q, x), 'a': list_contains(a, x)}}), recursive := true) FROM i), dx AS (SELECT doc_id, unnest(g) AS s FROM d),
+hit AS (SELECT doc_id, item_id, n_item, count(*) AS n_shared, n_question, count(*) FILTER (ix.q) AS question_shared, n_answer, count(*) FILTER (ix.a) AS answer_shared
+FROM dx JOIN ix USING (s) GROUP BY doc_id, item_id, n_item, n_question, n_answer)
+SELECT doc_id, item_id, CAST(n_item AS BIGINT) AS n_item, n_shared, CAST(n_question AS BIGINT) AS n_question, question_shared, CAST(n_answer AS BIGINT) AS n_answer, answer_shared
+FROM hit WHERE n_shared >= 0.8 * n_item AND question_shared >= 0.5 * n_question AND answer_shared >= 0.5 * n_answer
 """
