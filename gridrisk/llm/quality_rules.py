@@ -1,12 +1,15 @@
 """Quality rules: base counts and zstandard compression bands.
 
-A text is compressed as a whole and in fixed chunks of CHUNK bytes. The ratio
+A text is compressed as a whole and in fixed chunks of CHUNK bytes, the last one as long as it is, so that every
+byte of a text longer than one chunk is judged twice. The ratio
 (bytes before / after, frame overhead left out) must lie in a band that depends on the length:
 repetitive text compresses too well, random text hardly at all. A text fails on
-chunks when more than BAD_CHUNKS of its full chunks lie outside of the chunk band.
+chunks when more than BAD_CHUNKS of them lie outside of the band of their length. (A text of
+one chunk is its own chunk and has the band of whole texts alone.)
 
 Defined results: a null, empty or blank text has no words and fails the base
-rule. Repeated rows are judged alike. Columns named like the results are replaced.
+rule. Very long texts are read whole, a slice by themselves. Repeated rows are judged alike, ids aren't looked at. An empty table
+gives an empty one. Columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -22,10 +25,11 @@ from pyspark.sql import types as T
 
 from gridrisk.llm.textops import Prints, column_bytes, passed, per_doc, shingles, slices, words
 
-LEVEL, CHUNK, BAD_CHUNKS = 3, 4096, 0.5
+LEVEL, CHUNK, BAD_CHUNKS = 3, 4096, 0.25
 #: (length in bytes from which the band holds, least ratio, largest ratio)
 BANDS = ((0, 0.0, 3.2), (256, 1.05, 3.2), (1024, 1.2, 3.6), (4096, 1.35, 4.2), (16384, 1.5, 5.5), (65536, 1.5, 6.5))
-CHUNK_BAND = (1.3, 4.5)
+#: The same for chunks; under 256 bytes the frame's tables weigh too much to tell random text.
+CHUNK_BANDS = ((0, 0.0, 3.2), (256, 1.1, 3.6), (1024, 1.3, 4.0), (4096, 1.3, 4.5))
 _OVERHEAD = 12
 _SYMBOLS = np.zeros(256, np.uint8)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = 1
@@ -76,7 +80,7 @@ def _dup_lines(raw: np.ndarray, offs: np.ndarray, blob: bytes) -> np.ndarray:
     return out
 
 
-def measure(col: pa.Array, bands=BANDS, chunk: int = CHUNK, chunk_band=CHUNK_BAND, bad_chunks: float = BAD_CHUNKS) -> dict[str, np.ndarray]:
+def measure(col: pa.Array, bands=BANDS, chunk: int = CHUNK, chunk_bands=CHUNK_BANDS, bad_chunks: float = BAD_CHUNKS) -> dict[str, np.ndarray]:
     raw, offs = column_bytes(col)
     n_docs, blob = len(offs) - 1, raw.tobytes()
     starts, ends, first = words(raw, offs)
@@ -94,10 +98,12 @@ def measure(col: pa.Array, bands=BANDS, chunk: int = CHUNK, chunk_band=CHUNK_BAN
         if not text:
             continue
         whole[d] = ratio(len(text), len(press.compress(text)))
-        n_chunks = len(text) // chunk
+        n_chunks = -(-len(text) // chunk)
         if n_chunks > 1:
-            each = [ratio(chunk, len(press.compress(text[i * chunk : (i + 1) * chunk]))) for i in range(n_chunks)]
-            bad[d] = sum(not chunk_band[0] <= x <= chunk_band[1] for x in each)
+            for i in range(0, len(text), chunk):
+                part = text[i : i + chunk]
+                lo, hi = band(len(part), chunk_bands)
+                bad[d] += not lo <= ratio(len(part), len(press.compress(part))) <= hi
         lo, hi = band(len(text), bands)
         kept[d] = not base_failed[d] and lo <= whole[d] <= hi and bad[d] <= bad_chunks * n_chunks
     return {"n_words": n_words, "word_chars": word_chars, "n_symbols": symbols[offs[1:]] - symbols[offs[:-1]], "n_dup_lines": _dup_lines(raw, offs, blob), "n_repeat_words": repeats.astype(np.int64), "base_failed": base_failed, "ratio": whole, "n_bad_chunks": bad, "kept": kept}
