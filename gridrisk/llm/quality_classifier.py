@@ -5,11 +5,11 @@ shapes (first and last byte kind, all byte kinds in the word, whether the word
 before is the same), hashed into 2**BITS places with value sqrt(count / all counts).
 Features are made where the documents are. The follow-the-regularised-leader updates are sequential, so they
 run in one task over a bounded sample of labelled rows: the MAX_TRAIN rows
-with the smallest hash of the id. The weights (2**BITS at most) go to all tasks, which score sparse dot products.
+with the smallest hash of the id, one text an id (that of the smallest hash). The weights (2**BITS at most) go to all tasks, which score sparse dot products.
 
 Defined results: null, empty and blank texts have the bias and a "no words"
-feature alone; without training rows every score is 0.5. Ids that carry several labels count with
-the smallest; null labels are left out. Columns named like the results are replaced.
+feature alone; very long texts are read whole; without training rows every score is 0.5; an empty table gives an empty one. Ids that carry several labels count with
+the smallest; null labels and ids are left out. Repeated rows are scored alike. Columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -90,7 +90,8 @@ def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_train: int = MAX_TRAIN, bits: int = BITS) -> np.ndarray:
     """The weights, learned from the texts of docs whose ids are among the sampled labels."""
     chosen = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).cast("int").alias("_label")).withColumn("_order", F.xxhash64("_id")).orderBy("_order", "_id").limit(max_train)
-    known = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")  # max_train rows at most
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")  # max_train rows at most
+    known = rows.groupBy("_order", "_id", "_label").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text"):
