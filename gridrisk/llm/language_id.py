@@ -5,12 +5,13 @@ Every letter owns a random bipolar vector. A letter trigram is the product
 order matters; a document is the sum (bundle) of its trigram vectors, and a
 language prototype is the sum of the unit vectors of its training documents,
 in fixed point so that the sum doesn't depend on the order of rows. A document
-gets the language of the prototype with the largest cosine.
+gets the language of the prototype with the largest cosine. Prototypes are a stored table of a row for each language; up to
+AT_ONCE of them go to the tasks at a time, more in several passes that carry the best so far.
 
 Defined results: null text, empty text or a text without a letter gives `und` and score 0;
 so does everything when there is no training row. Equal cosines: the
 alphabetically first language. Ids may be null or repeat, each row is judged by
-its text alone. Input columns named like the results are replaced.
+its text alone, very long ones by the whole of it. An empty table gives an empty one. Input columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -25,18 +26,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridrisk.llm.textops import U64, column_bytes, crc_mod, mix, passed, slices
+from gridrisk.llm.textops import U64, column_bytes, crc_mod, mix, passed, slices, stored
 
 DIMS = 1024
-#: More languages than this mean that the label column isn't one; the prototypes (languages x DIMS) are broadcast.
-MAX_LANGUAGES = 2000
+#: Prototypes that a task holds (AT_ONCE x DIMS numbers).
+AT_ONCE = 2000
 _FIXED = 1 << 20
 _CELLS = 3_000_000
 
 
 @lru_cache(maxsize=1)
 def _letter_table() -> np.ndarray:
-    return np.array([chr(i).isalpha() for i in range(0x30000)], dtype=bool)
+    return np.array([chr(i).isalpha() for i in range(0x110000)], dtype=bool)
 
 
 @lru_cache(maxsize=8192)
@@ -53,7 +54,7 @@ def _trigrams(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.asarray(pc.utf8_length(lowered)).astype(np.int64)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     table = _letter_table()
-    letter = table[np.minimum(codes, len(table) - 1)]
+    letter = table[codes]
     codes = np.where(letter, codes, 0)
     if len(codes) < 1:
         z = np.zeros(0, np.int64)
@@ -104,8 +105,8 @@ def profiles(col: pa.Array, dims: int = DIMS) -> tuple[np.ndarray, np.ndarray]:
     return out / np.maximum(norm, 1e-9)[:, None].astype(np.float32), has
 
 
-def learn(docs: DataFrame, text: str = "text", label: str = "lang", dims: int = DIMS) -> dict[str, np.ndarray]:
-    """Language -> unit prototype, from all rows with a label and a letter. One row per language and dimension reaches the driver."""
+def learn(docs: DataFrame, text: str = "text", label: str = "lang", dims: int = DIMS) -> DataFrame:
+    """(lang, v): the prototype of each language, from all rows with a label and a letter."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -121,33 +122,47 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang", dims: int =
 
     part = docs.select(F.col(text).alias("_text"), F.col(label).cast("string").alias("_label")).where("_label is not null and _text is not null")
     rows = part.mapInArrow(sums, "_label string, v array<bigint>").select("_label", F.posexplode("v").alias("i", "x")).groupBy("_label", "i").agg(F.sum("x").alias("x"))
-    got = rows.limit(MAX_LANGUAGES * dims + 1).collect()
-    if len(got) > MAX_LANGUAGES * dims:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in {label}")
-    out: dict[str, np.ndarray] = {}
-    for r in got:
-        out.setdefault(r["_label"], np.zeros(dims))[r["i"]] = r["x"]
-    return {k: v / max(np.linalg.norm(v), 1e-9) for k, v in sorted(out.items())}
+    return stored(rows.groupBy(F.col("_label").alias("lang")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda r: r["x"]).alias("v")), "prototypes")
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", dims: int = DIMS) -> DataFrame:
-    """docs with lang_pred and score (the cosine, at least 0)."""
-    names = np.array([*prototypes], dtype=object)
-    matrix = np.stack([*prototypes.values()]).astype(np.float32) if prototypes else np.zeros((0, dims), np.float32)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text):
-            vec, has = profiles(b.column(b.schema.get_field_index(text)), dims)
-            if len(names):
-                cos = np.round((vec @ matrix.T).astype(np.float64), 6)
-                best = cos.argmax(axis=1)
-                pred, top = np.where(has, names[best], "und"), np.where(has, np.clip(cos.max(axis=1), 0, 1), 0.0)
-            else:
-                pred, top = np.full(len(has), "und", dtype=object), np.zeros(len(has))
-            yield passed(b, lang_pred=pa.array(pred.tolist(), pa.string()), score=pa.array(top, pa.float64()))
+def _blocks(prototypes: DataFrame, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(languages, unit prototypes), at_once at most, in order."""
+    last = None
+    while True:
+        left = prototypes if last is None else prototypes.where(F.col("lang") > last)
+        rows = left.orderBy("lang").limit(at_once).collect()
+        if not rows:
+            return
+        matrix = np.array([r["v"] for r in rows], np.float64)
+        last = rows[-1]["lang"]
+        yield np.array([r["lang"] for r in rows], dtype=object), (matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        if len(rows) < at_once:
+            return
+
 
+def identify(docs: DataFrame, prototypes: DataFrame, text: str = "text", dims: int = DIMS, at_once: int = AT_ONCE) -> DataFrame:
+    """docs with lang_pred and score (the cosine, at least 0)."""
     base = docs.drop("lang_pred", "score")
-    return base.mapInArrow(score, T.StructType([*base.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    fields = T.StructType([*base.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    none = (np.array([], dtype=object), np.zeros((0, dims), np.float32))
+    out = None
+    for names, matrix in list(_blocks(prototypes, at_once)) or [none]:
+
+        def score(batches: Iterator[pa.RecordBatch], names: np.ndarray = names, matrix: np.ndarray = matrix, first: bool = out is None) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, text):
+                vec, has = profiles(b.column(b.schema.get_field_index(text)), dims)
+                pred, top = np.full(len(has), "und", dtype=object), np.where(has, -2.0, 0.0)
+                if not first:
+                    pred = np.array(b.column(b.schema.get_field_index("lang_pred")).to_pylist(), dtype=object)
+                    top = np.asarray(b.column(b.schema.get_field_index("score")))
+                if len(names):
+                    cos = np.round((vec @ matrix.T).astype(np.float64), 6)
+                    better = has & (cos.max(axis=1) > top)  # languages come in order, so an equal later one isn't
+                    pred, top = np.where(better, names[cos.argmax(axis=1)], pred), np.where(better, cos.max(axis=1), top)
+                yield passed(b, lang_pred=pa.array(pred.tolist(), pa.string()), score=pa.array(top, pa.float64()))
+
+        out = (base if out is None else out).mapInArrow(score, fields)
+    return out.withColumn("score", F.greatest("score", F.lit(0.0)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
