@@ -2,18 +2,19 @@
 
 The agenda of a text holds every pair of adjacent symbols whose concatenation is
 a piece; the best-scored pair (then the leftmost) is merged next. With dropout, a
-candidate is skipped when a keyed hash of (seed, document, chunk, places of the two symbols)
-falls below the rate. The hash belongs to the candidate, so skipping it when it
+candidate is skipped when a keyed hash of (seed, document, place of the chunk in the text, places of the two symbols)
+falls below the rate, so that each occurrence of a word has its own draws. The hash belongs to the candidate, so skipping it when it
 is popped is the same as never queueing it: that is how many chunks are merged
 at once, one agenda step for all per pass. No merge crosses from a letter to a blank or a
-character without piece, so texts are cut there, and each distinct chunk of a
+character without piece, so texts are cut there; without dropout each distinct chunk of a
 document is merged once. Long chunks use a heap. Rate 0 gives the library's own encoding.
 
 Characters without a piece become byte tokens, and so does U+2581, which a piece can't tell from a
 blank; so every text decodes to itself.
 
 Defined results: a null text has null ids and decodes to null, an empty one has none and decodes
-to the empty text. Repeated rows (same id) are encoded alike. Columns named like the results are replaced.
+to the empty text. Very long texts are encoded whole. Repeated rows (same id and text) are encoded alike, as are those of null ids. An empty table
+gives an empty one. Columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridrisk.llm.textops import U64, _powers, column_bytes, mix, passed, slices
+from gridrisk.llm.textops import U64, _powers, column_bytes, free_name, mix, passed, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE, SEED = 0.1, 17
@@ -217,14 +218,16 @@ class Merger:
         cut[1:] = (doc[1:] != doc[:-1]) | odd[1:] | odd[:-1] | (blank[1:] & ~blank[:-1])
         starts = np.flatnonzero(cut)
         size = np.diff(np.append(starts, len(full)))
-        # distinct chunks of a document
-        p, q = _powers(len(full) + 1)
-        sums = np.zeros(len(full) + 1, U64)
-        np.cumsum(mix(full.astype(U64) + U64(7)) * p[: len(full)], out=sums[1:])
-        content = mix((sums[starts + size] - sums[starts]) * q[starts] + size.astype(U64) * _HASH)
         limit = int(rate * (1 << 32))
-        key = mix(content ^ doc_keys[doc[starts]]) if limit else content
-        _, one, which = np.unique(key, return_index=True, return_inverse=True)
+        if limit:  # each occurrence by itself
+            key = mix(mix((starts - begin[doc[starts]]).astype(U64) + U64(3)) ^ doc_keys[doc[starts]])
+            one = which = np.arange(len(starts))
+        else:  # distinct chunks
+            p, q = _powers(len(full) + 1)
+            sums = np.zeros(len(full) + 1, U64)
+            np.cumsum(mix(full.astype(U64) + U64(7)) * p[: len(full)], out=sums[1:])
+            key = mix((sums[starts + size] - sums[starts]) * q[starts] + size.astype(U64) * _HASH)
+            _, one, which = np.unique(key, return_index=True, return_inverse=True)
         s, z, k, odd_chunk = starts[one], size[one], key[one], odd[starts[one]]
         count, parts, row_of = np.zeros(len(one), np.int64), [], np.zeros(len(one), np.int64)
         filled = 0
@@ -274,6 +277,7 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     """docs with `ids` (array<int>); digest: n_tokens, n_byte_tokens, ids_crc32, text_crc32, lossless instead, after decoding the ids again."""
     fields = [T.StructField(n, t) for n, t in (("n_tokens", T.LongType()), ("n_byte_tokens", T.LongType()), ("ids_crc32", T.LongType()), ("text_crc32", T.LongType()), ("lossless", T.BooleanType()))] if digest else [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     base = docs.drop(*(f.name for f in fields))
+    own_key = free_name(base, "_bpe_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = _merger(pieces)
@@ -281,9 +285,9 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
         is_byte[pieces.byte] = 1
         for b in slices(batches, text):
             col = b.column(b.schema.get_field_index(text))
-            keys = np.asarray(b.column(b.schema.get_field_index("_bpe_key"))).view(U64)
+            keys = np.asarray(b.column(b.schema.get_field_index(own_key))).view(U64)
             ids, cut = merger.encode(col, keys, rate)
-            b = b.drop_columns(["_bpe_key"])
+            b = b.drop_columns([own_key])
             if digest:
                 raw, offs = column_bytes(col)
                 blob, n = raw.tobytes(), b.num_rows
@@ -295,7 +299,7 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
                 lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=pc.is_null(col))
                 yield passed(b, ids=lists)
 
-    keyed = base.withColumn("_bpe_key", F.xxhash64(F.lit(seed), F.col(doc_id)))
+    keyed = base.withColumn(own_key, F.xxhash64(F.lit(seed), F.col(doc_id)))
     return keyed.mapInArrow(run, T.StructType([*base.schema.fields, *fields]))
 
 
