@@ -18,8 +18,9 @@ task holds two blocks at most; no pair is left out. A pair of similarity 0.85
 meets in one of the trees with probability above 0.999 (measured in the tests).
 
 Defined results: no words or null text: n_shingles 0, own component, kept. Null id: component null, kept.
-Rows that share an id count as one document, which has the links of each. Columns
-named like the results are replaced.
+Rows that share an id count as one document, which has the links of each. Ids are cast to long (what isn't a number: null).
+Very long texts are read whole. An empty table gives an empty one. Of equal ids and texts any row may be the one that stays.
+`near_duplicates` returns its four columns alone, `one_of_each` those of docs, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridrisk.llm.graph import components
-from gridrisk.llm.textops import U64, Prints, column_bytes, lower_ascii, mix, shingles, slices, stored, words
+from gridrisk.llm.textops import U64, Prints, column_bytes, discard, free_name, lower_ascii, mix, shingles, slices, stored, words
 
 WORDS, PERCENT, PLACES, TREES, LEAF, MAX_DEPTH, BLOCK = 5, 85, 64, 10, 4096, 4, 4096
 #: Candidate ids are told to the scan of the texts as hashes of so many values: that is the bound of what is broadcast.
@@ -78,7 +79,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, k: int = WORDS) -> DataFra
             rows = [sig[i * 4 * PLACES : (i + 1) * 4 * PLACES] for i in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x) for x in (np.diff(offs), _sums(mix(sets), offs), _sums(mix(sets ^ U64(0x5851F42D4C957F2D)), offs))), pa.array(rows, pa.binary())], names=["doc_id", "n_shingles", "f1", "f2", "sig"])
 
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
+    own = docs.select(F.col(doc_id).try_cast("long").alias("doc_id"), F.col(text).alias("_text"))
     return own.mapInArrow(run, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sig binary")
 
 
@@ -213,7 +214,7 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, doc_id: str, text: str, k:
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[[i for i, _ in got]]), pa.array(ids[[j for _, j in got]])], names=["a", "b"])
 
-    own = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("_text"))
+    own = docs.select(F.col(doc_id).try_cast("long").alias("rep"), F.col(text).alias("_text"))
     bucket = F.pmod(F.xxhash64("rep"), F.lit(ID_HASHES)).alias("bucket")
     wanted = F.broadcast(clusters.select(bucket).distinct())  # ID_HASHES rows at most
     own = own.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").select("rep", "_text")
@@ -237,10 +238,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """docs with one row for each component (the smallest id's first row) and all rows without id."""
-    gone = near_duplicates(docs, doc_id, text, **settings).where("not kept").select(F.col("doc_id").alias("_near_gone")).distinct()
-    left = docs.join(gone, F.col(doc_id).cast("long") == F.col("_near_gone"), "left_anti")
-    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text)))
-    named = left.where(F.col(doc_id).isNotNull()).withColumn("_near_nth", nth).where("_near_nth = 1").drop("_near_nth")
+    key, nth = free_name(docs, "_near_gone"), free_name(docs, "_near_nth")
+    gone = near_duplicates(docs, doc_id, text, **settings).where("not kept").select(F.col("doc_id").alias(key)).distinct()
+    left = docs.join(gone, F.col(doc_id).try_cast("long") == F.col(key), "left_anti")
+    order = F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text)))
+    named = left.where(F.col(doc_id).isNotNull()).withColumn(nth, order).where(F.col(nth) == 1).drop(nth)
     return named.unionByName(left.where(F.col(doc_id).isNull()))
 
 
