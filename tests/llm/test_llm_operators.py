@@ -431,7 +431,7 @@ def test_pipeline_stages(spark):
         if name != "sentencepiece":
             assert now.columns == columns
         if name == "near_dedup":
-            comp = brute_components(brute_sets({r["doc_id"]: r["text"] for r in before.collect()}))
+            comp = brute_components(brute_sets({r["doc_id"]: r["text"] for r in before.collect()}), corpus_pipeline.NEAR_PERCENT)
             assert kept[name] == {d for d, c in comp.items() if c == d}
     assert kept["sentencepiece"] == kept["decontamination"] < kept["near_dedup"]
     assert kept["suffix_dedup"] == kept["near_dedup"]
