@@ -5,22 +5,23 @@ with a smaller id. Prefix doubling sorts positions by the pair (rank of the
 first h bytes, rank of what follows them) and goes on with longer prefixes for positions
 whose rank isn't unique yet, until unique or past the threshold. Here:
 
-* Ranks of the first h = GRAM bytes are named by 64-bit fingerprints inside a task,
-  as shorter prefixes would hardly rule out a position. Only minimizers enter: the least
-  name in every LENGTH-byte window (equal windows have equal minimizers), about 1 position in
-  16. A run of windows with the same minimizer is one row.
-* Round 1 sorts the runs by (name, fingerprint of the whole run). A name within one
+* Round 1 rules most positions out. Ranks of the first h = GRAM bytes are named by 64-bit fingerprints inside a task. Only minimizers
+  enter: the least name in every LENGTH-byte window (equal windows have equal minimizers), about 1 position in
+  16. A run of windows with the same minimizer is one row. Runs are sorted by (name, fingerprint of the whole run). A name within one
   document only is unique and drops out. If the whole run occurs in a smaller id, all of its windows are settled at once.
-* Round 2 goes past the threshold for the runs left, at the ends of repeats: each carries its own bytes, and its
-  windows are ranked by the pair (name, fingerprint of LENGTH bytes). The least id of each pair is found by a
-  grouping that combines before its shuffle, and joined back: only equal windows meet, and no task holds a whole name.
+* The runs left, at the ends of repeats, are open, and all of their positions enter the doubling: Spark groups and sorts the first h = GRAM
+  bytes themselves, which gives each string a rank; then the pairs (rank at p, rank at p + h) are ranked, which are strings of
+  2 h bytes, and so on up to LENGTH (GRAM, 2 GRAM, 4 GRAM ... LENGTH). After each round, ranks within one document only are unique and drop out. The
+  smallest id of a rank at LENGTH owns the string. Groups combine before their shuffle, so no task holds all positions of a rank.
+* A name in very many documents (a common line) would put all its runs into one task of round 1. Such names are found on one document in
+  SAMPLE, at most HOT_NAMES of them, and go another way: least and largest id by grouping, joined back. The result is the same by either way.
 
-Fingerprints are thus always compared in pairs of 64 bits.
+Fingerprints are always compared in pairs of 64 bits; ranks are exact.
 
-Defined results: null and empty texts have no bytes and lose none; a row without id
+Defined results: null and empty texts have no bytes and lose none; very long texts are read whole; a row without id (or with one that isn't a number)
 neither loses bytes nor takes them from others; rows with equal ids don't take
 bytes from each other, and each repeated row is reported (rows of one id with different texts are
-told apart by 16 bits of a text hash). Columns named like the results are
+told apart by 16 bits of a text hash). An empty table gives an empty one. Columns named like the results are
 replaced. Cuts can split a UTF-8 character: `kept` is binary.
 """
 
@@ -35,9 +36,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridrisk.llm.textops import U64, Prints, column_bytes, passed, slices, stored
+from gridrisk.llm.textops import U64, Prints, column_bytes, discard, free_name, passed, slices, stored
 
 LENGTH, GRAM = 50, 20
+#: A name is hot with HOT_LEAST runs in the documents looked at; the HOT_NAMES commonest of them count.
+SAMPLE, HOT_NAMES, HOT_LEAST = 64, 1 << 15, 64
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -79,40 +82,99 @@ def _tag(text: str) -> Column:
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
-    return docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("_id"), _tag(text).alias("_tag"), F.col(text).alias("_text")).where(F.octet_length("_text") >= length)
+    return docs.where(F.col(doc_id).try_cast("long").isNotNull()).select(F.col(doc_id).try_cast("long").alias("_id"), _tag(text).alias("_tag"), F.col(text).alias("_text")).where(F.octet_length("_text") >= length)
 
 
 #: tag and start of a range in one number, which takes less room in a shuffle
 _TAG, _LO = "cast(at >> 40 AS int)", "cast(at & ((1L << 40) - 1) AS int)"
 
 
-def _round1(docs: DataFrame, doc_id: str, text: str, length: int, gram: int) -> DataFrame:
-    """Runs that occur in several documents: settled, or open to round 2."""
+def _runs(docs: DataFrame, length: int, gram: int, hot: np.ndarray | None = None, wanted: bool = False) -> DataFrame:
+    """name, whole, _id, at, size of all runs of _texts, but those of hot names (wanted: of hot names only)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text"):
             got = runs(*column_bytes(b.column(2)), length, gram)
+            if hot is not None:
+                own = np.isin(got["name"].view(np.int64), hot) == wanted
+                got = {k: v[own] for k, v in got.items()}
             if len(got["doc"]):
                 ids, tags = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64)
                 cols = got["name"].view(np.int64), got["whole"].view(np.int64), ids[got["doc"]], tags[got["doc"]] << 40 | got["lo"], got["size"].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["name", "whole", "_id", "at", "size"])
 
-    found = _texts(docs, doc_id, text, length).mapInArrow(find, "name bigint, whole bigint, _id bigint, at bigint, size int")
-    name, whole = Window.partitionBy("name"), Window.partitionBy("name", "whole")
-    shared = found.withColumns({"first": F.min("_id").over(name), "last": F.max("_id").over(name), "one": F.min("whole").over(name) == F.max("whole").over(name)}).where("first < last")
-    return shared.withColumn("settled", F.min("_id").over(whole) < F.col("_id")).where("settled or not one").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi", "if(settled, null, name) AS name")
+    return docs.mapInArrow(find, "name bigint, whole bigint, _id bigint, at bigint, size int")
+
+
+def _hot_names(texts: DataFrame, length: int, gram: int) -> np.ndarray:
+    """Names whose runs one task shouldn't hold; which ones doesn't change the result."""
+    some = texts.where(F.pmod(F.xxhash64("_id", "_tag"), F.lit(SAMPLE)) == 0)
+    rows = _runs(some, length, gram).groupBy("name").count().where(F.col("count") >= HOT_LEAST).orderBy(F.desc("count"), "name").limit(HOT_NAMES).select("name").collect()
+    return np.array([r["name"] for r in rows], np.int64)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(name, print, _id, at) of every window of open runs."""
-    for b in slices(batches, "part", 1 << 18):
-        raw, offs = column_bytes(b.column(3))
-        n = np.diff(offs) - length + 1
-        row = np.repeat(np.arange(len(n)), n)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        prints = Prints(raw).windows(length)[offs[row] + nth]
-        name, ids, at = (np.asarray(b.column(i)) for i in range(3))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (name[row], prints.view(np.int64), ids[row], at[row] + nth)], names=["name", "print", "_id", "at"])
+def _round1(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Runs that occur in several documents: settled, or open to the doubling."""
+    hot = _hot_names(texts, length, gram)
+    cold = _runs(texts, length, gram, hot) if len(hot) else _runs(texts, length, gram)
+    name, whole = Window.partitionBy("name"), Window.partitionBy("name", "whole")
+    shared = cold.withColumns({"first": F.min("_id").over(name), "last": F.max("_id").over(name), "one": F.min("whole").over(name) == F.max("whole").over(name)}).where("first < last")
+    found = shared.withColumn("settled", F.min("_id").over(whole) < F.col("_id")).where("settled or not one")
+    kept = ["_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi", "settled"]
+    out = found.selectExpr(*kept)
+    if len(hot):
+        common = stored(_runs(texts, length, gram, hot, True), "suffix-hot")
+        by_name = common.groupBy("name").agg(F.min("_id").alias("first"), F.max("_id").alias("last"), (F.min("whole") == F.max("whole")).alias("one")).where("first < last")
+        by_whole = stored(common.groupBy("name", "whole").agg(F.min("_id").alias("owner")), "suffix-hot-owners")
+        found = common.join(F.broadcast(by_name), "name").join(by_whole.hint("merge"), ["name", "whole"])  # HOT_NAMES rows at most
+        out = out.unionByName(found.withColumn("settled", F.col("owner") < F.col("_id")).where("settled or not one").selectExpr(*kept))
+    return out
+
+
+def _positions(texts: DataFrame, open_: DataFrame, gram: int) -> DataFrame:
+    """(_id, at, key): the first gram bytes at every position of the open runs."""
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "_text", 1 << 18):
+            raw, offs = column_bytes(b.column(2))
+            runs_, count = b.column(3).flatten(), np.asarray(b.column(3).value_lengths())
+            start = np.repeat(offs[:-1], count)
+            edge = np.zeros(len(raw) + 2, np.int32)
+            np.add.at(edge, start + np.asarray(runs_.field("lo")), 1)
+            np.add.at(edge, start + np.asarray(runs_.field("hi")) - gram + 1, -1)
+            at = np.flatnonzero(np.cumsum(edge)[: len(raw)])
+            doc = np.searchsorted(offs, at, side="right") - 1
+            ids, tags = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64)
+            keys = np.lib.stride_tricks.sliding_window_view(raw, gram)[at].tobytes() if len(at) else b""
+            key = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.arange(len(at) + 1) * gram).astype(np.int32)), pa.py_buffer(keys)])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(tags[doc] << 40 | (at - offs[doc])), key], names=["_id", "at", "key"])
+
+    lists = open_.groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi")).alias("_at"))
+    return texts.join(lists, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(carry, "_id bigint, at bigint, key binary")
+
+
+def _ranked(positions: DataFrame, *key: str) -> DataFrame:
+    """(*key, first, own): keys that occur in several documents, with the smallest id and their own rank in order."""
+    several = stored(positions.groupBy(*key).agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").drop("last"), "suffix-groups")
+    ranks = stored(several.sort(*key).withColumn("own", F.monotonically_increasing_id()), "suffix-ranks")
+    discard(several)
+    return ranks
+
+
+def _doubled(positions: DataFrame, length: int, gram: int) -> DataFrame:
+    """(_id, at): positions whose string of length bytes starts in a smaller id too."""
+    h, key = gram, ["key"]
+    while True:
+        ranks = _ranked(positions, *key)
+        if h == length:
+            return positions.join(ranks.hint("merge"), key).where("_id > first").select("_id", "at")
+        now = stored(positions.join(ranks.hint("merge"), key).select("_id", "at", F.col("own").alias("rank")), "suffix-ranked")
+        discard(positions, ranks)
+        step = min(h, length - h)
+        ahead = now.select("_id", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
+        positions = stored(now.join(ahead.hint("merge"), ["_id", "at"]), "suffix-pairs")  # a position without a rank at p + step is unique
+        discard(now)
+        h, key = h + step, ["rank", "next"]
 
 
 def _cell_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -127,48 +189,30 @@ def _cell_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.asarray(b.column(0))[row], at, (hi - lo - 1 + length).astype(np.int32))], names=["_id", "at", "size"])
 
 
-def _round2(docs: DataFrame, open_: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
-    """Ranges of open runs that occur in a smaller id."""
-
-    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text"):
-            raw, offs = column_bytes(b.column(2))
-            runs_, count = b.column(3).flatten(), np.asarray(b.column(3).value_lengths())
-            lo, hi = np.asarray(runs_.field("lo")).astype(np.int64), np.asarray(runs_.field("hi")).astype(np.int64)
-            row = np.repeat(np.arange(b.num_rows), count)
-            ids, tags, blob = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64), raw.tobytes()
-            part = [blob[x:y] for x, y in zip((offs[row] + lo).tolist(), (offs[row] + hi).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([runs_.field("name"), pa.array(ids[row]), pa.array(tags[row] << 40 | lo), pa.array(part, pa.binary())], names=["name", "_id", "at", "part"])
-
-    lists = open_.groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi", "name")).alias("_at"))
-    parts = _texts(docs, doc_id, text, length).join(lists, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(carry, "name bigint, _id bigint, at bigint, part binary")
-    windows = stored(parts, "suffix-parts").mapInArrow(lambda x: _windows(x, length), "name bigint, print bigint, _id bigint, at bigint")
-    owners = windows.groupBy("name", "print").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").select("name", "print", "first")
-    gone = windows.join(stored(owners, "suffix-owners").hint("merge"), ["name", "print"]).where("_id > first")
-    cells = gone.groupBy("_id", F.expr("at >> 5").alias("cell")).agg(F.expr("bit_or(1L << cast(at & 31 AS int))").alias("mask"))
-    return cells.mapInArrow(lambda x: _cell_ranges(x, length), "_id bigint, at bigint, size int").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
-
-
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """_id, _tag (of the text), lo, hi: byte ranges that repeat a smaller id's bytes; they may overlap."""
     if not 0 < gram <= length:
         raise ValueError("gram must not be longer than length")
-    round1 = stored(_round1(docs, doc_id, text, length, gram), "suffix-round1")
-    round2 = stored(_round2(docs, round1.where("name is not null"), doc_id, text, length), "suffix-round2")
-    return round1.where("name is null").select("_id", "_tag", "lo", "hi").unionByName(round2)
+    texts = _texts(docs, doc_id, text, length)
+    round1 = stored(_round1(texts, length, gram), "suffix-round1")
+    gone = _doubled(stored(_positions(texts, round1.where("not settled"), gram), "suffix-positions"), length, gram)
+    cells = gone.groupBy("_id", F.expr("at >> 5").alias("cell")).agg(F.expr("bit_or(1L << cast(at & 31 AS int))").alias("mask"))
+    ranges = cells.mapInArrow(lambda x: _cell_ranges(x, length), "_id bigint, at bigint, size int").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
+    return round1.where("settled").select("_id", "_tag", "lo", "hi").unionByName(stored(ranges, "suffix-ranges"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, returns: tuple[str, ...] = RESULTS) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept (what is left, binary); returns may name `kept_sha256` (lowercase hex) and `kept_text` (what is left, without parts of cut characters; null stays null) too."""
-    ranges = repeated_ranges(docs, doc_id, text, length).groupBy(F.col("_id").alias("_suffix_id"), F.col("_tag").alias("_suffix_tag")).agg(F.collect_list(F.struct("lo", "hi")).alias("_suffix_at"))
     base = docs.drop(*returns)
     names = base.columns
-    joined = base.withColumns({"_suffix_id": F.col(doc_id).cast("long"), "_suffix_tag": _tag(text)}).join(ranges, ["_suffix_id", "_suffix_tag"], "left")
+    own_id, own_tag, own_at = (free_name(docs, x) for x in ("_suffix_id", "_suffix_tag", "_suffix_at"))
+    ranges = repeated_ranges(docs, doc_id, text, length).groupBy(F.col("_id").alias(own_id), F.col("_tag").alias(own_tag)).agg(F.collect_list(F.struct("lo", "hi")).alias(own_at))
+    joined = base.withColumns({own_id: F.col(doc_id).try_cast("long"), own_tag: _tag(text)}).join(ranges, [own_id, own_tag], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text):
             raw, offs = column_bytes(b.column(b.schema.get_field_index(text)))
-            lists = b.column(b.schema.get_field_index("_suffix_at"))
+            lists = b.column(b.schema.get_field_index(own_at))
             flat, count = lists.flatten(), np.asarray(lists.value_lengths().fill_null(0))
             start = np.repeat(offs[:-1], count)
             edge = np.zeros(len(raw) + 1, np.int32)
@@ -190,11 +234,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             if "kept_text" in returns:
                 null = b.column(b.schema.get_field_index(text)).is_null().to_pylist()
                 new["kept_text"] = pa.array([None if n else x.decode("utf-8", "ignore") for n, x in zip(null, kept, strict=True)], pa.string())
-            out = passed(b.drop_columns(["_suffix_at"]), **{k: v for k, v in new.items() if k in returns})
+            out = passed(b.drop_columns([own_at]), **{k: v for k, v in new.items() if k in returns})
             yield out.select([*names, *returns])
 
     kinds = {"kept": T.BinaryType(), "kept_sha256": T.StringType(), "kept_text": T.StringType()}
-    return joined.select(*names, "_suffix_at").mapInArrow(cut, T.StructType([*base.schema.fields, *(T.StructField(c, kinds.get(c, T.LongType())) for c in returns)]))
+    return joined.select(*names, own_at).mapInArrow(cut, T.StructType([*base.schema.fields, *(T.StructField(c, kinds.get(c, T.LongType())) for c in returns)]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
