@@ -443,3 +443,27 @@ def test_pipeline_odd_rows(spark):
         now = corpus_pipeline.stored(stage(spark, now, SMALL), "t")
     got = {r["doc_id"] for r in now.collect()}
     assert {0, 9, None} <= got and not got & {1, 2, 3, 4, 10, 11}
+
+
+def test_suffix_dedup_hot_names_and_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    line = "the same line is in very many of these documents, word by word. "
+    rows = [(i, "".join(map(chr, rng.integers(97, 123, 40 + i % 9))) + line[i % 5 :] * (1 + i % 2) + "".join(map(chr, rng.integers(97, 123, 30)))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def brute(length):
+        first, want = {}, {}
+        for d, t in rows:
+            for i in range(len(t) - length + 1):
+                first.setdefault(t[i : i + length], d)
+        for d, t in rows:
+            gone = {j for i in range(len(t) - length + 1) if first[t[i : i + length]] < d for j in range(i, i + length)}
+            want[d] = "".join(c for i, c in enumerate(t) if i not in gone).encode()
+        return want
+
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 5)
+    assert len(suffix_dedup._hot_names(suffix_dedup._texts(docs, "doc_id", "text", 50), 50, 20))
+    for length in (20, 33, 50, 90):  # one round or several of the doubling
+        got = {r["doc_id"]: bytes(r["kept"]) for r in suffix_dedup.remove_repeats(docs, length=length).collect()}
+        assert got == brute(length)
