@@ -9,14 +9,14 @@ whose rank isn't unique yet, until unique or past the threshold. Here:
   enter: the least name in every LENGTH-byte window (equal windows have equal minimizers), about 1 position in
   16. A run of windows with the same minimizer is one row. Runs are sorted by (name, fingerprint of the whole run). A name within one
   document only is unique and drops out. If the whole run occurs in a smaller id, all of its windows are settled at once.
-* The runs left, at the ends of repeats, are open, and all of their positions enter the doubling: Spark groups and sorts the first h = GRAM
-  bytes themselves, which gives each string a rank; then the pairs (rank at p, rank at p + h) are ranked, which are strings of
-  2 h bytes, and so on up to LENGTH (GRAM, 2 GRAM, 4 GRAM ... LENGTH). After each round, ranks within one document only are unique and drop out. The
-  smallest id of a rank at LENGTH owns the string. Groups combine before their shuffle, so no task holds all positions of a rank.
+* The runs left, at the ends of repeats, are open: each carries its own bytes, and every window in them is ranked by the pair (name of its first
+  half, name of the half that starts LENGTH / 2 further on), which is the doubling step that ends at LENGTH. The smallest id of each pair
+  is found by a grouping that combines before its shuffle, and joined back: only equal windows meet.
+  (All rounds h = 20, 40, 50 with rank pairs joined by position need the tables of 40 positions a run, beyond the disk budget: figures in the README.)
 * A name in very many documents (a common line) would put all its runs into one task of round 1. Such names are found on one document in
   SAMPLE, at most HOT_NAMES of them, and go another way: least and largest id by grouping, joined back. The result is the same by either way.
 
-Fingerprints are always compared in pairs of 64 bits; ranks are exact.
+Fingerprints are always compared in pairs of 64 bits.
 
 Defined results: null and empty texts have no bytes and lose none; very long texts are read whole; a row without id (or with one that isn't a number)
 neither loses bytes nor takes them from others; rows with equal ids don't take
@@ -131,50 +131,42 @@ def _round1(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return out
 
 
-def _positions(texts: DataFrame, open_: DataFrame, gram: int) -> DataFrame:
-    """(_id, at, key): the first gram bytes at every position of the open runs."""
+def _parts(texts: DataFrame, open_: DataFrame) -> DataFrame:
+    """(_id, at, part): the bytes of the open runs."""
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text", 1 << 18):
+        for b in slices(batches, "_text"):
             raw, offs = column_bytes(b.column(2))
             runs_, count = b.column(3).flatten(), np.asarray(b.column(3).value_lengths())
-            start = np.repeat(offs[:-1], count)
-            edge = np.zeros(len(raw) + 2, np.int32)
-            np.add.at(edge, start + np.asarray(runs_.field("lo")), 1)
-            np.add.at(edge, start + np.asarray(runs_.field("hi")) - gram + 1, -1)
-            at = np.flatnonzero(np.cumsum(edge)[: len(raw)])
-            doc = np.searchsorted(offs, at, side="right") - 1
-            ids, tags = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64)
-            keys = np.lib.stride_tricks.sliding_window_view(raw, gram)[at].tobytes() if len(at) else b""
-            key = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.arange(len(at) + 1) * gram).astype(np.int32)), pa.py_buffer(keys)])
-            yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(tags[doc] << 40 | (at - offs[doc])), key], names=["_id", "at", "key"])
+            lo, hi = np.asarray(runs_.field("lo")).astype(np.int64), np.asarray(runs_.field("hi")).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), count)
+            ids, tags, blob = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64), raw.tobytes()
+            part = [blob[x:y] for x, y in zip((offs[row] + lo).tolist(), (offs[row] + hi).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(tags[row] << 40 | lo), pa.array(part, pa.binary())], names=["_id", "at", "part"])
 
     lists = open_.groupBy("_id", "_tag").agg(F.collect_list(F.struct("lo", "hi")).alias("_at"))
-    return texts.join(lists, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(carry, "_id bigint, at bigint, key binary")
+    return texts.join(lists, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(carry, "_id bigint, at bigint, part binary")
 
 
-def _ranked(positions: DataFrame, *key: str) -> DataFrame:
-    """(*key, first, own): keys that occur in several documents, with the smallest id and their own rank in order."""
-    several = stored(positions.groupBy(*key).agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").drop("last"), "suffix-groups")
-    ranks = stored(several.sort(*key).withColumn("own", F.monotonically_increasing_id()), "suffix-ranks")
-    discard(several)
-    return ranks
+def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """(front, back, _id, at) of every window of open runs: the names of its halves."""
+    half = length // 2
+    for b in slices(batches, "part", 1 << 18):
+        raw, offs = column_bytes(b.column(2))
+        n = np.diff(offs) - length + 1
+        row = np.repeat(np.arange(len(n)), n)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        prints, start = Prints(raw), offs[row] + nth
+        front, back = prints.windows(half)[start], prints.windows(length - half)[start + half]
+        ids, at = (np.asarray(b.column(i)) for i in range(2))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (front.view(np.int64), back.view(np.int64), ids[row], at[row] + nth)], names=["front", "back", "_id", "at"])
 
 
-def _doubled(positions: DataFrame, length: int, gram: int) -> DataFrame:
-    """(_id, at): positions whose string of length bytes starts in a smaller id too."""
-    h, key = gram, ["key"]
-    while True:
-        ranks = _ranked(positions, *key)
-        if h == length:
-            return positions.join(ranks.hint("merge"), key).where("_id > first").select("_id", "at")
-        now = stored(positions.join(ranks.hint("merge"), key).select("_id", "at", F.col("own").alias("rank")), "suffix-ranked")
-        discard(positions, ranks)
-        step = min(h, length - h)
-        ahead = now.select("_id", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
-        positions = stored(now.join(ahead.hint("merge"), ["_id", "at"]), "suffix-pairs")  # a position without a rank at p + step is unique
-        discard(now)
-        h, key = h + step, ["rank", "next"]
+def _doubled(parts: DataFrame, length: int) -> DataFrame:
+    """(_id, at): windows of open runs that start in a smaller id too."""
+    windows = parts.mapInArrow(lambda x: _windows(x, length), "front bigint, back bigint, _id bigint, at bigint")
+    owners = windows.groupBy("front", "back").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").select("front", "back", "first")
+    return windows.join(stored(owners, "suffix-owners").hint("merge"), ["front", "back"]).where("_id > first").select("_id", "at")
 
 
 def _cell_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -195,7 +187,7 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         raise ValueError("gram must not be longer than length")
     texts = _texts(docs, doc_id, text, length)
     round1 = stored(_round1(texts, length, gram), "suffix-round1")
-    gone = _doubled(stored(_positions(texts, round1.where("not settled"), gram), "suffix-positions"), length, gram)
+    gone = _doubled(stored(_parts(texts, round1.where("not settled")), "suffix-parts"), length)
     cells = gone.groupBy("_id", F.expr("at >> 5").alias("cell")).agg(F.expr("bit_or(1L << cast(at & 31 AS int))").alias("mask"))
     ranges = cells.mapInArrow(lambda x: _cell_ranges(x, length), "_id bigint, at bigint, size int").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
     return round1.where("settled").select("_id", "_tag", "lo", "hi").unionByName(stored(ranges, "suffix-ranges"))
