@@ -10,19 +10,23 @@ c is the token's training count, N_class and V_class the class's training tokens
 types, and the 1 keeps room for unknown tokens, so that a class's emissions sum to 1.
 
 * Word counts: each task counts its words, Spark sums by word; counts are joined back to the words of each chunk and summed by document. All
-  of this follows the vocabulary, nothing of it reaches the driver but a row per class.
-* Baum-Welch: class sequences of all training documents, in pieces of PIECE
-  tokens, give expected counts per partition; Spark sums them; ITERATIONS rounds over
-  all data. Only the start is a guess: profiles of START documents that differ most.
+  of this follows the vocabulary, nothing of it reaches the driver but a row per class. Counts of words that make up
+  more than one token in HOT_WORDS (so there are fewer than HOT_WORDS) are broadcast, so no frequent word is a join key.
+* Baum-Welch: forward-backward over the whole class sequences of all training documents gives expected counts per partition; Spark sums
+  them; ITERATIONS rounds over all data. Sequences over SPAN tokens are worked through in pieces side by side: the product of a piece's
+  step matrices carries alpha into the next piece and beta into the one before, so counts don't depend on SPAN.
+* The start of the emissions also comes from all training documents: a state's class counts are those of the documents on one side of
+  keyed random planes through the mean class profile.
 * Scoring: the scaled forward recursion over each whole sequence, exact.
 
-Defined results: null and empty texts are the end token alone. Repeated rows are each
-scored; they all count in training. Ids may be null. Without training rows all counts are 0.
+Defined results: null and empty texts are the end token alone; very long texts are read whole. Repeated rows are each
+scored; they all count in training. Ids may be null (such rows are told apart by 64 bits of a text hash) and are cast to long (what isn't
+a number: null). Without training rows all counts are 0. An empty table gives an empty one. Other columns than id, text and held_out don't matter, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,10 @@ from pyspark.sql import functions as F
 
 from gridrisk.llm.textops import U64, Prints, column_bytes, crc_mod, lower_ascii, mix, slices, stored, words
 
-CLASSES, STATES, ITERATIONS, PIECE, START = 4096, 8, 4, 64, 400
+CLASSES, STATES, ITERATIONS, SPAN = 4096, 8, 4, 1024
+#: Tokens that forward-backward works on at once.
+BATCH = 400_000
+HOT_WORDS = 1 << 16
 #: Tokens that a chunk holds before its words are counted and put out.
 CHUNK = 2_500_000
 END = 0x1B873593CC9E2D51
@@ -72,7 +79,7 @@ def _chunk_rows(chunk: int, hashes: np.ndarray, classes: np.ndarray, doc: np.nda
     offs = pa.array(np.append(first, len(h)).astype(np.int32))
     n_train = np.add.reduceat(tf * train[d], first)
     end = h[first] == U64(END)
-    where = pa.array([ids if x else None for x in end], pa.list_(pa.int64())), pa.array([tags if x else None for x in end], pa.list_(pa.int32()))
+    where = pa.array([ids if x else None for x in end], pa.list_(pa.int64())), pa.array([tags if x else None for x in end], pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays(
         [pa.array(h[first].view(np.int64)), pa.array(c[first]), pa.array(n_train), pa.array(np.full(len(first), chunk, np.int64)), pa.ListArray.from_arrays(offs, pa.array(d.astype(np.int32))), pa.ListArray.from_arrays(offs, pa.array(tf.astype(np.int32))), *where],
         names=["word", "cls", "n", "chunk", "docs", "tfs", "ids", "tags"],
@@ -102,7 +109,7 @@ def _chunked(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return docs.mapInArrow(run, "word bigint, cls smallint, n bigint, chunk bigint, docs array<int>, tfs array<int>, ids array<bigint>, tags array<int>")
+    return docs.mapInArrow(run, "word bigint, cls smallint, n bigint, chunk bigint, docs array<int>, tfs array<int>, ids array<bigint>, tags array<bigint>")
 
 
 def _sums(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -112,7 +119,10 @@ def _sums(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # a row per class
         n[r["cls"]], v[r["cls"]] = r["n"], r["v"]
-    seen = rows.select("word", "chunk", "docs", "tfs").join(counts.select("word", "c"), "word")
+    held, known = rows.select("word", "chunk", "docs", "tfs"), counts.select("word", "c")
+    hot = F.broadcast(known.where(F.col("c") * HOT_WORDS > int(n.sum())))  # fewer than HOT_WORDS rows
+    rare = known.where(F.col("c") * HOT_WORDS <= int(n.sum()))
+    seen = held.join(hot, "word").unionByName(held.join(hot, "word", "left_anti").join(rare.hint("merge"), "word"))
     each = seen.select("chunk", F.round(F.log10(F.col("c") + 1) * _FIX).cast("long").alias("gain"), F.explode(F.arrays_zip("docs", "tfs")).alias("x"))
     sums = each.groupBy("chunk", F.col("x.docs").alias("doc")).agg(F.sum(F.col("gain") * F.col("x.tfs")).alias("gain"), F.sum("x.tfs").alias("n_known"))
     names = rows.where(F.col("word") == np.array([END], U64).view(np.int64)[0].item()).select("chunk", F.posexplode(F.arrays_zip("ids", "tags")).alias("doc", "x")).select("chunk", "doc", F.col("x.ids").alias("_id"), F.col("x.tags").alias("_tag"))
@@ -120,47 +130,76 @@ def _sums(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
 
 
 # --------------------------------------------------------------------------- Baum-Welch
-def _pieces(seqs: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens by time and piece, padded; lengths), longest pieces first."""
-    cut = [s[i : i + size] for s in seqs for i in range(0, len(s), size)]
-    length = np.array([len(x) for x in cut])
+def _pieces(seqs: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of up to size tokens, longest first: (tokens by time and piece, pieces that have a token at each time, sequence, place in it)."""
+    cut = [(s[i : i + size], q, i // size) for q, s in enumerate(seqs) for i in range(0, len(s), size)]
+    length = np.array([len(x) for x, _, _ in cut])
     order = np.argsort(-length, kind="stable")
-    out = np.zeros((len(cut), size), np.int16)
-    for row, i in enumerate(order):
-        out[row, : length[i]] = cut[i]
-    return np.ascontiguousarray(out.T), length[order]
-
-
-def expected_counts(start: np.ndarray, move: np.ndarray, emit: np.ndarray, obs: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions (states x classes) of padded pieces, by scaled forward-backward."""
-    steps, n = obs.shape
-    k = len(start)
-    table = np.ascontiguousarray(emit.T.astype(np.float32))
-    a, live = move.astype(np.float32), [int((length > t).sum()) for t in range(steps)]
-    alpha, scale = np.zeros((steps, n, k), np.float32), np.ones((steps, n), np.float32)
-    for t in range(steps):
-        m = live[t]
+    length = length[order]
+    live = len(cut) - np.searchsorted(length[::-1], np.arange(length.max(initial=0)), side="right")
+    tokens_ = np.concatenate([cut[i][0] for i in order]) if len(cut) else np.zeros(0, np.int16)
+    time = np.arange(len(tokens_)) - np.repeat(np.cumsum(length) - length, length)
+    return tokens_[np.argsort(time, kind="stable")], live, *(np.array([cut[i][j] for i in order], np.int64) for j in (1, 2))
+
+
+def _borders(start: np.ndarray, a: np.ndarray, table: np.ndarray, obs: np.ndarray, live: np.ndarray, seq: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(alpha at the end of the piece before, beta at the own end; scaled so that alpha * beta sums to 1 there) of each piece."""
+    n, k = len(seq), len(start)
+    before, after = np.full((n, k), 1 / k, np.float32), np.ones((n, k), np.float32)
+    many = np.flatnonzero(np.bincount(seq, minlength=1)[seq] > 1)
+    if not len(many):
+        return before, after
+    # products of the step matrices of these pieces: row i goes in with state i (a sequence's first piece goes in with any)
+    at, upto = np.concatenate([[0], np.cumsum(live)]), np.searchsorted(many, live)
+    scaled = table / table.max(axis=1, keepdims=True)
+    first = scaled[obs[many]][:, None, :]
+    through = np.where((nth[many] == 0)[:, None, None], start, a) * first
+    for t in range(1, len(live)):
+        m = upto[t]
         if not m:
             break
-        x = table[obs[t, :m]] * (start.astype(np.float32) if t == 0 else alpha[t - 1, :m] @ a)
-        scale[t, :m] = x @ np.ones(k, np.float32)
-        alpha[t, :m] = x / scale[t, :m, None]
-    beta = np.ones((n, k), np.float32)
-    moves, gamma = np.zeros((k, k)), np.zeros((steps, n, k), np.float32)
-    for t in range(steps - 1, -1, -1):
-        m = live[t]
-        if not m:
-            continue
-        if t + 1 < steps and live[t + 1]:
-            m2 = live[t + 1]
-            ahead = table[obs[t + 1, :m2]] * beta[:m2] / scale[t + 1, :m2, None]
-            moves += (alpha[t, :m2].T @ ahead) * a
-            beta[:m2] = ahead @ a.T
-        gamma[t, :m] = alpha[t, :m] * beta[:m]
-    flat = np.concatenate([obs[t, : live[t]] for t in range(steps)])
-    mass = np.concatenate([gamma[t, : live[t]] for t in range(steps)])
-    emits = np.stack([np.bincount(flat, weights=mass[:, i], minlength=emit.shape[1]) for i in range(k)])
-    return gamma[0].sum(axis=0).astype(np.float64), moves, emits
+        x = (through[:m].reshape(-1, k) @ a).reshape(m, k, k) * scaled[obs[at[t] + many[:m]]][:, None, :]
+        through[:m] = x / x.sum(axis=(1, 2), keepdims=True) if t % 8 == 0 else x
+    through /= through.sum(axis=(1, 2), keepdims=True)
+    row = np.lexsort((nth[many], seq[many]))  # places among `many`, sequence by sequence
+    of = nth[many][row]
+    for j in range(1, of.max() + 1):
+        now = np.flatnonzero(of == j)
+        x = np.einsum("pi,pij->pj", before[many[row[now - 1]]], through[row[now - 1]])
+        before[many[row[now]]] = x / x.sum(axis=1, keepdims=True)
+    for j in range(of.max(), 0, -1):
+        now = np.flatnonzero(of == j)
+        x = np.einsum("pij,pj->pi", through[row[now]], after[many[row[now]]])
+        after[many[row[now - 1]]] = x / (x * before[many[row[now]]]).sum(axis=1, keepdims=True)
+    return before, after
+
+
+def expected_counts(start: np.ndarray, move: np.ndarray, emit: np.ndarray, obs: np.ndarray, live: np.ndarray, seq: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions (states x classes) of whole sequences in pieces, by scaled forward-backward."""
+    k, steps = len(start), len(live)
+    table = np.ascontiguousarray(emit.T.astype(np.float32))
+    a, first, ones = move.astype(np.float32), start.astype(np.float32), np.ones(k, np.float32)
+    before, beta = _borders(first, a, table, obs, live, seq, nth)
+    at, fresh = np.concatenate([[0], np.cumsum(live)]).astype(np.int64), nth == 0
+    alpha, scale = np.zeros((len(obs), k), np.float32), np.ones(len(obs), np.float32)
+    for t in range(steps):
+        lo, hi = at[t], at[t + 1]
+        x = table[obs[lo:hi]] * (np.where(fresh[:, None], first, before @ a) if t == 0 else alpha[at[t - 1] : at[t - 1] + hi - lo] @ a)
+        scale[lo:hi] = x @ ones
+        alpha[lo:hi] = x / scale[lo:hi, None]
+    moves = np.zeros((k, k))
+    for t in range(steps - 1, -1, -1):  # alpha turns into gamma
+        lo, hi = at[t], at[t + 1]
+        m = hi - lo
+        gamma = alpha[lo:hi] * beta[:m]
+        ahead = table[obs[lo:hi]] * beta[:m] / scale[lo:hi, None]
+        came = alpha[at[t - 1] : at[t - 1] + m] if t else np.where(fresh[:, None], np.float32(0), before)
+        moves += (came.T @ ahead) * a
+        beta[:m] = ahead @ a.T
+        alpha[lo:hi] = gamma
+    emits = np.stack([np.bincount(obs, weights=alpha[:, i], minlength=emit.shape[1]) for i in range(k)])
+    begins = alpha[: at[1]][fresh].sum(axis=0).astype(np.float64) if steps else np.zeros(k)
+    return begins, moves, emits
 
 
 def _step(seqs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,49 +210,64 @@ def _step(seqs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, width))
         for b in batches:
-            parts = [np.frombuffer(x, np.int16) for x in b.column(0).to_pylist()]
-            lo = 0
-            while lo < len(parts):  # some 250,000 tokens at a time
-                hi, n = lo, 0
-                while hi < len(parts) and n < 250_000:
-                    n += len(parts[hi])
-                    hi += 1
-                begins, moves, emits = expected_counts(*model, *_pieces(parts[lo:hi], PIECE))
+            for parts in _some(b.column(0)):
+                begins, moves, emits = expected_counts(*model, *_pieces(parts, SPAN))
                 total += np.concatenate([begins[:, None], moves, emits], axis=1)
-                lo = hi
         yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array([np.rint(x * 1e6).astype(np.int64) for x in total], pa.list_(pa.int64()))], names=["state", "x"])
 
-    got = seqs.select("seq").mapInArrow(run, "state int, x array<bigint>").select("state", F.posexplode("x").alias("i", "x")).where("x > 0").groupBy("state", "i").agg(F.sum("x").alias("x")).toPandas()  # states x classes rows at most
-    total = np.zeros((k, width))
-    total[got["state"].to_numpy(), got["i"].to_numpy()] = got["x"].to_numpy() / 1e6
+    total = _summed(seqs.select("seq").mapInArrow(run, "state int, x array<bigint>"), k, width) / 1e6
     return total[:, 0], total[:, 1 : 1 + k], total[:, 1 + k :]
 
 
+def _some(col: pa.Array) -> Iterator[list[np.ndarray]]:
+    """Sequences of a column, some BATCH tokens at a time (a longer one by itself)."""
+    held, n = [], 0
+    for x in col.to_pylist():
+        held.append(np.frombuffer(x, np.int16))
+        n += len(held[-1])
+        if n >= BATCH:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def _summed(rows: DataFrame, k: int, width: int) -> np.ndarray:
+    """Sums of (state, x array) rows: k x width numbers at most."""
+    got = rows.select("state", F.posexplode("x").alias("i", "x")).where("x > 0").groupBy("state", "i").agg(F.sum("x").alias("x")).toPandas()
+    total = np.zeros((k, width))
+    total[got["state"].to_numpy(), got["i"].to_numpy()] = got["x"].to_numpy()
+    return total
+
+
 def _guess(seqs: DataFrame) -> np.ndarray:
-    """Emissions to start from: the class profiles of documents that differ most among START ones (START x CLASSES counts reach the driver)."""
+    """Emissions to start from: class counts of the documents in each of STATES cells between keyed planes through the mean profile."""
 
-    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts = [np.bincount(np.frombuffer(x, np.int16), minlength=CLASSES).astype(np.int32).tobytes() for x in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.binary())], names=["counts"])
-
-    some = seqs.where(F.octet_length("seq") >= 128).withColumn("o", F.xxhash64("seq")).orderBy("o").limit(START).select("seq")
-    rows = some.mapInArrow(profile, "counts binary").collect()
-    base = np.full((STATES, CLASSES), 1.0 / CLASSES)
-    if not rows:
-        return base
-    counts = np.stack([np.frombuffer(bytes(r["counts"]), np.int32) for r in rows]).astype(float)
-    unit = np.sqrt(counts / counts.sum(axis=1, keepdims=True))
-    chosen, near = [int(np.argmax(unit @ unit.mean(axis=0)))], None
-    for _ in range(1, STATES):
-        sim = unit @ unit[chosen[-1]]
-        near = sim if near is None else np.maximum(near, sim)
-        chosen.append(int(np.argmin(near)))
-    group = np.argmax(unit @ unit[chosen].T, axis=1)
-    for s in range(STATES):
-        own = counts[group == s].sum(axis=0)
-        base[s] = (own + 0.5) / (own.sum() + 0.5 * CLASSES)
-    return base
+    def run(side: Callable[[np.ndarray, np.ndarray], np.ndarray], k: int) -> np.ndarray:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((k, CLASSES), np.int64)
+            for b in batches:
+                for parts in _some(b.column(0)):
+                    flat, size = np.concatenate(parts).astype(np.int64), np.array([len(x) for x in parts])
+                    cell = side(flat, np.cumsum(size) - size) if k > 1 else np.zeros(len(parts), np.int64)
+                    total += np.bincount(np.repeat(cell, size) * CLASSES + flat, minlength=k * CLASSES).reshape(k, CLASSES)
+            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(list(total), pa.list_(pa.int64()))], names=["state", "x"])
+
+        return _summed(seqs.select("seq").mapInArrow(count, "state int, x array<bigint>"), k, CLASSES)
+
+    mean = run(lambda flat, first: flat, 1)[0]
+    mean = (mean + 0.5) / (mean.sum() + 0.5 * CLASSES)
+    planes = max(1, int(np.ceil(np.log2(STATES))))
+    keyed = mix(np.arange(planes * CLASSES, dtype=U64) + U64(0x51ED270B)).reshape(planes, CLASSES) >> U64(63)
+    weight = np.where(keyed == 1, 1.0, -1.0) / np.sqrt(mean)
+    weight -= (weight @ mean)[:, None]
+
+    def cells(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+        above = np.add.reduceat(weight[:, flat], first, axis=1) > 0
+        return (above.T @ (1 << np.arange(planes))) % STATES
+
+    counts = run(cells, STATES)
+    return (counts + 20 * mean) / (counts.sum(axis=1, keepdims=True) + 20)
 
 
 def baum_welch(seqs: DataFrame, iterations: int = ITERATIONS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -258,12 +312,12 @@ def _sequences(docs: DataFrame) -> DataFrame:
             cols = [b.column(b.schema.get_field_index(x)) for x in ("_id", "_tag", "_held")]
             yield pa.RecordBatch.from_arrays([*cols, pa.array([c[cut[i] : cut[i + 1]].tobytes() for i in range(b.num_rows)], pa.binary())], names=["_id", "_tag", "_held", "seq"])
 
-    return docs.mapInArrow(run, "_id bigint, _tag int, _held boolean, seq binary")
+    return docs.mapInArrow(run, "_id bigint, _tag bigint, _held boolean, seq binary")
 
 
 def score(docs: DataFrame, held_out: str, doc_id: str = "doc_id", text: str = "text", iterations: int = ITERATIONS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; rows with held_out aren't learned from."""
-    own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.hash(F.coalesce(F.col(text), F.lit(""))).alias("_tag"), F.coalesce(F.col(held_out), F.lit(False)).alias("_held"), F.col(text).alias("_text"))
+    own = docs.select(F.col(doc_id).try_cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_tag"), F.coalesce(F.col(held_out), F.lit(False)).alias("_held"), F.col(text).alias("_text"))
     seqs = stored(_sequences(own), "lm-sequences", compression="zstd")
     start, move, emit = baum_welch(seqs.where("not _held"), iterations)
     sums, n, v = _sums(own)
@@ -280,7 +334,7 @@ def score(docs: DataFrame, held_out: str, doc_id: str = "doc_id", text: str = "t
             less = np.add.reduceat(room[flat], np.concatenate([[0], np.cumsum(size)])[:-1])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(size), pa.array(forward(start, move, emit, parts) - less)], names=["_id", "_tag", "_held", "n_tokens", "chain"])
 
-    chains = seqs.mapInArrow(run, "_id bigint, _tag int, _held boolean, n_tokens bigint, chain double").dropDuplicates(["_id", "_tag"])
+    chains = seqs.mapInArrow(run, "_id bigint, _tag bigint, _held boolean, n_tokens bigint, chain double").dropDuplicates(["_id", "_tag"])
     both = sums.alias("s").join(chains.alias("c"), F.expr("s._id <=> c._id and s._tag = c._tag"))
     gain = F.col("gain") / F.lit(float(_FIX))
     return both.select(
