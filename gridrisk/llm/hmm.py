@@ -16,7 +16,7 @@ types, and the 1 keeps room for unknown tokens, so that a class's emissions sum
   them; ITERATIONS rounds over all data. Sequences over SPAN tokens are worked through in pieces side by side: the product of a piece's
   step matrices carries alpha into the next piece and beta into the one before, so counts don't depend on SPAN.
 * The start of the emissions also comes from all training documents: a state's class counts are those of the documents on one side of
-  keyed random planes through the mean class profile.
+  keyed random planes through the mean class profile, then (REGROUPED passes) those of the documents that it makes likeliest.
 * Scoring: the scaled forward recursion over each whole sequence, exact.
 
 Defined results: null and empty texts are the end token alone; very long texts are read whole. Repeated rows are each
@@ -40,6 +40,8 @@ CLASSES, STATES, ITERATIONS, SPAN = 4096, 8, 4, 1024
 #: Tokens that forward-backward works on at once.
 BATCH = 400_000
 HOT_WORDS = 1 << 16
+#: Passes that move each document to the starting state that makes it likeliest.
+REGROUPED = 3
 #: Tokens that a chunk holds before its words are counted and put out.
 CHUNK = 2_500_000
 END = 0x1B873593CC9E2D51
@@ -267,6 +269,13 @@ def _guess(seqs: DataFrame) -> np.ndarray:
         return (above.T @ (1 << np.arange(planes))) % STATES
 
     counts = run(cells, STATES)
+    for _ in range(REGROUPED):
+        likely = np.log(_smoothed(counts, mean))
+        counts = run(lambda flat, first, likely=likely: np.add.reduceat(likely[:, flat], first, axis=1).argmax(axis=0), STATES)
+    return _smoothed(counts, mean)
+
+
+def _smoothed(counts: np.ndarray, mean: np.ndarray) -> np.ndarray:
     return (counts + 20 * mean) / (counts.sum(axis=1, keepdims=True) + 20)
 
 
