@@ -1,20 +1,27 @@
 """License scans with DataFrame functions only: MinHash bands over overlapping text windows.
 
-Words are what lies between ASCII marks and blanks, lower-cased. Every window of six words
-(two five-word shingles) at every word has BANDS minwise tokens, one for each
-band; a template has the same for its own windows. A document retrieves the templates that share a band key with it, and a
-match is a template with at least CONTAINED of its shingles in the document.
+Words are what lies between ASCII marks and blanks, lower-cased; a shingle is five of them. Windows of a document are WIDTH
+shingles long and begin at every STRIDE-th shingle; a template has windows at every shingle. A window has BANDS bands of
+ROWS minwise tokens each (least of the shingle hashes under a keyed flip of their bits); equal bands of a document's and a template's
+window retrieve the template, and a match is a template with at least CONTAINED of its shingles in the document.
 
-The band settings guarantee the collisions: a template of two shingles or more has
-windows that its copy repeats word for word, so all bands agree. A template of one
-shingle (five words) is the least of one of its two windows with probability 2/3 in
-each band, 1 - 3**-8 = 0.99985 in all. A changed template that keeps 80 % of its shingles
-keeps one whole window whenever it has three shingles or more.
+Windows follow the template's length, so that the retrieval is sure: the least number of shingles that stay in one piece when a fifth
+of a template's m shingles go (an inserted word takes four) holds a whole window at each stride, and then all bands agree:
 
-Templates are read by all tasks, so their number is checked (MAX_TEMPLATES).
+| m from | WIDTH | STRIDE | shingles in one piece needed | left in one piece, at least |
+| 40 | 8 | 4 | 11 | 0.8 m / (m / 20 + 1), 11 at m = 40 |
+| 10 | 4 | 2 | 5 | 8 |
+| 2 | 2 | 1 | 2 | 4 (m = 5), m (m < 5) |
+| 1 | 1 | 1 | 1 | 1 |
 
-Defined results: null texts and those of under five words match nothing, nor do
-templates of under five words. Repeated rows give repeated matches. Ids may be null.
+Windows that differ too are retrieved by 1 - (1 - J**ROWS)**BANDS: 0.87 at J = 0.8, 0.44 at 0.5 (each window).
+
+Templates are a table of any size: band keys are joined to the documents' (by broadcast up to KEYS of them, else by shuffle, after
+distinct keys of a document), candidates then get their texts, by a scan that reads candidates' rows only, and their templates.
+
+Defined results: null and empty texts and those of under five words match nothing, nor do
+templates of under five words or without text; very long texts are read whole. Several templates may match one document, each is reported.
+Repeated rows give repeated matches. Ids may be null and are returned as they are. An empty table gives no matches. Other columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,68 +29,97 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BANDS, CONTAINED, MAX_TEMPLATES = 8, 0.8, 2000
-#: Notices by which public licenses are named.
+from gridrisk.llm.textops import stored
+
+BANDS, ROWS, CONTAINED = 2, 2, 0.8
+#: (shingles of a template from which they hold, WIDTH, STRIDE)
+WINDOWS = ((1, 1, 1), (2, 2, 1), (10, 4, 2), (40, 8, 4))
+#: Keys and templates that are broadcast; candidates are told to the second scan as hashes of ID_HASHES values.
+KEYS, TEMPLATES, ID_HASHES = 1_000_000, 2000, 1 << 20
+_MASK = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: Notices by which public licenses are named, and parts of their texts.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0-header", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-disclaimer", "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-warranty", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MIT", "Released under the MIT License."),
     ("MIT-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MIT-warranty", "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
 )
 
 
-def _words(text: str) -> Column:
+def _words(text: Column) -> Column:
     """Hashes of the words."""
-    return F.transform(F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), ""), lambda w: F.xxhash64(w))
+    return F.transform(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _MASK), ""), lambda w: F.xxhash64(w))
 
 
-def _five(words: str) -> Column:
-    w = F.col(words)
-    return F.when(F.size(w) < 5, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - 5), lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(5)))))
+def _shingles(words: Column) -> Column:
+    """Distinct shingles of an array of word hashes."""
+    return F.when(F.size(words) < 5, F.array().cast("array<bigint>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - 5), lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(5))))))
 
 
-def _hashed(grams: str, band: int) -> Column:
-    return F.transform(grams, lambda x: F.xxhash64(x, F.lit(band)))
+def _flip(i: int) -> int:
+    """Bits by which the i-th order of hashes differs (odd multiples of the golden ratio's fraction, as a signed long)."""
+    return ((2 * i + 1) * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
 
 
-def _band(band: int) -> Column:
-    """The band's keys of all windows of two shingles (of a single shingle: its own)."""
-    h = F.col(f"_h{band}")
-    return F.when(F.size(h) < 2, h).otherwise(F.zip_with(F.slice(h, F.lit(1), F.size(h) - 1), F.slice(h, F.lit(2), F.size(h) - 1), lambda a, b: F.least(a, b)))
+def _keys(width: int, starts: Column, bands: int) -> list[Column]:
+    """The band keys of the window of so many shingles that starts in this row; null where there is none."""
+    least = [F.least(*(F.col(f"_g{j}").bitwiseXOR(F.lit(_flip(i))) for j in range(max(width, 2)))) if width > 1 else F.col("_g0").bitwiseXOR(F.lit(_flip(i))) for i in range(bands * ROWS)]
+    return [F.when((F.col("_n") >= width) & starts, F.xxhash64(F.lit(width), F.lit(b), *least[b * ROWS : (b + 1) * ROWS])) for b in range(bands)]
 
 
-def _banded(df: DataFrame, text: str, bands: int) -> DataFrame:
-    """df with _grams and _b0.._bn, the keys of each band."""
-    df = df.withColumn("_words", _words(text)).withColumn("_grams", _five("_words")).drop("_words")
-    df = df.withColumns({f"_h{i}": _hashed("_grams", i) for i in range(bands)})
-    return df.withColumns({f"_b{i}": _band(i) for i in range(bands)}).drop(*(f"_h{i}" for i in range(bands)))
+def _rows(df: DataFrame, words: str, width: int, *keep: str) -> DataFrame:
+    """A row for each word, with its place _at and the shingles from it on, as many as a window has."""
+    shifted = F.arrays_zip(*(F.slice(words, F.lit(j + 1), F.size(words)).alias(f"w{j}") for j in range(width + 4)))
+    rows = df.where(F.size(words) >= 5).select(*keep, F.posexplode(shifted).alias("_at", "_z"))
+    rows = rows.select(*keep, "_at", *(F.col("_z").getField(f"w{j}").alias(f"_w{j}") for j in range(width + 4)))
+    # _g0.. are never null, _n counts those that are there: simpler code in the key expressions
+    there = sum(F.col(f"_w{j}").isNotNull().cast("int") for j in range(1, width + 4))
+    return rows.select(*keep, "_at", (there - F.lit(3)).alias("_n"), *(F.xxhash64(*(F.coalesce(f"_w{j + k}", F.lit(0)) for k in range(5))).alias(f"_g{j}") for j in range(width)))
 
 
 def license_matches(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "license", body: str = "text", bands: int = BANDS, contained: float = CONTAINED) -> DataFrame:
     """doc_id, license, n_template, n_found: every template that a document holds."""
-    own = _banded(templates.select(F.col(name).alias("license"), F.col(body).alias("_t")), "_t", bands).where(F.size("_grams") > 0).withColumn("_grams", F.array_distinct("_grams")).drop("_t").limit(MAX_TEMPLATES + 1).collect()
-    if len(own) > MAX_TEMPLATES:
-        raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    spark = docs.sparkSession
-    known = spark.createDataFrame([(n, r["license"], r["_grams"]) for n, r in enumerate(own)], "t int, license string, grams array<bigint>")
-    holders: dict[int, set[int]] = {}
-    for n, r in enumerate(own):
-        for i in range(bands):
-            for key in r[f"_b{i}"]:
-                holders.setdefault(key, set()).add(n)
-    keys = [F.array(*map(F.lit, sorted({k for r in own for k in r[f"_b{i}"]}))).cast("array<bigint>") for i in range(bands)]
-    lookup = F.create_map(*(x for k, v in sorted(holders.items()) for x in (F.lit(k), F.array(*map(F.lit, sorted(v)))))) if holders else F.lit(None).cast("map<bigint,array<int>>")
-
-    rows = _banded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")), "_text", bands).drop("_text")
-    hits = F.concat(*(F.array_intersect(f"_b{i}", keys[i]) for i in range(bands)))
-    # explode_outer: for explode, the optimizer would infer a filter on the array and compute all of it twice
-    found = rows.select("doc_id", "_grams", F.explode_outer(F.array_distinct(F.flatten(F.transform(hits, lambda k: F.try_element_at(lookup, k))))).alias("t"))
-    matched = found.join(F.broadcast(known), "t").withColumn("n_found", F.size(F.array_intersect("grams", "_grams")).cast("long")).withColumn("n_template", F.size("grams").cast("long"))
-    return matched.where(F.col("n_found") >= contained * F.col("n_template")).select("doc_id", "license", "n_template", "n_found")
+    known = templates.select(F.col(name).alias("license"), _words(F.col(body)).alias("words")).withColumn("grams", _shingles(F.col("words"))).where(F.size("grams") > 0)
+    known = stored(known.withColumn("t", F.monotonically_increasing_id()), "license-templates")
+    of = F.size("words") - 4
+    scales = [(least, width, stride) for least, width, stride in WINDOWS if not known.where((of >= least) & (F.lit(True) if (least, width, stride) == WINDOWS[-1] else of < next(x for x, _, _ in WINDOWS if x > least))).isEmpty()]
+    if not scales:
+        return docs.select(F.col(doc_id).alias("doc_id")).limit(0).select("doc_id", F.lit("").alias("license"), F.lit(0).cast("long").alias("n_template"), F.lit(0).cast("long").alias("n_found"))
+    widest = scales[-1][1]
+    own = F.greatest(*(F.when(F.col("n") >= least, F.lit(width)) for least, width, _ in WINDOWS), F.lit(0))
+    rows = _rows(known.withColumn("n", of), "words", widest, "t", "n").withColumn("own", own)
+    mine = F.array(*(k for _, width, _ in scales for k in _keys(width, F.col("own") == width, bands)))
+    keys = stored(rows.select("t", F.explode(mine).alias("key")).where("key is not null").distinct(), "license-keys")
+    small = keys.count() <= KEYS
+
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("x"), F.col(text).alias("body"))
+    rows = _rows(texts.select("doc_id", "x", _words(F.col("body")).alias("words")), "words", widest, "doc_id", "x")
+    every = F.array(*(k for _, width, stride in scales for k in _keys(width, F.col("_at") % stride == 0, bands)))
+    hits = rows.select("doc_id", "x", F.explode(every).alias("key")).where("key is not null")
+    hits = hits.join(F.broadcast(keys), "key") if small else hits.distinct().join(keys, "key")
+    found = stored(hits.select("doc_id", "x", "t").distinct(), "license-candidates")
+
+    bucket = F.pmod("x", F.lit(ID_HASHES)).alias("bucket")
+    wanted = F.broadcast(found.select(bucket).distinct())  # ID_HASHES rows at most
+    again = texts.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").select("doc_id", "x", "body").alias("d")
+    pairs = again.join(found.alias("f"), F.expr("d.x = f.x AND d.doc_id <=> f.doc_id")).select("d.doc_id", _words(F.col("body")).alias("words"), "t").withColumn("held", _shingles(F.col("words")))
+    lists = known.select("t", "license", "grams")
+    pairs = pairs.join(F.broadcast(lists) if known.limit(TEMPLATES + 1).count() <= TEMPLATES else lists, "t")
+    n_found, n_template = F.size(F.array_intersect("grams", "held")).cast("long"), F.size("grams").cast("long")
+    return pairs.select("doc_id", "license", n_template.alias("n_template"), n_found.alias("n_found")).where(F.col("n_found") >= contained * F.col("n_template"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
