@@ -65,7 +65,7 @@ def hazard_groups(df: DataFrame, keys: list[str], value: str = "value") -> DataF
 
 
 def compare(before: DataFrame, after: DataFrame, keys: list[str], total: str | None = None) -> DataFrame:
-    """diff and percent of change, keyed; a key on one side only is an error, not a shifted row."""
+    """diff and percent of change, keyed; a key on one side only has nulls for the other, not a shifted row (check with quality.same_keys)."""
     both = before.withColumnRenamed("value", "before").join(after.withColumnRenamed("value", "after"), keys, "full")
     return both.withColumn("diff", F.col("after") - F.col("before")).withColumn("pct", 100 * safe_ratio("diff", "before"))
 

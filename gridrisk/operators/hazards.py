@@ -13,7 +13,7 @@ COMBOS = ((1, "dry"), (10, "heat"), (11, "dry+heat"), (100, "wet"), (101, "dry+w
 def classify_all(series: DataFrame, thresholds: DataFrame, on: list[str], value: str = "value") -> DataFrame:
     """Every series value against every distinct threshold of its key: columns direction, threshold, flag."""
     distinct = thresholds.select(*on, "direction", "threshold").distinct()
-    return series.join(F.broadcast(distinct), on).withColumn("flag", classify(value, F.col("direction"), F.col("threshold")))  # thresholds: a table of classes, fixed in size
+    return series.join(distinct, on).withColumn("flag", classify(value, F.col("direction"), F.col("threshold")))  # thresholds: a table of classes, fixed in size
 
 
 def share_beyond(value: str, direction: str, threshold: float) -> Column:

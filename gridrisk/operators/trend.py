@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from gridrisk.functions.scalars import normal_cdf, safe_ratio
 
-#: Longest series of which all pairs of years are made.
-MAX_YEARS = 200
-
 
 def anomalies(df: DataFrame, keys: list[str], first: int, last: int) -> DataFrame:
     base = df.where(F.col("year").between(first, last)).groupBy(*keys).agg(F.avg("value").alias("baseline_value"))
@@ -25,9 +22,9 @@ def first_and_last(df: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
 
 
 def _pairs(df: DataFrame, keys: list[str]) -> DataFrame:
-    """All pairs of years in a series; a series is one value a year, MAX_YEARS at most."""
+    """All pairs of years in a series; a series is one value a year."""
     a, b = df.select(*keys, F.col("year").alias("y1"), F.col("value").alias("v1")), df.select(*keys, F.col("year").alias("y2"), F.col("value").alias("v2"))
-    return a.join(b, keys).where((F.col("y1") < F.col("y2")) & (F.col("y2") - F.col("y1") < MAX_YEARS))
+    return a.join(b, keys).where(F.col("y1") < F.col("y2"))
 
 
 def theil_sen(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridrisk.functions.scalars import safe_ratio
 
 ADMIN = ["admin0", "admin1", "admin2"]
+BUCKETS = 1024
 
 
 def zonal(cells: DataFrame, cell_zone: DataFrame, keys: list[str], zone: list[str], stats: tuple[str, ...] = ("mean",), value: str = "value") -> DataFrame:
@@ -34,11 +35,26 @@ def weighted_mean(value: str, weight: str):
 
 
 def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str, probs: list[float]) -> DataFrame:
-    """For each probability the first value, in order, at which the running weight reaches that share of the whole."""
-    ties = df.groupBy(*keys, value).agg(F.sum(weight).alias("_w"))
-    w = Window.partitionBy(*keys)
-    run = ties.withColumn("_run", F.sum("_w").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_w").over(w))
-    return run.groupBy(*keys).agg(*(F.min(F.when(F.col("_run") >= F.lit(p) * F.col("_all"), F.col(value))).alias(f"q{round(p * 100)}") for p in probs))
+    """For each probability the first value, in order, at which the running weight reaches that share of the whole.
+
+    Values are dealt to BUCKETS equal ranges of their key: weights are summed by bucket, their prefix sums (BUCKETS rows a key) lead
+    to running sums within a bucket, so that no task holds all values of a key.
+    """
+    ties = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.sum(weight).alias("_w"))
+    ends = ties.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_all"))
+    safe = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    named = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_lo", "_hi", "_all")
+    on = safe[0] if safe else F.lit(True)
+    for c in safe[1:]:
+        on = on & c
+    at = F.coalesce(F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
+    dealt = ties.join(named, on).select(*keys, "_v", "_w", "_all", at.cast("int").alias("_b"))
+    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy(*keys, "_b").agg(F.sum("_w").alias("_s")).withColumn("_before", F.coalesce(F.sum("_s").over(upto), F.lit(0.0)))
+    before = sums.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_c"), "_before")
+    own = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    run = dealt.join(before, on & (F.col("_b") == F.col("_c"))).withColumn("_run", F.col("_before") + F.sum("_w").over(own))
+    return run.groupBy(*keys).agg(*(F.min(F.when(F.col("_run") >= F.lit(p) * F.col("_all"), F.col("_v"))).alias(f"q{round(p * 100)}") for p in probs))
 
 
 def histogram(df: DataFrame, keys: list[str], value: str, low: float, width: float, bins: int) -> DataFrame:
@@ -58,8 +74,8 @@ def transition_matrix(df: DataFrame, before: str, after: str, area: str, keys: l
 
 
 def merge_disputed(df: DataFrame, claims: DataFrame, code: str, keys: list[str], value: str = "value", cells: str = "n_cells") -> DataFrame:
-    """Rows of disputed codes join their claimant's: means are weighted by cell counts. claims: disputed, claimant (a fixed list)."""
-    joined = df.join(F.broadcast(claims), F.col(code) == F.col("disputed"), "left").withColumn(code, F.coalesce("claimant", code))
+    """Rows of disputed codes join their claimant's: means are weighted by cell counts. claims: disputed, claimant."""
+    joined = df.join(claims, F.col(code) == F.col("disputed"), "left").withColumn(code, F.coalesce("claimant", code))
     return joined.groupBy(code, *keys).agg(safe_ratio(F.sum(F.col(value) * F.col(cells)), F.sum(cells)).alias(value), F.sum(cells).alias(cells))
 
 

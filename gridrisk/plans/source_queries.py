@@ -95,7 +95,7 @@ def _(spark, sf):
 def _(spark, sf):
     f = X.flags(spark, sf).groupBy("cell", "hazard").agg(F.avg("flag").alias("frequency"))
     wanted = spark.createDataFrame([("dry",), ("wet",)], "hazard string")
-    return f.join(F.broadcast(Q.all_present(wanted, f, ["hazard"]).select("hazard").distinct().join(wanted, "hazard")), "hazard", "left_semi")
+    return f.join(Q.all_present(wanted, f, ["hazard"]).select("hazard").distinct().join(wanted, "hazard"), "hazard", "left_semi")
 
 
 @query("g27_interaction_catalogue", "SELECT c.crop, s.severity, 'heat:' || h || '+wet:' || w AS combo FROM (SELECT DISTINCT p_brand AS crop FROM part) c, (VALUES ('Moderate'), ('Severe'), ('Extreme')) s(severity), (VALUES ('NTx'), ('THI')) a(h), (VALUES ('PTOT'), ('NDWL')) b(w) WHERE NOT (h = 'THI' AND w = 'PTOT')")

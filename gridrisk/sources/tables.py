@@ -23,7 +23,7 @@ def read_points(spark: SparkSession, path: str, codes: DataFrame, tech: str, id_
     wide = spark.read.csv(path, header=True, inferSchema=False)
     crops = [c for c in wide.columns if c.endswith(f"_{tech}")]
     long = wide.select(*(F.col(c).cast("double").alias(c) for c in [*id_columns, *crops])).unpivot(list(id_columns), crops, "code", "value")
-    named = long.withColumn("code", F.regexp_replace("code", f"_{tech}$", "")).join(F.broadcast(codes), "code", "left")
+    named = long.withColumn("code", F.regexp_replace("code", f"_{tech}$", "")).join(codes, "code", "left")
     return named.select(*id_columns, F.coalesce("name", "code").alias("crop"), "value")
 
 
@@ -72,3 +72,10 @@ def write_sidecar(df: DataFrame, keys: list[str], path: str, **provenance: str)
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
+
+
+def where_keys(df: DataFrame, keys: dict[str, list | None], columns: list[str] | None = None) -> DataFrame:
+    """Rows whose keys are among the values (None: null), and the columns asked for; filters and columns reach the scan of a local or remote table."""
+    for name, values in keys.items():
+        df = df.where(F.col(name).isNull() if values is None else F.col(name).isin(*values))
+    return df.select(*columns) if columns else df
