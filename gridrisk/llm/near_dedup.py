@@ -13,8 +13,8 @@ the result is the connected components of all links found.
 3. Each distinct candidate cluster gets its whole texts, and all
    pairs in it that aren't connected yet are confirmed on full sets.
 
-Larger nodes and clusters than BLOCK are dealt out as pairs of blocks, so that a
-task holds two blocks at most; no pair is left out. A pair of similarity 0.85
+Larger nodes than BLOCK classes are dealt out as pairs of blocks, and so are clusters of more than
+BLOCK_SHINGLES shingles in all (long texts count by their length), so that a task holds two blocks at a time; no pair is left out. A pair of similarity 0.85
 meets in one of the trees with probability above 0.999 (measured in the tests).
 
 Defined results: no words or null text: n_shingles 0, own component, kept. Null id: component null, kept.
@@ -36,6 +36,8 @@ from gridrisk.llm.graph import components
 from gridrisk.llm.textops import U64, Prints, column_bytes, discard, free_name, lower_ascii, mix, shingles, slices, stored, words
 
 WORDS, PERCENT, PLACES, TREES, LEAF, MAX_DEPTH, BLOCK = 5, 85, 64, 10, 4096, 4, 4096
+#: Shingles of the texts that a task holds as one block of a cluster.
+BLOCK_SHINGLES = 1 << 21
 #: Candidate ids are told to the scan of the texts as hashes of so many values: that is the bound of what is broadcast.
 ID_HASHES = 1 << 20
 _MUL = mix(np.arange(1, PLACES + 1, dtype=U64)) | U64(1)
@@ -147,7 +149,7 @@ def _in_blocks(rows: DataFrame, group: str, size: DataFrame, *columns: str) -> D
 
 
 def _clusters(reps: DataFrame, trees: int, least: int, percent: int) -> DataFrame:
-    """(cluster, side, rep): the classes that meet in a node and have similar signatures."""
+    """(cluster, side, rep, weight): the classes that meet in a node and have similar signatures, with their shingles."""
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -166,7 +168,7 @@ def _clusters(reps: DataFrame, trees: int, least: int, percent: int) -> DataFram
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches):
             g = g.combine_chunks()
-            ids, side = np.asarray(g["rep"]), np.asarray(g["side"])
+            ids, side, weight = (np.asarray(g[c]) for c in ("rep", "side", "n_shingles"))
             root = np.arange(len(ids))
             _spanning(_matrix(g["sig"]), side, least, None, root)
             for r in np.flatnonzero(np.bincount(root, minlength=len(ids)) > 1):
@@ -174,15 +176,15 @@ def _clusters(reps: DataFrame, trees: int, least: int, percent: int) -> DataFram
                 # by the members: the same cluster of another tree is the same group
                 member = ids[own].astype(U64) ^ (side[own].astype(U64) << U64(60))
                 name = mix(mix(member).sum(keepdims=True) + mix(mix(member) ^ U64(99)).sum(keepdims=True))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, len(own)).view(np.int64)), pa.array(side[own]), pa.array(ids[own])], names=["cluster", "side", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, len(own)).view(np.int64)), pa.array(side[own]), pa.array(ids[own]), pa.array(weight[own])], names=["cluster", "side", "rep", "weight"])
 
     level = stored(reps.select("rep", "sig").mapInArrow(plant, "rep bigint, path bigint"), "paths")
     out = None
     for depth in range(1, MAX_DEPTH + 1):
         nodes = stored(level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "nodes")
         last = depth == MAX_DEPTH
-        leaves = _in_blocks(level, "path", nodes if last else nodes.where(F.col("size") <= LEAF)).join(reps.select("rep", "sig"), "rep").select("unit", "side", "rep", "sig")
-        links = stored(leaves.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "cluster bigint, side int, rep bigint").distinct(), "clusters")
+        leaves = _in_blocks(level, "path", nodes if last else nodes.where(F.col("size") <= LEAF)).join(reps.select("rep", "sig", "n_shingles"), "rep").select("unit", "side", "rep", "sig", "n_shingles")
+        links = stored(leaves.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "cluster bigint, side int, rep bigint, weight bigint").distinct(), "clusters")
         out = links if out is None else out.unionByName(links)
         large = nodes.where(F.col("size") > LEAF)
         if last or large.isEmpty():
@@ -192,6 +194,16 @@ def _clusters(reps: DataFrame, trees: int, least: int, percent: int) -> DataFram
     return out
 
 
+def _by_weight(clusters: DataFrame) -> DataFrame:
+    """(unit, side, rep): a cluster of up to BLOCK_SHINGLES is one unit with its own sides, a heavier one a unit for each pair of its blocks."""
+    heavy = clusters.groupBy("cluster").agg(F.ceil(F.sum("weight") / BLOCK_SHINGLES).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = clusters.join(heavy, "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    across = F.when(F.col("block") == F.col("other"), -1).otherwise((F.col("block") > F.col("other")).cast("int"))
+    unit = F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))
+    return dealt.select(unit.alias("unit"), F.when(F.col("blocks") == 1, F.col("side")).otherwise(across).cast("int").alias("side"), "rep")
+
+
 def _confirmed(docs: DataFrame, clusters: DataFrame, doc_id: str, text: str, k: int, percent: int, least: int) -> DataFrame:
     """(a, b): links on full sets that connect what all such links of a cluster connect."""
 
@@ -218,8 +230,8 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, doc_id: str, text: str, k:
     bucket = F.pmod(F.xxhash64("rep"), F.lit(ID_HASHES)).alias("bucket")
     wanted = F.broadcast(clusters.select(bucket).distinct())  # ID_HASHES rows at most
     own = own.withColumn("bucket", bucket).join(wanted, "bucket", "left_semi").select("rep", "_text")
-    rows = clusters.join(own.hint("merge"), "rep").select("cluster", "side", "rep", "_text")
-    return rows.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(compare, "a bigint, b bigint").where("a <> b")
+    rows = _by_weight(clusters).join(own.hint("merge"), "rep").select("unit", "side", "rep", "_text")
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "a bigint, b bigint").where("a <> b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT, trees: int = TREES) -> DataFrame:

@@ -222,6 +222,19 @@ def test_near_dedup_recall_and_small_blocks(spark, monkeypatch):
     assert got == want
 
 
+def test_near_dedup_heavy_clusters(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 10**9, 300)]
+    rows = [(d, " ".join([*base[d % 9 :], *(f"n{x}" for x in rng.integers(0, 10**9, d % 4))])) for d in range(40)]
+    rows += [(100 + d, " ".join(f"z{d}x{i % 50}" for i in range(3000))) for d in range(3)]
+    want = brute_components(brute_sets(dict(rows)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 900)  # three of these texts
+    for block in (near_dedup.BLOCK, 7):  # sides of a large node inside of heavy clusters as well
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()} == want
+
+
 def test_near_dedup_follows_percent(spark, texts):
     paths = near_dedup.mix(np.arange(1, 20_001, dtype=np.uint64))
     sig = np.zeros((1, near_dedup.PLACES), np.uint32)
