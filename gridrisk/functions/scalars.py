@@ -82,3 +82,11 @@ def nice_step(span: str | Column) -> Column:
     raw = col(span) / 10
     unit = F.pow(F.lit(10.0), F.floor(F.log10(raw)))
     return unit * F.when(raw / unit < 2, 1.0).when(raw / unit < 5, 2.0).otherwise(5.0)
+
+
+def break_sequence(low: str | Column, high: str | Column) -> Column:
+    """Breaks from low to high, both rounded outwards to a tenth, in steps of the power of ten next to a tenth of the span (upwards from 1 on, else downwards); null without a span."""
+    power = F.log10((col(high) - col(low)) / 10)
+    step = F.pow(F.lit(10.0), F.when(power > 0, F.ceil(power)).otherwise(F.floor(power)))
+    first, last = F.floor(col(low) * 10) / 10, F.ceil(col(high) * 10) / 10
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), F.floor((last - first) / step + 1e-10)), lambda k: first + k * step)

@@ -19,9 +19,8 @@ def unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> None:
     """Both sides have the same keys: what a positional pairing would silently shift."""
-    one, two = a.select(*keys), b.select(*keys)
-    _first(one.exceptAll(two), "keys on the left only")
-    _first(two.exceptAll(one), "keys on the right only")
+    more = a.select(*keys, F.lit(1).alias("_n")).unionByName(b.select(*keys, F.lit(-1).alias("_n"))).groupBy(*keys).agg(F.sum("_n").alias("more_on_the_left"))
+    _first(more.where("more_on_the_left <> 0"), "keys on one side only")
 
 
 def equal_models(df: DataFrame, keys: list[str], n: int, model: str = "model") -> DataFrame:

@@ -305,3 +305,26 @@ def hazard_index(risk: DataFrame, weights: DataFrame, how: str = "sum") -> DataF
         rows = rows.withColumn("_top", F.max("_share").over(own)).where(F.col("_share") == F.col("_top"))
         return rows.groupBy("cell").agg(F.avg("score").alias("index"), F.array_join(F.array_sort(F.collect_set("crop")), "+").alias("crop"))
     return rows.groupBy("cell").agg(F.sum(F.col("score") * F.col("_share")).alias("index"), F.max_by("crop", F.struct("_share", "crop")).alias("crop"))
+
+
+# --------------------------------------------------------------------------- masks, calendars, herds
+def mask_split(df: DataFrame, mask: DataFrame, label: str, cell: str = "cell", yes: str = "highland", no: str = "tropical", value: str = "value") -> DataFrame:
+    """Two copies of each row: value * inside named label-yes, value * (1 - inside) named label-no. mask: cell, inside (0 or 1); a cell that isn't in it is 0."""
+    copies = F.array(*(F.struct(F.lit(name).alias("suffix"), share.alias("share")) for name, share in ((yes, F.col("inside")), (no, 1 - F.col("inside")))))
+    rows = df.join(mask, cell, "left").withColumn("inside", F.coalesce("inside", F.lit(0))).withColumn("copy", F.explode(copies))
+    return rows.withColumns({label: F.concat_ws("-", label, "copy.suffix"), value: F.col(value) * F.col("copy.share")}).select(*df.columns)
+
+
+def merged_sowing(df: DataFrame, cell: str = "cell", crop: str = "crop") -> DataFrame:
+    """Median and mean over a cell's crops of their sowing month: that of the first season, or of the only one where the first is missing. df: cell, crop, season (first or single), month."""
+    of = {s: F.median(F.when(F.col("season") == s, F.col("month"))) for s in ("first", "single")}
+    each = df.groupBy(cell, crop).agg(F.coalesce(of["first"], of["single"]).alias("sowing"))
+    return each.groupBy(cell).agg(F.median("sowing").alias("median"), F.avg("sowing").alias("mean"))
+
+
+def livestock_loss(herds: DataFrame, keys: list[str], cattle: str) -> DataFrame:
+    """Change of intake weighted by heads, and the losses of each product split by the cattle's share of the heads. herds: keys, animal, heads, change, meat, milk."""
+    own = F.coalesce(F.sum(F.when(F.col("animal") == cattle, F.col("heads"))), F.lit(0.0))
+    sums = herds.groupBy(*keys).agg(safe_ratio(F.sum(F.col("heads") * F.col("change")), F.sum("heads")).alias("change"), safe_ratio(own, F.sum("heads")).alias("share"), F.sum("meat").alias("meat"), F.sum("milk").alias("milk"))
+    long = sums.unpivot([*keys, "change", "share"], ["meat", "milk"], "product", "loss")
+    return long.select(*keys, "product", "change", "loss", (F.col("loss") * F.col("share")).alias("cattle_loss"), (F.col("loss") * (1 - F.col("share"))).alias("other_loss"))

@@ -27,10 +27,13 @@ def _(spark, sf):
     return G.distribute(G.share_of_total(rows, ["admin1", "crop"]), totals, ["admin1"]).select("cell", "crop", "allocated")
 
 
-@query("g03_split_crop", "SELECT cell, part, sum(value * ratio) AS value FROM exposure, (VALUES ('arabica', 0.7), ('robusta', 0.3)) r(part, ratio) WHERE crop = 'Brand#11' GROUP BY ALL", "exposure")
+@query("g03_split_crop", "SELECT cell, coalesce(part, crop) AS part, sum(value * coalesce(ratio, 1)) AS value FROM exposure LEFT JOIN (VALUES ('Brand#11', 'arabica', 0.7), ('Brand#11', 'robusta', 0.3)) r(c, part, ratio) ON c = crop GROUP BY ALL", "exposure")
 def _(spark, sf):
     parts = F.inline(F.array(F.struct(F.lit("arabica").alias("part"), F.lit(0.7).alias("ratio")), F.struct(F.lit("robusta").alias("part"), F.lit(0.3).alias("ratio"))))
-    return X.exposure(spark, sf).where("crop = 'Brand#11'").select("cell", "value", parts).groupBy("cell", "part").agg(F.sum(F.col("value") * F.col("ratio")).alias("value"))
+    e = X.exposure(spark, sf)
+    split = e.where("crop = 'Brand#11'").select("cell", "value", parts)
+    rows = split.unionByName(e.where("crop <> 'Brand#11'").select("cell", "value", F.col("crop").alias("part"), F.lit(1.0).alias("ratio")))
+    return rows.groupBy("cell", "part").agg(F.sum(F.col("value") * F.col("ratio")).alias("value"))
 
 
 @query("g04_irrigated_share", "SELECT cell, hazard, year, value * coalesce(s, 0) AS irrigated, value * (1 - coalesce(s, 0)) AS rainfed FROM (SELECT *, CASE WHEN cell % 3 <> 0 THEN (cell % 10) / 10.0 END AS s FROM yearly)", "yearly")
@@ -306,15 +309,15 @@ def _(spark, sf):
     return G.compare(a, b, ["hazard", "model"]).groupBy("hazard").agg(F.avg("diff").alias("mean"), F.max("diff").alias("high"), F.min("diff").alias("low"), F.stddev_samp("diff").alias("sd"), F.avg("pct").alias("pct"))
 
 
-@query("p01_unpivot", "SELECT cell, k, v FROM (UNPIVOT (SELECT cell, sum(value) FILTER (hazard = 'A') AS A, sum(value) FILTER (hazard = 'N') AS N FROM yearly GROUP BY cell) ON A, N INTO NAME k VALUE v)", "yearly")
+@query("p01_unpivot", "SELECT cell, k, v FROM (UNPIVOT (SELECT cell, sum(value) FILTER (hazard = 'A') AS A, sum(value) FILTER (hazard = 'N') AS N, sum(value) FILTER (hazard = 'R') AS R FROM yearly GROUP BY cell) ON A, N, R INTO NAME k VALUE v)", "yearly")
 def _(spark, sf):
-    w = X.yearly(spark, sf).groupBy("cell").pivot("hazard", ["A", "N"]).agg(F.sum("value"))
-    return w.unpivot("cell", ["A", "N"], "k", "v").where("v is not null")
+    w = X.yearly(spark, sf).groupBy("cell").pivot("hazard", ["A", "N", "R"]).agg(F.sum("value"))
+    return w.unpivot("cell", ["A", "N", "R"], "k", "v").where("v is not null")
 
 
-@query("p02_pivot", "SELECT cell, sum(value) FILTER (year = 1996) AS \"1996_total\", max(value) FILTER (year = 1996) AS \"1996_top\", sum(value) FILTER (year = 1997) AS \"1997_total\", max(value) FILTER (year = 1997) AS \"1997_top\" FROM yearly GROUP BY cell", "yearly")
+@query("p02_pivot", "SELECT cell, " + ", ".join(f"sum(value) FILTER (hazard = '{h}') AS {h}_total, max(value) FILTER (hazard = '{h}') AS {h}_top" for h in "ANR") + " FROM yearly GROUP BY cell", "yearly")
 def _(spark, sf):
-    return X.yearly(spark, sf).groupBy("cell").pivot("year", [1996, 1997]).agg(F.sum("value").alias("total"), F.max("value").alias("top"))
+    return X.yearly(spark, sf).groupBy("cell").pivot("hazard", ["A", "N", "R"]).agg(F.sum("value").alias("total"), F.max("value").alias("top"))
 
 
 @query("p03_unequal_depth", "SELECT admin0, NULL AS admin1, count(*) AS n FROM zones GROUP BY admin0 UNION ALL SELECT admin0, admin1, count(*) FROM zones GROUP BY ALL", "zones")

@@ -15,8 +15,12 @@ from gridrisk.sources import tables as IO
 
 
 def scratch(spark, name: str) -> str:
-    """A new path in the shared folder (a local one only where the session has none)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-shared-")
+    """A new path in the shared folder (one of its own only for a local session without any)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-shared-")
     return f"{base.rstrip('/')}/gridrisk/{name}-{uuid.uuid4().hex}"
 
 
@@ -39,13 +43,13 @@ def _(spark, sf):
     return IO.read_lookup(spark, path, "crop string, n long, price double")
 
 
-@query("s05_point_grid", "SELECT x, y, CASE k WHEN 'A_h' THEN 'maize' WHEN 'N_h' THEN 'wheat' END AS crop, v AS value FROM (UNPIVOT (SELECT CAST(cell % 10 AS DOUBLE) AS x, CAST(cell // 10 AS DOUBLE) AS y, sum(value) FILTER (hazard = 'A') AS A_h, sum(value) FILTER (hazard = 'N') AS N_h FROM yearly GROUP BY cell, x, y) ON A_h, N_h INTO NAME k VALUE v)", "yearly")
+@query("s05_point_grid", "SELECT x, y, CASE k WHEN 'A_h' THEN 'maize' WHEN 'N_h' THEN 'wheat' WHEN 'R_h' THEN 'rice' END AS crop, v AS value FROM (UNPIVOT (SELECT CAST(cell % 10 AS DOUBLE) AS x, CAST(cell // 10 AS DOUBLE) AS y, sum(value) FILTER (hazard = 'A') AS A_h, sum(value) FILTER (hazard = 'N') AS N_h, sum(value) FILTER (hazard = 'R') AS R_h FROM yearly GROUP BY cell, x, y) ON A_h, N_h, R_h INTO NAME k VALUE v)", "yearly")
 def _(spark, sf):
-    w = X.yearly(spark, sf).groupBy("cell").pivot("hazard", ["A", "N"]).agg(F.sum("value"))
-    w = w.select((F.col("cell") % 10).cast("double").alias("x"), F.expr("cast(cell div 10 as double)").alias("y"), F.col("A").alias("A_h"), F.col("N").alias("N_h"), F.col("A").alias("A_r"))
+    w = X.yearly(spark, sf).groupBy("cell").pivot("hazard", ["A", "N", "R"]).agg(F.sum("value"))
+    w = w.select((F.col("cell") % 10).cast("double").alias("x"), F.expr("cast(cell div 10 as double)").alias("y"), F.col("A").alias("A_h"), F.col("N").alias("N_h"), F.col("R").alias("R_h"), F.col("A").alias("A_r"))
     path = scratch(spark, "points")
     IO.write_csv(w, path)
-    codes = spark.createDataFrame([("A", "maize"), ("N", "wheat")], "code string, name string")
+    codes = spark.createDataFrame([("A", "maize"), ("N", "wheat"), ("R", "rice")], "code string, name string")
     return IO.read_points(spark, path, codes, "h").where("value is not null")
 
 

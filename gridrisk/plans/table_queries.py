@@ -21,15 +21,15 @@ def _(spark, sf):
     return H.hazard_combinations(wide, ["dry", "heat", "wet"], ["cell"]).groupBy("label", F.col("n_hazards").alias("n")).agg(F.count(F.lit(1)).alias("cells"))
 
 
-RISK = "SELECT admin0, admin1, crop, sum(p * value) AS at_risk, sum(value) AS total FROM freq JOIN exposure USING (cell) JOIN zones USING (cell) WHERE crop IN ('Brand#11', 'Brand#12', 'Brand#13') GROUP BY ALL"
+RISK = "SELECT admin0, admin1, crop, sum(p * value) AS at_risk, sum(value) AS total FROM freq JOIN exposure USING (cell) JOIN zones USING (cell) GROUP BY ALL"
 
 
-@query("a39_region_risk_table", f"SELECT admin0, admin1, sum(at_risk) FILTER (crop = 'Brand#11') AS b11, sum(at_risk) FILTER (crop = 'Brand#12') AS b12, sum(at_risk) FILTER (crop = 'Brand#13') AS b13, 100 * sum(at_risk) / nullif(sum(total), 0) AS pct FROM ({RISK}) GROUP BY ALL", "freq", "exposure", "zones")
+@query("a39_region_risk_table", f"SELECT admin0, admin1, sum(at_risk) FILTER (crop = 'Brand#11') AS b11, sum(at_risk) FILTER (crop = 'Brand#12') AS b12, sum(at_risk) FILTER (crop = 'Brand#13') AS b13, sum(at_risk) FILTER (crop NOT IN ('Brand#11', 'Brand#12', 'Brand#13')) AS others, 100 * sum(at_risk) / nullif(sum(total), 0) AS pct FROM ({RISK}) GROUP BY ALL", "freq", "exposure", "zones")
 def _(spark, sf):
     brands = ["Brand#11", "Brand#12", "Brand#13"]
-    r = X.heat_frequency(spark, sf).join(X.exposure(spark, sf).where(F.col("crop").isin(brands)), "cell").join(X.zones(spark, sf), "cell").withColumn("at_risk", F.col("p") * F.col("value"))
+    r = X.heat_frequency(spark, sf).join(X.exposure(spark, sf), "cell").join(X.zones(spark, sf), "cell").withColumn("at_risk", F.col("p") * F.col("value"))
     each = [F.sum(F.when(F.col("crop") == b, F.col("at_risk"))).alias(f"b{b[-2:]}") for b in brands]
-    return r.groupBy("admin0", "admin1").agg(*each, (100 * safe_ratio(F.sum("at_risk"), F.sum("value"))).alias("pct"))
+    return r.groupBy("admin0", "admin1").agg(*each, F.sum(F.when(~F.col("crop").isin(brands), F.col("at_risk"))).alias("others"), (100 * safe_ratio(F.sum("at_risk"), F.sum("value"))).alias("pct"))
 
 
 @query("a40_severity_risk_table", "SELECT admin1, hazard, avg(f) AS share_mean, stddev_samp(f) AS share_sd, avg(m) AS mean_mean, stddev_samp(m) AS mean_sd FROM (SELECT cell, hazard, avg(CAST(value > 700 AS INT)) AS f, avg(value) AS m FROM yearly GROUP BY ALL) JOIN zones USING (cell) GROUP BY ALL", "yearly", "zones")

@@ -35,12 +35,10 @@ def _(spark, sf):
 
 @query("a26_zonal_by_level", "SELECT CASE WHEN grouping(admin2) = 0 THEN 'admin2' WHEN grouping(admin1) = 0 THEN 'admin1' ELSE 'admin0' END AS level, coalesce(admin2, admin1, admin0) AS zone, hazard, 'mean' AS stat, round(avg(value), 2) AS value FROM yearly JOIN zones USING (cell) GROUP BY GROUPING SETS ((admin0, hazard), (admin0, admin1, hazard), (admin0, admin1, admin2, hazard))", "yearly", "zones")
 def _(spark, sf):
-    rows, out = X.yearly(spark, sf), None
-    for level in Z.ADMIN:
-        zone = X.zones(spark, sf).select("cell", F.col(level).alias("zone"))
-        one = Z.zonal(rows, zone, ["hazard"], ["zone"]).select(F.lit(level).alias("level"), "zone", "hazard", F.lit("mean").alias("stat"), F.round("mean", 2).alias("value"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    sets = [[F.col(c) for c in (*Z.ADMIN[:depth], "hazard")] for depth in (1, 2, 3)]  # one scan for all levels
+    rows = X.yearly(spark, sf).join(X.zones(spark, sf), "cell").groupingSets(sets, *Z.ADMIN, "hazard").agg(F.avg("value").alias("mean"), F.grouping("admin1").alias("no1"), F.grouping("admin2").alias("no2"))
+    level = F.when(F.col("no1") == 1, "admin0").when(F.col("no2") == 1, "admin1").otherwise("admin2")
+    return rows.select(level.alias("level"), F.coalesce("admin2", "admin1", "admin0").alias("zone"), "hazard", F.lit("mean").alias("stat"), F.round("mean", 2).alias("value"))
 
 
 @query("a27_zonal_spread", "SELECT admin1, min(value) AS min, max(value) AS max, stddev_samp(value) AS sd FROM yearly JOIN zones USING (cell) GROUP BY ALL", "yearly", "zones")

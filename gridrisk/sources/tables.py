@@ -61,6 +61,12 @@ def write_table(df: DataFrame, path: str, keys: list[str] | None = None, sort: l
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
 
 
+def patch_partition(spark: SparkSession, path: str, key: str, value: str, columns: dict) -> None:
+    """Rewrites one key folder of a table with changed columns; the other folders stay as they are."""
+    rows = spark.read.parquet(path).where(F.col(key) == value).withColumns(columns)
+    write_table(rows, path, keys=[key])
+
+
 def sidecar(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: the sorted distinct values of each key column (keys are dimensions: few values) and the row count."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"), *(F.array_sort(F.collect_set(k)).alias(k) for k in keys))

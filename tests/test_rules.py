@@ -5,8 +5,10 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from gridrisk.functions import scalars
 from gridrisk.operators import rules as R
 from gridrisk.operators import trend, zonal
+from gridrisk.sources import tables
 
 
 def rows(df, *cols):
@@ -154,3 +156,35 @@ def test_weighted_quantiles_of_many_buckets(spark):
 def test_no_pair_of_years_is_left_out(spark):
     df = spark.createDataFrame([("k", y, float(y)) for y in (1000, 1500, 2000)], "k string, year int, value double")
     assert trend.theil_sen(df, ["k"]).first()["slope"] == 1.0 and trend.mann_kendall(df, ["k"]).first()["s"] == 3
+
+
+def test_mask_split_keeps_totals(spark):
+    df = spark.createDataFrame([(1, "cattle", 10.0), (2, "cattle", 4.0), (3, "goats", 6.0)], "cell int, animal string, value double")
+    mask = spark.createDataFrame([(1, 1), (2, 0)], "cell int, inside int")  # cell 3 has no mask
+    got = {(r["cell"], r["animal"]): r["value"] for r in R.mask_split(df, mask, "animal").collect()}
+    assert got == {(1, "cattle-highland"): 10.0, (1, "cattle-tropical"): 0.0, (2, "cattle-highland"): 0.0, (2, "cattle-tropical"): 4.0, (3, "goats-highland"): 0.0, (3, "goats-tropical"): 6.0}
+
+
+def test_sowing_of_single_seasons_fills_first(spark):
+    rows = [(1, "maize", "first", 3), (1, "maize", "single", 9), (1, "teff", "single", 6), (1, "rice", None, 1), (2, "rice", None, 1)]
+    got = {r["cell"]: (r["median"], r["mean"]) for r in R.merged_sowing(spark.createDataFrame(rows, "cell int, crop string, season string, month int")).collect()}
+    assert got == {1: (4.5, 4.5), 2: (None, None)}
+
+
+def test_livestock_loss_by_share_of_heads(spark):
+    rows = [("x", "cattle", 3.0, -0.2, 8.0, 4.0), ("x", "goats", 1.0, -0.6, 0.0, 4.0), ("y", "goats", 2.0, -0.1, 1.0, 0.0), ("z", "cattle", 0.0, -0.1, 0.0, 0.0)]
+    got = {(r["code"], r["product"]): tuple(r)[2:] for r in R.livestock_loss(spark.createDataFrame(rows, "code string, animal string, heads double, change double, meat double, milk double"), ["code"], "cattle").collect()}
+    assert got["x", "meat"] == pytest.approx((-0.3, 8.0, 6.0, 2.0)) and got["x", "milk"] == pytest.approx((-0.3, 8.0, 6.0, 2.0))
+    assert got["y", "meat"] == pytest.approx((-0.1, 1.0, 0.0, 1.0)) and got["z", "meat"] == (None, 0.0, None, None)
+
+
+def test_breaks_and_patched_folder(spark, tmp_path):
+    df = spark.createDataFrame([(1.5, 10.5), (0.0, 250.0), (0.02, 0.17), (5.0, 5.0)], "lo double, hi double")
+    got = [r[0] for r in df.select(scalars.break_sequence("lo", "hi")).collect()]
+    assert got[0] == pytest.approx([1.5 + 0.1 * k for k in range(91)]) and got[1] == [0.0, 100.0, 200.0] and got[2] == pytest.approx([0.01 * k for k in range(21)]) and got[3] is None
+    path = str(tmp_path / "t")
+    tables.write_table(spark.createDataFrame([("F", "R", 1), ("F", "N", 2), ("O", "R", 3)], "scenario string, hazard string, v int"), path, keys=["scenario"])
+    before = sorted(p.name for p in (tmp_path / "t" / "scenario=O").iterdir())
+    tables.patch_partition(spark, path, "scenario", "F", {"hazard": F.when(F.col("hazard") == "R", "A").otherwise(F.col("hazard"))})
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("scenario", "hazard", "v").collect()) == [("F", "A", 1), ("F", "N", 2), ("O", "R", 3)]
+    assert sorted(p.name for p in (tmp_path / "t" / "scenario=O").iterdir()) == before
