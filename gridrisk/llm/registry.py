@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridrisk.llm import decontaminate, hmm, language_id, licenses, near_dedup, quality_classifier, quality_rules, sentencepiece_bpe, sharding, suffix_dedup
+from gridrisk.llm import (
+    decontaminate,
+    hard_negatives,
+    hmm,
+    language_id,
+    licenses,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_bpe,
+    sharding,
+    suffix_dedup,
+    vector_codes,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +35,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": decontaminate.query,
         "op9_language_id": language_id.query,
         "op10_sentencepiece": sentencepiece_bpe.query,
+        "op11_hard_negatives": hard_negatives.query,
+        "op12_vector_codes": vector_codes.query,
+        "op13_packing": packing.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_license_scan": licenses.SQL, "op8_decontamination": decontaminate.SQL}
+    return {"op7_license_scan": licenses.SQL, "op8_decontamination": decontaminate.SQL, "op11_hard_negatives": hard_negatives.SQL, "op12_vector_codes": vector_codes.SQL}

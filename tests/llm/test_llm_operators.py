@@ -261,7 +261,7 @@ def test_components(spark):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.sql(registry.oracle_sql()[name])
     got = registry.queries()[name](spark, SMALL).select(*want.columns).collect()
