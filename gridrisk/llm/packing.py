@@ -7,8 +7,7 @@ and small ones vanish, for every threshold; sizes step down to multiples of 1 /
 sequences that aren't full, a certified one those of its emptiest sequence, and what is given is dealt over fewer, new units and packed anew, as long
 as that saves sequences. Texts are never shuffled, only a narrow row for each piece.
 
-Token ids: chunks between white space are looked up once for each distinct chunk of a slice; the tokenizer itself
-(NFC, white space, lower case, words by a pattern that never crosses white space) gives the ids of a chunk, so they equal those of the whole text (tested).
+Token ids are the library's: its words never cross white space, so each distinct chunk of a slice is encoded once, and the ids equal those of whole texts (tested).
 
 Defined results: a null or empty text, or one of white space only, is the end token alone; very long texts are read whole; repeated rows are pieces of their own;
 a null id is carried through; an empty table gives an empty one; ties in size go by the row's number in the stored table. Other columns, whatever their names, aren't read.
@@ -16,6 +15,8 @@ a null id is carried through; an empty table gives an empty one; ties in size go
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridrisk.llm.textops import Prints, column_bytes, discard, slices, stored, words
+from gridrisk.llm.textops import Prints, column_bytes, discard, lower_ascii, slices, stored, words
 
 SIZE, END, VOCABULARY = 4096, 1, "word_bpe_49k.json"
 #: Pieces in a unit; rounds of exchange at most; functions of the stepping family.
@@ -37,8 +38,29 @@ REMEMBERED = 1 << 18
 
 
 # --------------------------------------------------------------------------- tokens
+#: Marks that may end a chunk of letters, and the steps before the merges of a vocabulary whose words never cross white space.
+TAIL = np.isin(np.arange(256), list(b".,;:!?\"')]"))
+NORMALIZER = ["NFC", "Replace", "Lowercase"]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Second bytes of the letters U+00C0 to U+00FF (the first is C3), and their lower case.
+_LATIN = np.isin(np.arange(256), [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+_LATIN_LOWER = np.where(np.isin(np.arange(256), [b for b in range(0x80, 0x9F) if b != 0x97]), np.arange(256) + 0x20, np.arange(256)).astype(np.uint8)
+_ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+_SMALL = np.isin(np.arange(256), np.arange(97, 123))
+
+
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes bytes: printable ones of Latin-1 as they are, the others, in order, from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(plain))}
+
+
 class Ids:
-    """Token ids of texts by the tokenizers library, each distinct chunk between white space once. vocabulary: a path, or a name that public_tokenizers knows."""
+    """Token ids of texts by the tokenizers library. vocabulary: a path, or a name that public_tokenizers knows.
+
+    With a vocabulary of words (by its own description: the normalizer and the pattern above) each distinct chunk between white space is encoded once a slice, marks at
+    its end apart; a chunk of small letters is one word, which goes to the merges directly. Other vocabularies encode whole texts.
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
@@ -48,7 +70,11 @@ class Ids:
             import public_tokenizers
 
             vocabulary = public_tokenizers.path(vocabulary)
-        self.model, self.known = Tokenizer.from_file(vocabulary), {}
+        self.model, self.known, self.letters = Tokenizer.from_file(vocabulary), {}, _byte_letters()
+        self.merges = self.model.model
+        way = json.loads(self.model.to_str())
+        steps, first = (way["normalizer"] or {}).get("normalizers", []), (way["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.of_words = [n["type"] for n in steps] == NORMALIZER and [x["type"] for x in first] == ["Split", "ByteLevel"] and first[0]["pattern"] == {"Regex": PATTERN} and not first[1]["add_prefix_space"] and all(t["content"].startswith("<|") and not t["normalized"] for t in way["added_tokens"])
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -56,27 +82,60 @@ class Ids:
     def of(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): ids[ends[d]:ends[d + 1]] are those of row d."""
         raw, offs = column_bytes(col)
+        special = b"<|" in raw.tobytes()  # perhaps an added token, which is told by its case and its marks
+        if not special:
+            raw = lower_ascii(raw)
+            after = np.flatnonzero(raw[:-1] == 0xC3) + 1
+            raw[after] = _LATIN_LOWER[raw[after]]
         starts, ends, first = words(raw, offs)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(col) + 1, np.int64)
+        if not special:
+            starts, ends, first = self._without_tails(raw, starts, ends, offs)
         _, rep, which = np.unique(Prints(raw).of(starts, ends), return_index=True, return_inverse=True)
-        size = ends - starts
-        if not self._same(raw, starts, size, rep[which]):  # two chunks with one fingerprint
+        if not self.of_words or not self._same(raw, starts, ends - starts, rep[which]):  # or two chunks with one fingerprint
             got = [np.array(x, np.uint32) for x in self.plain([t or "" for t in col.to_pylist()])]
             return np.concatenate(got), np.concatenate([[0], np.cumsum([len(x) for x in got])])
-        blob = raw.tobytes()
-        chunks = [blob[a:b] for a, b in zip(starts[rep].tolist(), ends[rep].tolist(), strict=True)]
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, chunks
-        self.known.update(zip(new, (np.array(x, np.uint32) for x in self.plain([c.decode("utf-8", "replace") for c in new])), strict=True))
-        ids = [self.known[c] for c in chunks]
+        ids = self._chunks(raw, starts[rep], ends[rep])
         count = np.array([len(x) for x in ids])
-        flat, at = np.concatenate(ids), np.cumsum(count) - count
+        flat, at = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(count.sum())), np.cumsum(count) - count
         n = count[which]
         upto = np.concatenate([[0], np.cumsum(n)])
         return flat[np.repeat(at[which] - upto[:-1], n) + np.arange(upto[-1])], upto[first]
 
+    def _chunks(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
+        latin = raw == 0xC3
+        latin[:-1] &= _LATIN[raw[1:]] & (raw[1:] >= 0x9F)  # small ones
+        latin[-1:] = False
+        letter = _SMALL[raw] | latin
+        letter[1:] |= latin[:-1]
+        upto = np.concatenate([[0], np.cumsum(letter)])
+        word = upto[ends] - upto[starts] == ends - starts
+        blob, known, table, merge = raw.tobytes(), self.known, str.maketrans({chr(b): c for b, c in self.letters.items()}), self.merges.tokenize
+        chunks = [blob[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        if len(known) > REMEMBERED:
+            known.clear()
+        rest = []
+        for c, w in zip(chunks, word.tolist(), strict=True):
+            if c not in known:
+                if w:
+                    known[c] = [t.id for t in merge(c.decode("ascii") if c.isascii() else c.decode("latin-1").translate(table))]
+                else:
+                    rest.append(c)
+        known.update(zip(rest, self.plain([c.decode("utf-8", "replace") for c in rest]), strict=True))
+        return [known[c] for c in chunks]
+
+    @staticmethod
+    def _without_tails(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The marks after a chunk's last letter or digit as chunks of their own: no word of the pattern lies on both sides."""
+        last = np.maximum.accumulate(np.where(TAIL[raw], -1, np.arange(len(raw))))
+        cut = last[ends - 1] + 1
+        before = raw[cut - 1]
+        ok = (cut > starts) & (cut < ends)
+        ok &= _ALNUM[before] | ((raw[np.maximum(cut - 2, 0)] == 0xC3) & _LATIN[before] & (cut - 2 >= starts))
+        starts, ends = np.sort(np.concatenate([starts, cut[ok]])), np.sort(np.concatenate([ends, cut[ok]]))
+        return starts, ends, np.searchsorted(starts, offs)
+
     @staticmethod
     def _same(raw: np.ndarray, starts: np.ndarray, size: np.ndarray, rep: np.ndarray) -> bool:
         """Whether every chunk has the bytes of its representative."""

@@ -175,12 +175,19 @@ def test_packing_odd_rows(spark):
 
 def test_ids_of_chunks_equal_those_of_whole_texts(monkeypatch):
     rng = np.random.default_rng(8)
-    alphabet = ["a", "B", "é", "é", "́", " ", "\n", "\t", " ", " ", "　", "\x1c", "\x85", "'s", "'LL", "İ", "Σ", "ς", "ß", "中", "한", "가", "12", "!?", "<|endoftext|>", "<|start", "oftext|>", "🙂", "\x00", "‍"]
-    texts = ["".join(rng.choice(alphabet, rng.integers(0, 40))) for _ in range(600)] + ["", None, " ", "ΑΣ ΑΣ Σ"]
+    alphabet = ["a", "B", "é", "é", "́", " ", "\n", "\t", " ", " ", "　", "\x1c", "\x85", "'s", "'LL", "İ", "Σ", "ς", "ß", "中", "한", "가", "12", "!?", "🙂", "\x00", "‍", ".", ",", '"', ")", "'", "t", "É", "ÿ", "×", "÷", "À", "—", "ª", "z9", "e"]
+    marked = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|start", "oftext|>", "|>"]
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 40))) for _ in range(1500)] + ["", None, " ", "ΑΣ ΑΣ Σ", "Don't, 'll I've't. É, é. ×, A×. ñ! e\u0301, \u0301."]
     of = packing.Ids("word_bpe_49k.json")
-    ids, ends = of.of(pa.array(texts, pa.string()))
-    want = [of.model.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert [ids[a:b].tolist() for a, b in itertools.pairwise(ends.tolist())] == want
+    assert of.of_words and not packing.Ids("byte_bpe_50k.json").of_words
+    for more in ([], ["".join(rng.choice(alphabet + marked, rng.integers(0, 40))) for _ in range(600)]):
+        texts = texts + more
+        ids, ends = of.of(pa.array(texts, pa.string()))
+        want = [of.model.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(ends.tolist())] == want
+    other = packing.Ids("byte_bpe_50k.json")
+    ids, ends = other.of(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in itertools.pairwise(ends.tolist())] == [other.model.encode(t or "", add_special_tokens=False).ids for t in texts]
     monkeypatch.setattr(packing.Ids, "_same", staticmethod(lambda *_: False))  # as if two chunks shared a fingerprint
     ids, ends = of.of(pa.array(texts, pa.string()))
     assert [ids[a:b].tolist() for a, b in itertools.pairwise(ends.tolist())] == want
