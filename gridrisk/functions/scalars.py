@@ -90,3 +90,25 @@ def break_sequence(low: str | Column, high: str | Column) -> Column:
     step = F.pow(F.lit(10.0), F.when(power > 0, F.ceil(power)).otherwise(F.floor(power)))
     first, last = F.floor(col(low) * 10) / 10, F.ceil(col(high) * 10) / 10
     return F.transform(F.sequence(F.lit(0).cast("bigint"), F.floor((last - first) / step + 1e-10)), lambda k: first + k * step)
+
+
+def pretty_step(low: str | Column, high: str | Column, n: int = 10) -> tuple[Column, Column, Column]:
+    """(step, first, last): round breaks first * step, ..., last * step that cover low to high in about n intervals.
+
+    The step is 1, 2 or 5 times a power of ten, or ten times it: the next larger one as long as it is nearer (by 1.5 and 2.75 parts) to an n-th of the span. Without
+    a span, the n-th is of the value itself. With fewer than a third of n intervals, more are added on both sides (above only, from 0 on). `first` and `last`
+    read a column _step that holds the step.
+    """
+    low, high = col(low).cast("double"), col(high).cast("double")
+    most, least = F.greatest(F.abs(low), F.abs(high)), n // 3
+    flat = (high - low) < F.when((low == 0) & (high == 0), 1.0).otherwise(most) * (1 + 1 / 2.5) * max(1, n) * 2.220446049250313e-16 * 3
+    point = F.when((low == 0) & (high == 0), 1.0).otherwise(F.when(most > 10, 9 + most / 10).otherwise(most)) * 0.75 / max(1, least)
+    cell = F.when(flat, point).otherwise((high - low) / max(1, n))
+    base = F.pow(F.lit(10.0), F.floor(F.log10(cell)))
+    two, five, ten = 2 * base - cell < 1.5 * (cell - base), 5 * base - cell < 2.75 * (cell - 2 * base), 10 * base - cell < 1.5 * (cell - 5 * base)
+    step = base * F.when(two & five & ten, 10.0).when(two & five, 5.0).when(two, 2.0).otherwise(1.0)
+    first, last = F.floor(low / F.col("_step") + 1e-10), F.ceil(high / F.col("_step") - 1e-10)
+    lack = least - (last - first)
+    up = F.when((low == 0) & (first == 0) & (high != 0), lack).when(first >= 0, F.floor(lack / 2)).otherwise(F.ceil(lack / 2))
+    down = F.when((low == 0) & (first == 0) & (high != 0), 0).when(first >= 0, F.ceil(lack / 2)).otherwise(F.floor(lack / 2))
+    return step, F.when(lack > 0, first - down).otherwise(first), F.when(lack > 0, last + up).otherwise(last)

@@ -35,8 +35,8 @@ def bilinear(df: DataFrame, at: DataFrame) -> DataFrame:
     return near.groupBy("px", "py").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value"))
 
 
-def in_ring(x: str | Column, y: str | Column, ring: str | Column) -> Column:
-    """Whether the point lies inside of the ring, an array of (x, y) corners: edges crossed by the ray to the right, odd."""
+def crossings(x: str | Column, y: str | Column, ring: str | Column) -> Column:
+    """How many edges of the ring, an array of (x, y) corners, the ray from the point to the right crosses."""
     n = F.size(col(ring))
 
     def crossed(acc: Column, i: Column) -> Column:
@@ -45,19 +45,40 @@ def in_ring(x: str | Column, y: str | Column, ring: str | Column) -> Column:
         at = (b["x"] - a["x"]) * (col(y) - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"]
         return acc + F.when(over & (col(x) < at), 1).otherwise(0)
 
-    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), crossed) % 2 == 1
+    return F.aggregate(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), F.lit(0), crossed)
+
+
+def in_ring(x: str | Column, y: str | Column, ring: str | Column) -> Column:
+    """Whether the point lies inside of the ring."""
+    return crossings(x, y, ring) % 2 == 1
+
+
+def in_rings(x: str | Column, y: str | Column, rings: str | Column) -> Column:
+    """Whether the point lies inside of an odd number of the rings: parts add, holes take away."""
+    return F.aggregate(col(rings), F.lit(0), lambda acc, ring: acc + crossings(x, y, ring)) % 2 == 1
+
+
+def with_rings(zones: DataFrame) -> DataFrame:
+    """zones with `rings`, an array of rings, whether they came with that or with one ring."""
+    return zones if "rings" in zones.columns else zones.withColumn("rings", F.array("ring"))
+
 
+def assign_zones(cells: DataFrame, zones: DataFrame, tile: int = 5, last: bool = False) -> DataFrame:
+    """The zone of each cell centre: bounding boxes dealt over tiles, then the test of the rings.
 
-def assign_zones(cells: DataFrame, zones: DataFrame, tile: int = 5) -> DataFrame:
-    """The zone (zone_id, ring) of each cell centre: bounding boxes dealt over tiles, then the ring test; the smallest id wins."""
-    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    box = zones.withColumns({"x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys)})
+    zones: zone_id, and ring or rings (parts and holes, even-odd over all of them). Where zones overlap the smallest id wins, or the largest (last:
+    as if zones were drawn in the order of their ids). A hole belongs to whichever zone fills it.
+    """
+    ringed = with_rings(zones)
+    corners = F.flatten("rings")
+    xs, ys = F.transform(corners, lambda p: p["x"]), F.transform(corners, lambda p: p["y"])
+    box = ringed.withColumns({"x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys)})
     tx = F.explode(F.sequence(F.floor(F.col("x0") / tile), F.floor(F.col("x1") / tile)))
     ty = F.explode(F.sequence(F.floor(F.col("y0") / tile), F.floor(F.col("y1") / tile)))
     tiled = box.withColumn("tx", tx).withColumn("ty", ty)
     own = cells.withColumns({"tx": F.floor(F.col("x") / tile), "ty": F.floor(F.col("y") / tile)})
-    hit = own.join(tiled, ["tx", "ty"]).where(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))).where(in_ring("x", "y", "ring"))
-    return hit.groupBy("cell").agg(F.min("zone_id").alias("zone_id"))
+    hit = own.join(tiled, ["tx", "ty"]).where(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))).where(in_rings("x", "y", "rings"))
+    return hit.groupBy("cell").agg((F.max if last else F.min)("zone_id").alias("zone_id"))
 
 
 def first_per_cell(df: DataFrame, order: list[str]) -> DataFrame:

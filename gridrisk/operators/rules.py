@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridrisk.functions.scalars import col, safe_ratio
 from gridrisk.operators.economics import avoided_loss
+from gridrisk.operators.grid import with_rings
 
 #: Exposure variables that only crops, and only livestock have.
 CROP_ONLY, LIVESTOCK_ONLY, GENERIC = ("ha",), ("n", "head_n"), "generic-crop"
@@ -131,10 +132,11 @@ def regrid(df: DataFrame, old: DataFrame, new: DataFrame, pairs: DataFrame) -> D
 
 
 def touching_cells(zones: DataFrame, size: float) -> DataFrame:
-    """zone_id, x, y: cells of the size that an edge of the ring passes through, whatever their centre.
+    """zone_id, x, y: cells of the size that an edge of the ring (or of one of the rings) passes through, whatever their centre.
 
     The edge is cut at every grid line that it crosses; the middle of each piece tells its cell.
     """
+    zones = with_rings(zones).select("zone_id", F.explode("rings").alias("ring"))
     n = F.size("ring")
     edges = zones.select("zone_id", F.posexplode("ring").alias("i", "a"), n.alias("n"), "ring").select("zone_id", "a", F.get("ring", F.pmod(F.col("i") + 1, F.col("n"))).alias("b"))
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridrisk.functions.scalars import safe_ratio
+from gridrisk.functions.scalars import pretty_step, safe_ratio
+from gridrisk.operators.ordered import same_keys, weighted_quantiles  # noqa: F401  (a zonal statistic too)
 
 ADMIN = ["admin0", "admin1", "admin2"]
-BUCKETS = 1024
 
 
 def zonal(cells: DataFrame, cell_zone: DataFrame, keys: list[str], zone: list[str], stats: tuple[str, ...] = ("mean",), value: str = "value") -> DataFrame:
@@ -34,29 +34,6 @@ def weighted_mean(value: str, weight: str):
     return safe_ratio(F.sum(F.col(value) * F.col(weight)), F.sum(F.when(F.col(value).isNotNull(), F.col(weight))))
 
 
-def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str, probs: list[float]) -> DataFrame:
-    """For each probability the first value, in order, at which the running weight reaches that share of the whole.
-
-    Values are dealt to BUCKETS equal ranges of their key: weights are summed by bucket, their prefix sums (BUCKETS rows a key) lead
-    to running sums within a bucket, so that no task holds all values of a key.
-    """
-    ties = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.sum(weight).alias("_w"))
-    ends = ties.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_w").alias("_all"))
-    safe = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    named = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_lo", "_hi", "_all")
-    on = safe[0] if safe else F.lit(True)
-    for c in safe[1:]:
-        on = on & c
-    at = F.coalesce(F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
-    dealt = ties.join(named, on).select(*keys, "_v", "_w", "_all", at.cast("int").alias("_b"))
-    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = dealt.groupBy(*keys, "_b").agg(F.sum("_w").alias("_s")).withColumn("_before", F.coalesce(F.sum("_s").over(upto), F.lit(0.0)))
-    before = sums.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_c"), "_before")
-    own = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    run = dealt.join(before, on & (F.col("_b") == F.col("_c"))).withColumn("_run", F.col("_before") + F.sum("_w").over(own))
-    return run.groupBy(*keys).agg(*(F.min(F.when(F.col("_run") >= F.lit(p) * F.col("_all"), F.col("_v"))).alias(f"q{round(p * 100)}") for p in probs))
-
-
 def histogram(df: DataFrame, keys: list[str], value: str, low: float, width: float, bins: int) -> DataFrame:
     """Counts of right-closed bins (the first one closed on both sides) as an ordered array; values outside aren't counted."""
     at = F.when(F.col(value) == low, 1).otherwise(F.ceil((F.col(value) - low) / width)).cast("int")
@@ -64,6 +41,26 @@ def histogram(df: DataFrame, keys: list[str], value: str, low: float, width: flo
     return counts.select(*keys, F.array(*(F.col(f"_b{b}") for b in range(1, bins + 1))).alias("counts"))
 
 
+def pretty_histogram(df: DataFrame, keys: list[str], value: str, bins: int = 10) -> DataFrame:
+    """breaks and counts as ordered arrays: about `bins` equal bins of a 1-2-5 step over each key's range, so their number differs by key.
+
+    Bins are right-closed, the first one closed on both sides; a value within 1e-7 of a step above a break counts as on it. Counts are summed
+    by bin before anything is put together, so a key's rows never meet in one task. Nulls and values that aren't finite aren't counted; a key without others is left out.
+    """
+    rows = df.where(F.abs(F.col(value).cast("double")) < float("inf"))
+    ends = rows.groupBy(*keys).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+    step, first, last = pretty_step("_lo", "_hi", bins)
+    ends = ends.withColumn("_step", step).withColumns({"_first": first, "_last": last})
+    named = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_step", "_first", "_last")
+    at = F.greatest(F.ceil(F.col(value) / F.col("_step") - F.col("_first") - 1e-7), F.lit(1)).cast("int")
+    counts = rows.join(named, same_keys(keys)).groupBy(*keys, "_step", "_first", "_last", at.alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
+    # a row for each bin from here on
+    made = counts.groupBy(*keys, "_step", "_first", "_last").agg(F.map_from_entries(F.collect_list(F.struct("_bin", "_n"))).alias("_of"))
+    size = (F.col("_last") - F.col("_first")).cast("int")
+    breaks = F.transform(F.sequence(F.lit(0), size), lambda i: (F.col("_first") + i) * F.col("_step"))
+    return made.select(*keys, breaks.alias("breaks"), F.transform(F.sequence(F.lit(1), size), lambda i: F.coalesce(F.try_element_at("_of", i), F.lit(0).cast("long"))).alias("counts"))
+
+
 def area_share(df: DataFrame, keys: list[str], area: str, **conditions) -> DataFrame:
     """Percent of the area that meets each condition."""
     return df.groupBy(*keys).agg(*(safe_ratio(100 * F.sum(F.when(c, F.col(area)).otherwise(0.0)), F.sum(area)).alias(n) for n, c in conditions.items()))
