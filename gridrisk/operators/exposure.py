@@ -39,6 +39,37 @@ def nearby_fill(df: DataFrame, edges: DataFrame, unit: str, region: str, keys: l
     return rows.withColumn("source", source).withColumn("filled", F.coalesce(value, "_near", "_region", "_all")).drop("_near", "_region", "_all", "_sum", "_n")
 
 
+def nearby_levels(df: DataFrame, places: DataFrame, edges: DataFrame, value: str = "value") -> DataFrame:
+    """df (unit, crop, value) with the means of what the neighbours (near), the others of the region (of_region) and the whole continent (of_continent) have.
+
+    places: unit, region, continent (every unit of df). edges: unit, neighbour.
+    """
+    rows = df.join(places, "unit")
+    near = edges.join(df.select(F.col("unit").alias("neighbour"), "crop", F.col(value).alias("_v")), "neighbour").groupBy("unit", "crop").agg(F.avg("_v").alias("near"))
+    region = rows.groupBy("region", "crop").agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    continent = rows.groupBy("continent", "crop").agg(F.avg(value).alias("of_continent"))
+    rows = rows.join(near, ["unit", "crop"], "left").join(region, ["region", "crop"]).join(continent, ["continent", "crop"])
+    others = safe_ratio(F.col("_sum") - F.coalesce(value, F.lit(0.0)), (F.col("_n") - F.col(value).isNotNull().cast("int")).cast("double"))
+    return rows.withColumn("of_region", others).drop("_sum", "_n")
+
+
+def hybrid_value(production: DataFrame, prices: DataFrame, world: DataFrame, places: DataFrame, edges: DataFrame, per: float = 1000.0, digits: int = 0) -> DataFrame:
+    """unit, crop and the value of production in five ways, each the unit's own production times a price: own, near, of_region, of_continent (over `per`, rounded) and of_world.
+
+    The world's price is its value over its production, already in the value's units. value: the first of the five that there is, and step its name; value_nearby leaves
+    the world out, value_world has nothing between own and world. A unit without production has none.
+
+    production: unit, crop, production. prices: unit, crop, price (may be null). world: crop, value, production.
+    """
+    levels = nearby_levels(prices.select("unit", "crop", F.col("price").alias("own")), places, edges, "own")
+    of_world = world.groupBy("crop").agg(safe_ratio(F.sum("value"), F.sum("production").cast("double")).alias("_world"))
+    rows = production.join(levels, ["unit", "crop"], "left").join(of_world, "crop", "left")
+    steps = ["own", "near", "of_region", "of_continent"]
+    rows = rows.withColumns({s: F.round(F.col("production") * F.col(s) / per, digits) for s in steps} | {"of_world": F.col("production") * F.col("_world")})
+    name = F.coalesce(*(F.when(F.col(s).isNotNull(), F.lit(s)) for s in (*steps, "of_world")))
+    return rows.select("unit", "crop", *steps, "of_world", F.coalesce(*steps, "of_world").alias("value"), name.alias("step"), F.coalesce(*steps).alias("value_nearby"), F.coalesce("own", "of_world").alias("value_world"))
+
+
 def risk_times_exposure(freq: DataFrame, exposure: DataFrame, p: str = "p", value: str = "value") -> DataFrame:
     """at_risk = frequency x exposure, by cell; crops come with the exposure."""
     return freq.join(exposure, "cell").withColumn("at_risk", F.col(p) * F.col(value))

@@ -7,10 +7,11 @@ bucket's own rows, so that one shuffle by (key, bucket) serves both.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridrisk.functions.scalars import col
+from gridrisk.sources.shared import pinned
 
 #: Buckets of a key (a power of two), and the sketch's accuracy: the largest bucket has about 1 / BUCKETS + 2 / ACCURACY of a key's distinct values.
 BUCKETS, ACCURACY = 256, 5120
@@ -18,26 +19,6 @@ BUCKETS, ACCURACY = 256, 5120
 BLOCK = 1 << 16
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """df by a reliable checkpoint: what two branches of a plan must agree on isn't computed twice, and lost executors don't change it."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(_checkpoint_dir(spark))
-    return df.checkpoint()
-
-
-def _checkpoint_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only a local session without it (tests) gets a folder of its own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        import tempfile
-
-        found = tempfile.mkdtemp(prefix="spark-shared-")
-    return found
-
-
 def same_keys(keys: list[str], prefix: str = "_k") -> Column:
     """Null-safe equality of the keys and their copies prefix0, prefix1, ..."""
     on = F.lit(True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,18 @@ from gridrisk.operators.grid import with_rings
 
 #: Exposure variables that only crops, and only livestock have.
 CROP_ONLY, LIVESTOCK_ONLY, GENERIC = ("ha",), ("n", "head_n"), "generic-crop"
+#: Rows that a lookup list (crops, parts, animals) may have where it's set against every row of a table.
+LISTED = 10_000
+
+
+def listed(df: DataFrame, *columns: str) -> Column:
+    """The distinct rows of a lookup list as an array to explode, read once; more than LISTED of them are an error."""
+    kind = df.select(*columns).schema
+    rows = sorted((tuple(r) for r in df.select(*columns).distinct().limit(LISTED + 1).collect()), key=str)
+    if len(rows) > LISTED:
+        raise ValueError(f"a list of {', '.join(columns)} has more than {LISTED} rows")
+    each = [F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, kind.fields, strict=True))) for r in rows]
+    return F.array(*each) if each else F.array().cast(f"array<{kind.simpleString()}>")
 
 
 # --------------------------------------------------------------------------- exposure
@@ -20,9 +33,12 @@ def selected_exposure(freq: DataFrame, exposure: DataFrame, kinds: DataFrame, di
     """at_risk of the pairs that make sense.
 
     freq: cell, commodity, p. exposure: cell, commodity, variable, value. kinds: commodity, kind (crop or livestock).
-    Livestock has no harvested area and crops no heads: such pairs are left out. A commodity without exposure is an
-    error. The generic crop goes against every crop, and against their sum under its own name.
+    Livestock has no harvested area and crops no heads: such pairs are left out. A commodity without exposure, and an exposed one without a kind, is an
+    error, found by a job of its own before the plan is returned. The generic crop goes against every crop, and against their sum under its own name.
     """
+    bare = exposure.select("commodity").distinct().join(kinds, "commodity", "left_anti").limit(5).collect()
+    if bare:
+        raise ValueError("no kind of " + ", ".join(sorted(str(r[0]) for r in bare)))
     crops = exposure.join(kinds, "commodity").where((F.col("kind") != "crop") | ~F.col("variable").isin(*LIVESTOCK_ONLY)).where((F.col("kind") != "livestock") | ~F.col("variable").isin(*CROP_ONLY))
     named, generic = freq.where(F.col("commodity") != GENERIC), freq.where(F.col("commodity") == GENERIC).select("cell", "p")
     unknown = named.select("commodity").distinct().join(exposure.select("commodity").distinct(), "commodity", "left_anti").limit(5).collect()
@@ -42,37 +58,47 @@ def national_statistics(df: DataFrame, items: DataFrame, areas: DataFrame, eleme
     """
     own = df.where((F.col("element") == element) & F.col("unit").isin(*units) & F.col("year").between(first, last))
     known = own.join(items, "item").join(areas, "area").groupBy("iso3", "crop", "year").agg(F.sum("value").alias("value"))
-    crops = items.select("crop").distinct().agg(F.array_sort(F.collect_set("crop")).alias("_crops"))  # the crops of a lookup in one row
-    keys = areas.select("iso3").distinct().withColumn("_one", F.lit(1)).join(crops.withColumn("_one", F.lit(1)), "_one").select("iso3", F.explode("_crops").alias("crop"))
+    keys = areas.select("iso3").distinct().select("iso3", F.inline(listed(items, "crop")))
     return keys.withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last)))).join(known, ["iso3", "crop", "year"], "left")
 
 
-def price_ladder(df: DataFrame, places: DataFrame, edges: DataFrame, recent: int, keep_global: list[str] = (), floors: dict[str, float] | None = None) -> DataFrame:
-    """unit, crop, price, step: median since `recent`, median of all years, then means of what neighbours, region, continent and all have by those two.
+def price_ladder(df: DataFrame, places: DataFrame, edges: DataFrame, recent: tuple[int, int], keep_global: list[str] = (), floors: dict[str, float] | None = None, world: DataFrame | None = None, longer: int = 5) -> DataFrame:
+    """unit, crop, price, step: the first of these steps that has a price.
+
+    recent: the unit's median in the years `recent`; longer: its median from `longer` years before them on; near, of_region, of_continent: the mean of what its
+    neighbours, the others of its region, and its continent have in the recent years alone; of_all: the world's median in those years (without `world`, the mean of all units).
+    Crops of keep_global take the world price whatever they have, and their continent's only without one. A price under its crop's floor becomes the mean of all units' longer medians (of_longer).
 
-    df: unit, crop, year, price. places: unit, region, continent (every unit). edges: unit, neighbour. Crops of
-    keep_global skip the steps after their own prices but the last. A price under its crop's floor becomes the crop's mean.
+    df: unit, crop, year, price. places: unit, region, continent (every unit). edges: unit, neighbour. world: crop, year, price.
     """
-    crops = df.select("crop").distinct()
-    two = df.groupBy("unit", "crop").agg(F.median(F.when(F.col("year") >= recent, F.col("price"))).alias("recent"), F.median("price").alias("longer"))
-    own = places.withColumn("_one", F.lit(1)).join(crops.withColumn("_one", F.lit(1)), "_one").drop("_one").join(two, ["unit", "crop"], "left").withColumn("own", F.coalesce("recent", "longer"))
-    near = edges.join(own.select(F.col("unit").alias("neighbour"), "crop", "own"), "neighbour").groupBy("unit", "crop").agg(F.avg("own").alias("near"))
+    first, last = recent
+    now = F.col("year").between(first, last)
+    two = df.groupBy("unit", "crop").agg(F.median(F.when(now, F.col("price"))).alias("recent"), F.median(F.when(F.col("year").between(first - longer, last), F.col("price"))).alias("longer"))
+    own = places.withColumn("crop", F.explode(listed(df, "crop"))).withColumn("crop", F.col("crop.crop")).join(two, ["unit", "crop"], "left")
+    near = edges.join(own.select(F.col("unit").alias("neighbour"), "crop", "recent"), "neighbour").groupBy("unit", "crop").agg(F.avg("recent").alias("near"))
     rows = own.join(near, ["unit", "crop"], "left")
-    for level, keys in (("of_region", ["region", "crop"]), ("of_continent", ["continent", "crop"]), ("of_all", ["crop"])):
-        rows = rows.join(own.groupBy(*keys).agg(F.avg("own").alias(level)), keys)
-    steps = ["recent", "longer", "near", "of_region", "of_continent", "of_all"]
-    open_ = [F.when(~F.col("crop").isin(*keep_global), F.col(s)) if keep_global and s in steps[2:5] else F.col(s) for s in steps]
-    price, step = F.coalesce(*open_), F.coalesce(*(F.when(c.isNotNull(), F.lit(s)) for c, s in zip(open_, steps, strict=True)))
-    least = F.coalesce(*(F.when(F.col("crop") == c, F.lit(x)) for c, x in (floors or {}).items()), F.lit(-math.inf))
-    return rows.select("unit", "crop", F.when(price < least, F.col("of_all")).otherwise(price).alias("price"), F.when(price < least, "of_all").otherwise(step).alias("step"))
+    levels = [("of_region", ["region", "crop"], "recent"), ("of_continent", ["continent", "crop"], "recent"), ("of_longer", ["crop"], "longer")]
+    for level, keys, what in levels if world is not None else [*levels, ("of_all", ["crop"], "recent")]:
+        rows = rows.join(own.groupBy(*keys).agg(F.avg(what).alias(level)), keys)
+    if world is not None:
+        rows = rows.join(world.where(now).groupBy("crop").agg(F.median("price").alias("of_all")), "crop", "left")
+    steps, fixed = ["recent", "longer", "near", "of_region", "of_continent", "of_all"], ["of_all", "of_continent"]
+
+    def pick(names: list[str]) -> tuple[Column, Column]:
+        return F.coalesce(*names), F.coalesce(*(F.when(F.col(n).isNotNull(), F.lit(n)) for n in names))
+
+    kept = F.col("crop").isin(*keep_global)
+    price, step = (F.when(kept, a).otherwise(b) for a, b in zip(pick(fixed), pick(steps), strict=True)) if keep_global else pick(steps)
+    low = price < F.coalesce(*(F.when(F.col("crop") == c, F.lit(x)) for c, x in (floors or {}).items()), F.lit(-math.inf))
+    return rows.select("unit", "crop", F.when(low, F.col("of_longer")).otherwise(price).alias("price"), F.when(low, "of_longer").otherwise(step).alias("step"))
 
 
 def split_by_ratio(df: DataFrame, ratios: DataFrame, combined: str) -> DataFrame:
     """The combined crop's rows as its parts, by each unit's production; a unit without production by that of all. ratios: unit, part, production."""
-    whole = ratios.groupBy("part").agg(F.sum("production").alias("_p"))
-    share = whole.withColumn("_s", safe_ratio("_p", F.sum("_p").over(Window.partitionBy()))).select("part", "_s")  # a row for each part
+    share = ratios.groupBy("part").agg(F.sum("production").alias("_p"))
+    share = share.withColumn("_s", safe_ratio("_p", F.sum("_p").over(Window.partitionBy())))  # a row for each part
     own = ratios.withColumn("_r", safe_ratio("production", F.sum("production").over(Window.partitionBy("unit")))).select("unit", "part", "_r")
-    rows = df.where(F.col("crop") == combined).withColumn("_one", F.lit(1)).join(share.withColumn("_one", F.lit(1)), "_one").join(own, ["unit", "part"], "left")
+    rows = df.where(F.col("crop") == combined).select("*", F.inline(listed(share, "part", "_s"))).join(own, ["unit", "part"], "left")
     has = F.max("_r").over(Window.partitionBy("unit")).isNotNull()
     parts = rows.withColumn("value", F.col("value") * F.when(has, F.coalesce("_r", F.lit(0.0))).otherwise(F.col("_s"))).withColumn("crop", F.col("part"))
     return df.where(F.col("crop") != combined).unionByName(parts.select(*df.columns))
@@ -107,19 +133,25 @@ def repair_seasons(df: DataFrame, late_countries: list[str], late: int = 30) ->
 
 
 # --------------------------------------------------------------------------- zones
-def merge_claims(df: DataFrame, claims: DataFrame, counts: DataFrame, code: str, keys: list[str], how: str = "mean", value: str = "value") -> DataFrame:
-    """National rows (null admin1) of a disputed code put together with its claimant's: sum, min, max, or mean by cells.
+def merge_claims(df: DataFrame, claims: DataFrame, counts: DataFrame, code: str, keys: list[str], how: str = "mean", value: str = "value", iso3: str = "iso3") -> DataFrame:
+    """National rows (null admin1) of disputed areas put together with those of the country that claims them: sum, min, max, or mean by cells.
 
-    claims: disputed, claimant. counts: code, n_cells. All other rows stay; the columns keep their order.
+    A disputed area has a row of its own for each claimant, with the claimant's iso3 (one of the keys): rows of equal keys go together, whatever their code, and take the code
+    of that country. All other rows stay as they are, once each. claims: disputed, claimant, iso3 (several rows a disputed code). counts: code, n_cells. A sum of nothing
+    is 0, other statistics of nothing are null. The columns keep their order; those that are neither key, code nor value become null in the rows put together.
     """
-    part = claims.select(F.col("disputed").alias(code), "claimant").unionByName(claims.select(F.col("claimant").alias(code), "claimant").distinct())
-    rows = df.join(part, code, "left")
-    concerned = F.col("claimant").isNotNull() & F.col("admin1").isNull()
-    weighed = rows.where(concerned).join(counts.withColumnRenamed("code", code), code, "left")
+    if iso3 not in keys:
+        raise ValueError(f"{iso3} must be one of the keys")
+    codes = claims.select(F.col("disputed").alias(code)).unionByName(claims.select(F.col("claimant").alias(code))).distinct()
+    rows = df.join(codes.withColumn("_concerned", F.lit(True)), code, "left")  # a code once
+    concerned = F.col("_concerned").isNotNull() & F.col("admin1").isNull()
+    weighed = rows.where(concerned).join(counts.select(F.col("code").alias(code), "n_cells"), code, "left")
     n = F.when(F.col(value).isNotNull(), F.coalesce("n_cells", F.lit(0)))
-    made = {"sum": F.sum(value), "min": F.min(value), "max": F.max(value), "mean": safe_ratio(F.sum(F.col(value) * n), F.sum(n).cast("double"))}[how]
-    merged = weighed.groupBy(F.col("claimant").alias(code), *keys).agg(made.alias(value)).withColumn("admin1", F.lit(None).cast("string"))
-    return rows.where(~concerned).select(*df.columns).unionByName(merged.select(*df.columns))
+    made = {"sum": F.coalesce(F.sum(value), F.lit(0)), "min": F.min(value), "max": F.max(value), "mean": safe_ratio(F.sum(F.col(value) * n), F.sum(n).cast("double"))}[how]
+    of = claims.groupBy(F.col("iso3").alias("_iso3")).agg(F.min("claimant").alias("_claimant"))
+    merged = weighed.groupBy(*keys).agg(made.cast(df.schema[value].dataType).alias(value)).join(of, F.col(iso3) == F.col("_iso3"), "left").withColumn(code, F.col("_claimant").cast(df.schema[code].dataType))
+    rest = {f.name: F.lit(None).cast(f.dataType) for f in df.schema.fields if f.name not in (*keys, code, value)}
+    return rows.where(~concerned).select(*df.columns).unionByName(merged.withColumns(rest).select(*df.columns) if rest else merged.select(*df.columns))
 
 
 def regrid(df: DataFrame, old: DataFrame, new: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -152,19 +184,92 @@ def touching_cells(zones: DataFrame, size: float) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- thresholds, catalogue
+#: Severities, and the days beyond a temperature that make each of them.
+SEVERITIES, DAYS_WARM, DAYS_HOT = ("Moderate", "Severe", "Extreme"), (7, 14, 21), (1, 5, 10)
+
+
 def crop_thresholds(species: DataFrame, code: str, direction: str) -> DataFrame:
-    """crop, hazard, severity, threshold: mean over a crop's species of the optimal, middle and absolute limit; limits on high rain are rounded up.
+    """crop, hazard, severity, threshold: mean over a crop's species of the optimal, middle and absolute limit; the middle limit on high rain (direction above) is rounded up, for each species.
 
     species: crop, opt, mid, abs.
     """
-    each = species.select("crop", F.explode(F.array(*(F.struct(F.lit(s).alias("severity"), F.col(c).alias("limit")) for s, c in (("moderate", "opt"), ("severe", "mid"), ("extreme", "abs"))))).alias("x")).select("crop", "x.severity", "x.limit")
-    mean = each.groupBy("crop", "severity").agg(F.avg("limit").alias("threshold"))
-    return mean.withColumn("threshold", F.ceil("threshold").cast("double") if direction == "above" else F.col("threshold")).withColumn("hazard", F.lit(code))
+    mid = F.ceil("mid").cast("double") if direction == "above" else F.col("mid")
+    each = species.select("crop", F.explode(F.array(*(F.struct(F.lit(s).alias("severity"), c.alias("limit")) for s, c in (("moderate", F.col("opt")), ("severe", mid), ("extreme", F.col("abs")))))).alias("x")).select("crop", "x.severity", "x.limit")
+    return each.groupBy("crop", "severity").agg(F.avg("limit").alias("threshold")).withColumn("hazard", F.lit(code))
+
+
+def ecocrop_thresholds(crops: DataFrame, species: DataFrame) -> DataFrame:
+    """index_name, description, direction, crop, threshold: the hazard classes of every crop, from the climatic limits of its species.
+
+    Rain (PTOT) and mean temperature (TAVG), too low (<) and too high (>): moderate is the optimal limit, extreme the absolute one, severe halfway
+    (of high rain rounded up, for each species); each the mean over the crop's species. Hot days: NTxM, NTxS and NTxE with the crop's degrees, the mean over its species, rounded up, of the
+    whole degrees of the optimal limit, the halfway one rounded up, and the whole degrees of the absolute one; the thresholds are days of a month. A species without limits is left out, a null limit isn't counted.
+
+    crops: crop, sci_name (species, parted by ;). species: species and {temp,rain}_{opt,abs}_{min,max}.
+    """
+    own = crops.select("crop", F.explode(F.array_distinct(F.transform(F.split("sci_name", ";"), lambda s: F.trim(s)))).alias("species")).join(species, "species")
+    c = F.col
+    halfway = {f"{v}_{e}": (c(f"{v}_opt_{e}") + c(f"{v}_abs_{e}")) / 2 for v in ("temp", "rain") for e in ("min", "max")}
+    limits = {
+        ("PTOT", "<"): (c("rain_opt_min"), halfway["rain_min"], c("rain_abs_min")), ("PTOT", ">"): (c("rain_opt_max"), F.ceil(halfway["rain_max"]), c("rain_abs_max")),
+        ("TAVG", "<"): (c("temp_opt_min"), halfway["temp_min"], c("temp_abs_min")), ("TAVG", ">"): (c("temp_opt_max"), halfway["temp_max"], c("temp_abs_max")),
+    }
+    hot = {"NTxM": (c("temp_opt_max").cast("long"), DAYS_WARM), "NTxS": (F.ceil(halfway["temp_max"]), DAYS_WARM), "NTxE": (c("temp_abs_max").cast("long"), DAYS_HOT)}
+    means = own.groupBy("crop").agg(*(F.avg(x.cast("double")).alias(f"{k}{d}{s}") for (k, d), xs in limits.items() for s, x in zip(SEVERITIES, xs, strict=True)), *(F.ceil(F.avg(x)).alias(k) for k, (x, _) in hot.items()))
+    rows = [F.struct(F.lit(k).alias("index_name"), F.lit(s).alias("description"), F.lit(d).alias("direction"), F.col(f"`{k}{d}{s}`").alias("threshold")) for k, d in limits for s in SEVERITIES]
+    rows += [F.struct(F.concat(F.lit(k), F.col(k).cast("string")).alias("index_name"), F.lit(s).alias("description"), F.lit(">").alias("direction"), F.lit(float(n)).alias("threshold")) for k, (_, days) in hot.items() for s, n in zip(SEVERITIES, days, strict=True)]
+    return means.select("crop", F.inline(F.array(*rows))).where("index_name is not null").select("index_name", "description", "direction", "crop", "threshold")
 
 
 def inherit_thresholds(generic: DataFrame, animals: DataFrame, heat: list[str]) -> DataFrame:
     """The generic crop's thresholds under each animal, but those on heat. generic: hazard, severity, threshold. animals: crop."""
-    return generic.where(~F.col("hazard").isin(*heat)).withColumn("_one", F.lit(1)).join(animals.withColumn("_one", F.lit(1)), "_one").drop("_one").select("crop", "hazard", "severity", "threshold")
+    return generic.where(~F.col("hazard").isin(*heat)).select(F.inline(listed(animals, "crop")), "hazard", "severity", "threshold")
+
+
+@dataclass(frozen=True)
+class Interaction:
+    """One heat, wet and dry hazard by their short names, and which of them are fixed: the same index whatever the crop. kind: crop or animal."""
+
+    heat: str
+    wet: str
+    dry: str
+    heat_fixed: bool = False
+    wet_fixed: bool = False
+    dry_fixed: bool = False
+    kind: str = "crop"
+
+
+def fixed_or_free(interactions: list[Interaction]) -> None:
+    """A hazard that is fixed in one interaction and free in another is an error: its short name would stand for several thresholds."""
+    sides = {True: set(), False: set()}
+    for i in interactions:
+        for name, fixed in ((i.heat, i.heat_fixed), (i.wet, i.wet_fixed), (i.dry, i.dry_fixed)):
+            sides[fixed].add(name)
+    both = sorted(sides[True] & sides[False])
+    if both:
+        raise ValueError("both fixed and free: " + ", ".join(both))
+
+
+def interaction_table(classes: DataFrame, interactions: list[Interaction], animals: str = "-tropical|-highland", short: list[str] = ()) -> DataFrame:
+    """crop, severity, heat, wet, dry (full names), the three short names, kind, code (dry+heat+wet) and in_short, for each crop and severity that has all three hazards.
+
+    classes: crop, severity, hazard (short name), file (the full name's file). Interactions of kind animal go with crops like `animals`, the others with all other crops. in_short:
+    a crop of the short list (never an animal).
+    """
+    fixed_or_free(interactions)
+    own = classes.select("crop", "severity", "hazard", F.replace(F.regexp_replace("file", r"\.tif", ""), F.lit("_"), F.lit("-")).alias("full")).distinct()
+    of = F.when(F.col("crop").rlike(animals), "animal").otherwise("crop")
+    each = F.array(*(F.struct(F.lit(i.kind).alias("kind"), *(F.lit(getattr(i, n)).alias(f"{n}_simple") for n in ("heat", "wet", "dry"))) for i in sorted(set(interactions), key=str)))
+    rows = own.select("crop", "severity").distinct().select("crop", "severity", F.inline(each)).where(F.col("kind") == of)
+    for n in ("heat", "wet", "dry"):
+        rows = rows.join(own.select("crop", "severity", F.col("hazard").alias(f"{n}_simple"), F.col("full").alias(n)), ["crop", "severity", f"{n}_simple"])  # incomplete ones drop out
+    return rows.withColumns({"code": F.concat_ws("+", "dry", "heat", "wet"), "in_short": F.col("crop").isin(*short) & (F.col("kind") == "crop")})
+
+
+def distinct_combinations(table: DataFrame) -> DataFrame:
+    """What has to be computed once, whichever crops share it: severity, kind, short and full names and code without the crop, and whether the short list needs it; in the order of the codes."""
+    keys = [c for c in table.columns if c not in ("crop", "in_short")]
+    return table.groupBy(*keys).agg(F.max("in_short").alias("in_short")).orderBy("code", "severity", "kind")
 
 
 def interaction_catalogue(thresholds: DataFrame, combos: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridrisk.plans import exposure_queries, hazard_queries, lookup_queries, rule_queries, source_queries, spatial_queries, table_queries, zonal_queries  # noqa: F401  (they register themselves)
+from gridrisk.plans import exposure_queries, hazard_queries, keyed_queries, lookup_queries, rule_queries, source_queries, spatial_queries, table_queries, zonal_queries  # noqa: F401  (they register themselves)
 from gridrisk.plans.registry import QUERIES, SQL
 
 

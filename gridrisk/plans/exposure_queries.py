@@ -248,11 +248,6 @@ def _(spark, sf):
     return X.exposure(spark, sf).groupBy("crop").agg(F.round(F.sum("value"), 2).alias("value")).orderBy(F.desc("value")).limit(10)
 
 
-@query("g38_weighted_index", "SELECT cell, sum(s * (1 + length(crop) % 3)) AS weighted FROM (SELECT cell, crop, value / sum(value) OVER (PARTITION BY cell) AS s FROM exposure) GROUP BY cell", "exposure")
-def _(spark, sf):
-    return G.share_of_total(X.exposure(spark, sf), ["cell"]).groupBy("cell").agg(F.sum(F.col("share") * (1 + F.length("crop") % 3)).alias("weighted"))
-
-
 @query("w12_dominant", "SELECT cell, string_agg(hazard, '+' ORDER BY hazard) AS hazard, any_value(v) AS value FROM (SELECT cell, hazard, v, max(v) OVER (PARTITION BY cell) AS m FROM (SELECT cell, hazard, sum(value) AS v FROM yearly GROUP BY ALL)) WHERE v = m GROUP BY cell", "yearly")
 def _(spark, sf):
     v = X.yearly(spark, sf).groupBy("cell", "hazard").agg(F.sum("value").alias("value"))
@@ -410,16 +405,6 @@ def _(spark, sf):
     return X.yearly(spark, sf).groupBy(a.alias("alias")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f13_analytic_subset", "SELECT cell, year, hazard, flag FROM flags WHERE hazard IN ('dry', 'wet') AND year BETWEEN 1996 AND 1999", "flags")
-def _(spark, sf):
-    return X.flags(spark, sf).where(F.col("hazard").isin("dry", "wet") & F.col("year").between(1996, 1999))
-
-
-@query("f14_exposure_subset", "SELECT regexp_replace(p_type, ' (TIN|BRASS)$', '') AS kind, round(sum(p_retailprice), 2) AS value FROM part WHERE p_brand NOT LIKE 'Brand#1%' GROUP BY ALL")
-def _(spark, sf):
-    return X.table(spark, sf, "part").where(~F.col("p_brand").rlike("^Brand#1")).groupBy(F.regexp_replace("p_type", " (TIN|BRASS)$", "").alias("kind")).agg(F.round(F.sum("p_retailprice"), 2).alias("value"))
-
-
 @query("f16_blank_outliers", "SELECT admin1, year, CASE WHEN NOT (year = 1997 AND admin1 IN (SELECT n_name FROM nation WHERE n_nationkey IN (3, 5))) THEN value END AS value FROM natyear", "natyear")
 def _(spark, sf):
     bad = X.table(spark, sf, "nation").where(F.col("n_nationkey").isin(3, 5)).select(F.col("n_name").alias("admin1"), F.lit(1997).alias("year"), F.lit(True).alias("bad"))

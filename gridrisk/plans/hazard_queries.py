@@ -280,13 +280,6 @@ def _(spark, sf):
     return X.calendar(spark, sf).groupBy("plant", "span").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("g25_crop_thresholds", "SELECT p_brand AS crop, severity, avg(v) AS threshold, ceil(avg(v)) AS threshold_up FROM (SELECT p_brand, unnest([p_size + 20.0, p_size + 10.0, CAST(p_size AS DOUBLE)]) AS v, unnest(['Moderate', 'Severe', 'Extreme']) AS severity FROM part) GROUP BY ALL")
-def _(spark, sf):
-    rows = F.array(*(F.struct(F.lit(s).alias("severity"), (F.col("p_size") + d).cast("double").alias("v")) for s, d in (("Moderate", 20), ("Severe", 10), ("Extreme", 0))))
-    got = X.table(spark, sf, "part").select(F.col("p_brand").alias("crop"), F.inline(rows)).groupBy("crop", "severity").agg(F.avg("v").alias("threshold"))
-    return got.withColumn("threshold_up", F.ceil("threshold").cast("double"))
-
-
 @query("w10_dense_index", "SELECT cell, year, CAST(dense_rank() OVER (PARTITION BY cell ORDER BY year) AS INT) AS nth, CAST(row_number() OVER (PARTITION BY cell ORDER BY value DESC, year) AS INT) AS by_value FROM (SELECT cell, year, sum(value) AS value FROM monthly GROUP BY ALL)", "monthly")
 def _(spark, sf):
     y = X.monthly(spark, sf).groupBy("cell", "year").agg(F.sum("value").alias("value"))

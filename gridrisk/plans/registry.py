@@ -43,6 +43,8 @@ def query(name: str, body: str | None = None, *ctes: str):
     """Register a query; body is its SQL, on the named subqueries."""
 
     def put(f):
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered twice")
         QUERIES[name] = f
         if body is not None:
             SQL[name] = ("WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in _closure(ctes)) + " " if ctes else "") + body

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridrisk.operators import exposure as G
 from gridrisk.operators import rules as R
 from gridrisk.plans import fixtures as X
 from gridrisk.plans.registry import query
@@ -43,7 +44,14 @@ def _(spark, sf):
 PRICES = "o AS (SELECT n_name AS unit, o_orderpriority AS crop, CAST(year(o_orderdate) AS INT) AS year, avg(o_totalprice) AS price, any_value(n_nationkey) AS nk FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3), p AS (SELECT unit, crop, year, price FROM o WHERE NOT ((nk + ascii(crop)) % 3 = 0 AND year >= 2000) AND (nk + ascii(crop)) % 4 <> 1 AND NOT (nk % 5 = 1 AND nk > 10)), places AS (SELECT n_name AS unit, r_name AS region, CASE WHEN r_regionkey < 2 THEN 'south' ELSE 'north' END AS continent FROM nation JOIN region ON n_regionkey = r_regionkey), edges AS (SELECT a.n_name AS unit, b.n_name AS neighbour FROM nation a JOIN nation b ON b.n_nationkey = a.n_nationkey + 1 OR b.n_nationkey = a.n_nationkey - 1)"
 
 
-@query("g10_full_price_ladder", "SELECT * FROM (WITH " + PRICES + ", own AS (SELECT pl.*, c.crop, t.recent, t.longer, coalesce(t.recent, t.longer) AS own FROM places pl CROSS JOIN (SELECT DISTINCT crop FROM p) c LEFT JOIN (SELECT unit, crop, median(price) FILTER (year >= 2000) AS recent, median(price) AS longer FROM p GROUP BY ALL) t ON t.unit = pl.unit AND t.crop = c.crop), m AS (SELECT own.*, (SELECT avg(o2.own) FROM edges JOIN own o2 ON o2.unit = edges.neighbour WHERE edges.unit = own.unit AND o2.crop = own.crop) AS near, avg(own) OVER (PARTITION BY region, crop) AS reg, avg(own) OVER (PARTITION BY continent, crop) AS con, avg(own) OVER (PARTITION BY crop) AS glo FROM own), f AS (SELECT unit, crop, glo, CASE WHEN crop = '5-LOW' THEN coalesce(recent, longer, glo) ELSE coalesce(recent, longer, near, reg, con, glo) END AS price, CASE WHEN recent IS NOT NULL THEN 'recent' WHEN longer IS NOT NULL THEN 'longer' WHEN crop <> '5-LOW' AND near IS NOT NULL THEN 'near' WHEN crop <> '5-LOW' AND reg IS NOT NULL THEN 'of_region' WHEN crop <> '5-LOW' AND con IS NOT NULL THEN 'of_continent' ELSE 'of_all' END AS step FROM m) SELECT unit, crop, CASE WHEN crop = '2-HIGH' AND price < 150000 THEN glo ELSE price END AS price, CASE WHEN crop = '2-HIGH' AND price < 150000 THEN 'of_all' ELSE step END AS step FROM f)")
+_LADDER = """own AS (SELECT pl.*, c.crop, t.recent, t.longer FROM places pl CROSS JOIN (SELECT DISTINCT crop FROM p) c LEFT JOIN (SELECT unit, crop, median(price) FILTER (year BETWEEN 2000 AND 2001) AS recent, median(price) FILTER (year BETWEEN 1996 AND 2001) AS longer FROM p GROUP BY ALL) t ON t.unit = pl.unit AND t.crop = c.crop),
+g AS (SELECT crop, median(price) AS glo FROM (SELECT o_orderpriority AS crop, year(o_orderdate) AS y, avg(o_totalprice) AS price FROM orders GROUP BY ALL) WHERE y BETWEEN 2000 AND 2001 GROUP BY crop),
+m AS (SELECT own.*, glo, (SELECT avg(o2.recent) FROM edges JOIN own o2 ON o2.unit = edges.neighbour WHERE edges.unit = own.unit AND o2.crop = own.crop) AS near, avg(recent) OVER (PARTITION BY region, own.crop) AS reg, avg(recent) OVER (PARTITION BY continent, own.crop) AS con, avg(longer) OVER (PARTITION BY own.crop) AS lon FROM own LEFT JOIN g USING (crop)),
+f AS (SELECT unit, crop, lon, CASE WHEN crop = '5-LOW' THEN coalesce(glo, con) ELSE coalesce(recent, longer, near, reg, con, glo) END AS price, CASE WHEN crop = '5-LOW' THEN CASE WHEN glo IS NOT NULL THEN 'of_all' WHEN con IS NOT NULL THEN 'of_continent' END WHEN recent IS NOT NULL THEN 'recent' WHEN longer IS NOT NULL THEN 'longer' WHEN near IS NOT NULL THEN 'near' WHEN reg IS NOT NULL THEN 'of_region' WHEN con IS NOT NULL THEN 'of_continent' WHEN glo IS NOT NULL THEN 'of_all' END AS step FROM m)
+SELECT unit, crop, CASE WHEN crop = '2-HIGH' AND price < 150000 THEN lon ELSE price END AS price, CASE WHEN crop = '2-HIGH' AND price < 150000 THEN 'of_longer' ELSE step END AS step FROM f"""
+
+
+@query("g10_full_price_ladder", "SELECT * FROM (WITH " + PRICES + ", " + _LADDER + ")")
 def _(spark, sf):
     nation, region = X.table(spark, sf, "nation"), X.table(spark, sf, "region")
     orders = X.table(spark, sf, "orders").join(X.table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -53,7 +61,36 @@ def _(spark, sf):
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("unit"), F.col("r_name").alias("region"), F.when(F.col("r_regionkey") < 2, "south").otherwise("north").alias("continent"))
     near = nation.select(F.col("n_name").alias("unit"), F.explode(F.array(F.col("n_nationkey") - 1, F.col("n_nationkey") + 1)).alias("at"))
     edges = near.join(nation.select(F.col("n_nationkey").alias("at"), F.col("n_name").alias("neighbour")), "at").select("unit", "neighbour")
-    return R.price_ladder(p, places, edges, 2000, ["5-LOW"], {"2-HIGH": 150000.0})
+    world = X.table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("crop"), F.year("o_orderdate").alias("year")).agg(F.avg("o_totalprice").alias("price"))
+    return R.price_ladder(p, places, edges, (2000, 2001), ["5-LOW"], {"2-HIGH": 150000.0}, world, longer=4)
+
+
+def _places(spark, sf):
+    """unit, region, continent of the nations, and pairs of those with numbers next to each other."""
+    nation, region = X.table(spark, sf, "nation"), X.table(spark, sf, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("unit"), F.col("r_name").alias("region"), F.when(F.col("r_regionkey") < 2, "south").otherwise("north").alias("continent"))
+    near = nation.select(F.col("n_name").alias("unit"), F.explode(F.array(F.col("n_nationkey") - 1, F.col("n_nationkey") + 1)).alias("at"))
+    return places, near.join(nation.select(F.col("n_nationkey").alias("at"), F.col("n_name").alias("neighbour")), "at").select("unit", "neighbour")
+
+
+_HYBRID = """q AS (SELECT n_name AS unit, p_brand AS crop, n_nationkey AS k, p_size, l_quantity AS quantity, l_extendedprice AS worth FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey),
+u AS (SELECT unit, crop, any_value(k) AS k, sum(quantity) AS production, sum(worth) / sum(quantity) AS price FROM q GROUP BY ALL), pr AS (SELECT unit, crop, CASE WHEN (k + length(crop) + ascii(right(crop, 1))) % 3 = 0 THEN price END AS price FROM u WHERE crop <> 'Brand#11'),
+wo AS (SELECT crop, sum(worth) / 1000 / sum(quantity) AS wp FROM q WHERE crop <> 'Brand#22' GROUP BY crop),
+l AS (SELECT pr.*, region, continent, (SELECT avg(p2.price) FROM edges JOIN pr p2 ON p2.unit = edges.neighbour AND p2.crop = pr.crop WHERE edges.unit = pr.unit) AS nb, (sum(price) OVER (PARTITION BY region, crop) - coalesce(price, 0)) / nullif(count(price) OVER (PARTITION BY region, crop) - CAST(price IS NOT NULL AS INT), 0) AS rg, avg(price) OVER (PARTITION BY continent, crop) AS ct FROM pr JOIN places USING (unit)),
+v AS (SELECT u.unit, u.crop, round(production * l.price / 1000, 2) AS own, round(production * nb / 1000, 2) AS near, round(production * rg / 1000, 2) AS of_region, round(production * ct / 1000, 2) AS of_continent, production * wp AS of_world FROM u LEFT JOIN l ON l.unit = u.unit AND l.crop = u.crop LEFT JOIN wo ON wo.crop = u.crop)
+SELECT *, coalesce(own, near, of_region, of_continent, of_world) AS value, CASE WHEN own IS NOT NULL THEN 'own' WHEN near IS NOT NULL THEN 'near' WHEN of_region IS NOT NULL THEN 'of_region' WHEN of_continent IS NOT NULL THEN 'of_continent' WHEN of_world IS NOT NULL THEN 'of_world' END AS step, coalesce(own, near, of_region, of_continent) AS value_nearby, coalesce(own, of_world) AS value_world FROM v"""
+
+
+@query("g11_five_steps", "SELECT * FROM (WITH " + PRICES + ", " + _HYBRID + ")")
+def _(spark, sf):
+    part = X.table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("crop"))
+    who = X.table(spark, sf, "supplier").join(X.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("unit"), F.col("n_nationkey").alias("k"))
+    q = X.table(spark, sf, "lineitem").join(who, F.col("l_suppkey") == F.col("s_suppkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    u = q.groupBy("unit", "crop", "k").agg(F.sum("l_quantity").alias("production"), (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("price"))
+    known = (F.col("k") + F.length("crop") + F.ascii(F.right("crop", F.lit(1)))) % 3 == 0
+    prices = u.where("crop <> 'Brand#11'").select("unit", "crop", F.when(known, F.col("price")).alias("price"))
+    world = q.where("crop <> 'Brand#22'").groupBy("crop").agg((F.sum("l_extendedprice") / 1000).alias("value"), F.sum("l_quantity").alias("production"))
+    return G.hybrid_value(u.select("unit", "crop", "production"), prices, world, *_places(spark, sf), digits=2)
 
 
 @query("g03_split_by_production", "SELECT * FROM (WITH c AS (SELECT c_nationkey AS unit, c_mktsegment AS crop, sum(c_acctbal) AS value FROM customer GROUP BY ALL), r AS (SELECT s_nationkey AS unit, CASE WHEN s_suppkey % 3 = 0 THEN 'robusta' ELSE 'arabica' END AS part, CAST(count(*) AS DOUBLE) AS production FROM supplier WHERE s_nationkey % 4 <> 0 GROUP BY ALL), w AS (SELECT part, sum(production) / (SELECT sum(production) FROM r) AS s FROM r GROUP BY part) SELECT unit, crop, value FROM c WHERE crop <> 'MACHINERY' UNION ALL SELECT c.unit, w.part, c.value * CASE WHEN c.unit IN (SELECT unit FROM r) THEN coalesce(r.production / (SELECT sum(x.production) FROM r x WHERE x.unit = c.unit), 0) ELSE w.s END FROM c CROSS JOIN w LEFT JOIN r ON r.unit = c.unit AND r.part = w.part WHERE c.crop = 'MACHINERY')")
@@ -83,15 +120,17 @@ def _(spark, sf):
     return R.repair_seasons(q, ["NATION_3", "NATION_4", "NATION_7", "NATION_11"])
 
 
-CLAIMS = "z AS (SELECT s_nationkey AS code, CASE WHEN s_suppkey % 3 = 0 THEN 'part' END AS admin1, CAST(s_suppkey % 4 AS INT) AS scenario, sum(s_acctbal) AS value FROM supplier GROUP BY ALL), w AS (SELECT s_nationkey AS code, count(*) AS n_cells FROM supplier GROUP BY ALL), cl(disputed, claimant) AS (VALUES (1, 2), (5, 2), (9, 10)), part AS (SELECT disputed AS code, claimant FROM cl UNION SELECT claimant, claimant FROM cl)"
-for _how, _sql in (("mean", "sum(value * n_cells) / nullif(sum(n_cells), 0)"), ("sum", "sum(value)"), ("min", "min(value)"), ("max", "max(value)")):
+CLAIMS = "cl(disputed, claimant, iso3) AS (VALUES (1, 2, 'N2'), (1, 3, 'N3'), (5, 2, 'N2'), (5, 10, 'N10'), (9, 10, 'N10'), (9, 3, 'N3')), s0 AS (SELECT s_nationkey AS code, CASE WHEN s_suppkey % 3 = 0 THEN 'part' END AS admin1, CAST(s_suppkey % 4 AS INT) AS scenario, s_acctbal AS v FROM supplier), z AS (SELECT code, coalesce(iso3, 'N' || code) AS iso3, admin1, scenario, sum(CASE WHEN v > 0 THEN v END) AS value FROM s0 LEFT JOIN cl ON disputed = code GROUP BY ALL), w AS (SELECT s_nationkey AS code, count(*) AS n_cells FROM supplier GROUP BY ALL), codes AS (SELECT disputed AS code FROM cl UNION SELECT claimant FROM cl)"
+for _how, _sql in (("mean", "sum(value * n_cells) / nullif(sum(n_cells) FILTER (value IS NOT NULL), 0)"), ("sum", "coalesce(sum(value), 0)"), ("min", "min(value)"), ("max", "max(value)")):
 
-    @query(f"a56_merge_claims_{_how}", "SELECT * FROM (WITH " + CLAIMS + f" SELECT code, admin1, scenario, value FROM z WHERE admin1 IS NOT NULL OR code NOT IN (SELECT code FROM part) UNION ALL SELECT claimant, NULL, scenario, {_sql} FROM z JOIN part USING (code) JOIN w USING (code) WHERE admin1 IS NULL GROUP BY claimant, scenario)")
+    @query(f"a56_merge_claims_{_how}", "SELECT * FROM (WITH " + CLAIMS + f" SELECT code, iso3, admin1, scenario, value FROM z WHERE admin1 IS NOT NULL OR code NOT IN (SELECT code FROM codes) UNION ALL SELECT CAST(substr(iso3, 2) AS INT), iso3, NULL, scenario, {_sql} FROM z JOIN w USING (code) WHERE admin1 IS NULL AND code IN (SELECT code FROM codes) GROUP BY iso3, scenario)")
     def _(spark, sf, how=_how):
+        """Each disputed code has a row for either claimant, as zonal tables have."""
+        claims = _frame(spark, [(1, 2, "N2"), (1, 3, "N3"), (5, 2, "N2"), (5, 10, "N10"), (9, 10, "N10"), (9, 3, "N3")], "disputed long, claimant long, iso3 string")
         s = X.table(spark, sf, "supplier").withColumn("code", F.col("s_nationkey").cast("long"))
-        z = s.groupBy("code", F.when(F.col("s_suppkey") % 3 == 0, "part").alias("admin1"), (F.col("s_suppkey") % 4).cast("int").alias("scenario")).agg(F.sum("s_acctbal").alias("value"))
-        claims = _frame(spark, [(1, 2), (5, 2), (9, 10)], "disputed long, claimant long")
-        return R.merge_claims(z, claims, s.groupBy("code").agg(F.count(F.lit(1)).alias("n_cells")), "code", ["scenario"], how)
+        named = s.join(F.broadcast(claims.select(F.col("disputed").alias("code"), "iso3")), "code", "left").withColumn("iso3", F.coalesce("iso3", F.concat(F.lit("N"), F.col("code").cast("string"))))  # six rows
+        z = named.groupBy("code", "iso3", F.when(F.col("s_suppkey") % 3 == 0, "part").alias("admin1"), (F.col("s_suppkey") % 4).cast("int").alias("scenario")).agg(F.sum(F.when(F.col("s_acctbal") > 0, F.col("s_acctbal"))).alias("value"))
+        return R.merge_claims(z, claims, s.groupBy("code").agg(F.count(F.lit(1)).alias("n_cells")), "code", ["iso3", "scenario"], how)
 
 
 @query("r01_regrid_areas", "SELECT * FROM (WITH m AS (SELECT cell, sum(value) AS value FROM cells GROUP BY cell) SELECT n AS cell, value / nullif(cos(radians(cell % 60)), 0) * cos(radians(cell % 60 + 0.25 * (n % 2))) / 2 AS value FROM (SELECT cell, value, unnest([2 * cell, 2 * cell + 1]) AS n FROM m))", "cells")
@@ -104,9 +143,9 @@ def _(spark, sf):
 
 
 SPECIES = "sp AS (SELECT p_brand AS crop, p_size AS opt, p_size + 0.5 * (p_partkey % 7) AS mid, p_size + 10.25 AS abs FROM part)"
-for _name, _dir, _fun in (("g25_crop_thresholds", "below", "avg({})"), ("g25_high_rain_thresholds", "above", "ceil(avg({}))")):
+for _name, _dir, _mid in (("g25_crop_thresholds", "below", "mid"), ("g25_high_rain_thresholds", "above", "ceil(mid)")):
 
-    @query(_name, "SELECT * FROM (WITH " + SPECIES + " " + " UNION ALL ".join(f"SELECT crop, '{s}' AS severity, CAST({_fun.format(c)} AS DOUBLE) AS threshold, 'H' AS hazard FROM sp GROUP BY crop" for s, c in (("moderate", "opt"), ("severe", "mid"), ("extreme", "abs"))) + ")")
+    @query(_name, "SELECT * FROM (WITH " + SPECIES + " " + " UNION ALL ".join(f"SELECT crop, '{s}' AS severity, CAST(avg({c}) AS DOUBLE) AS threshold, 'H' AS hazard FROM sp GROUP BY crop" for s, c in (("moderate", "opt"), ("severe", _mid), ("extreme", "abs"))) + ")")
     def _(spark, sf, direction=_dir):
         return R.crop_thresholds(_species(spark, sf), "H", direction)
 
@@ -116,6 +155,21 @@ def _species(spark, sf):
     return part.select(F.col("p_brand").alias("crop"), F.col("p_size").cast("double").alias("opt"), (F.col("p_size") + 0.5 * (F.col("p_partkey") % 7)).alias("mid"), (F.col("p_size") + 10.25).alias("abs"))
 
 
+_LIMITS = "sp AS (SELECT CAST(p_partkey AS VARCHAR) AS species, p_size % 13 + 4.5 AS topt0, p_size % 13 - 2.25 AS tabs0, p_size % 17 + 25.75 AS topt1, p_size % 17 + 32.5 + p_partkey % 4 AS tabs1, 300.0 + p_size AS ropt0, 250.0 - p_size AS rabs0, CASE WHEN p_partkey % 9 <> 0 THEN 900.0 + p_size END AS ropt1, 1500.5 + p_partkey % 7 AS rabs1 FROM part WHERE p_partkey % 5 <> 0), o AS (SELECT p_brand AS crop, sp.* FROM part JOIN sp ON species = CAST(p_partkey AS VARCHAR))"
+_RAIN_TEMP = [(k, d, s, x) for k, d, xs in (("PTOT", "<", ("ropt0", "(ropt0 + rabs0) / 2", "rabs0")), ("PTOT", ">", ("ropt1", "ceil((ropt1 + rabs1) / 2)", "rabs1")), ("TAVG", "<", ("topt0", "(topt0 + tabs0) / 2", "tabs0")), ("TAVG", ">", ("topt1", "(topt1 + tabs1) / 2", "tabs1"))) for s, x in zip(("Moderate", "Severe", "Extreme"), xs, strict=True)]
+_HOT = [(k, x, s, n) for k, x, days in (("NTxM", "trunc(topt1)", (7, 14, 21)), ("NTxS", "ceil((topt1 + tabs1) / 2)", (7, 14, 21)), ("NTxE", "trunc(tabs1)", (1, 5, 10))) for s, n in zip(("Moderate", "Severe", "Extreme"), days, strict=True)]
+
+
+@query("g25_ecocrop_table", "SELECT * FROM (WITH " + _LIMITS + " " + " UNION ALL ".join([f"SELECT '{k}' AS index_name, '{s}' AS description, '{d}' AS direction, crop, CAST(avg({x}) AS DOUBLE) AS threshold FROM o GROUP BY crop" for k, d, s, x in _RAIN_TEMP] + [f"SELECT '{k}' || CAST(ceil(avg({x})) AS BIGINT), '{s}', '>', crop, {n}.0 FROM o GROUP BY crop" for k, x, s, n in _HOT]) + ")")
+def _(spark, sf):
+    part = X.table(spark, sf, "part")
+    crops = part.groupBy(F.col("p_brand").alias("crop")).agg(F.array_join(F.collect_list(F.col("p_partkey").cast("string")), " ; ").alias("sci_name"))
+    n, k = F.col("p_size"), F.col("p_partkey")
+    limits = {"temp_opt_min": n % 13 + 4.5, "temp_abs_min": n % 13 - 2.25, "temp_opt_max": n % 17 + 25.75, "temp_abs_max": n % 17 + 32.5 + k % 4, "rain_opt_min": n + 300.0, "rain_abs_min": 250.0 - n, "rain_opt_max": F.when(k % 9 != 0, n + 900.0), "rain_abs_max": k % 7 + 1500.5}
+    species = part.where("p_partkey % 5 <> 0").select(k.cast("string").alias("species"), *(v.cast("double").alias(c) for c, v in limits.items()))
+    return R.ecocrop_thresholds(crops, species)
+
+
 THRESHOLDS = "th AS (SELECT p_brand AS crop, p_type AS hazard, CASE p_size % 2 WHEN 0 THEN 'severe' ELSE 'extreme' END AS severity, avg(p_retailprice) AS threshold FROM part WHERE p_partkey % 11 <> 0 GROUP BY ALL)"
 
 
@@ -130,9 +184,34 @@ def _(spark, sf):
 
 
 def _combos(spark, sf):
-    kinds = X.table(spark, sf, "part").select("p_type").distinct()
-    a, b, c = (kinds.select(F.col("p_type").alias(n), F.lit(1).alias("_one")) for n in ("heat", "wet", "dry"))
-    return a.join(b, "_one").join(c, "_one").where("heat < wet and wet < dry").drop("_one")
+    """Every three kinds in order: a list of part types, whose number doesn't grow with the rows."""
+    kinds = X.table(spark, sf, "part").agg(F.array_sort(F.collect_set("p_type")).alias("k"))
+    for name, after in (("heat", "k"), ("wet", "after_heat"), ("dry", "after_wet")):
+        kinds = kinds.select("*", F.posexplode(after).alias("i", name)).withColumn(f"after_{name}", F.slice(after, F.col("i") + 2, F.size(after))).drop("i")
+    return kinds.select("heat", "wet", "dry")
+
+
+#: Interactions of a fixed and a free kind.
+INTERACTIONS = [R.Interaction("ECONOMY", "SMALL", "MEDIUM", heat_fixed=True), R.Interaction("PROMO", "LARGE", "STANDARD"), R.Interaction("PROMO", "SMALL", "STANDARD", kind="animal")]
+_simple = ", ".join(f"('{i.kind}', '{i.heat}', '{i.wet}', '{i.dry}')" for i in INTERACTIONS)
+_CLASSES = f"c AS (SELECT DISTINCT p_brand || CASE WHEN p_size % 5 = 0 THEN '-tropical' ELSE '' END AS crop, CASE p_size % 2 WHEN 0 THEN 'Severe' ELSE 'Extreme' END AS severity, split_part(p_type, ' ', 1) AS hazard, replace(replace(split_part(p_type, ' ', 1) || '_' || length(p_brand) || p_size % 3 || '.tif', '.tif', ''), '_', '-') AS full_ FROM part), i(kind, h, w, d) AS (VALUES {_simple}), t AS (SELECT x.crop, x.severity, kind, h AS heat_simple, w AS wet_simple, d AS dry_simple, x.full_ AS heat, y.full_ AS wet, z.full_ AS dry, z.full_ || '+' || x.full_ || '+' || y.full_ AS code, x.crop IN ('Brand#11', 'Brand#23-tropical') AND kind = 'crop' AS in_short FROM i JOIN c x ON x.hazard = h JOIN c y ON y.hazard = w AND y.crop = x.crop AND y.severity = x.severity JOIN c z ON z.hazard = d AND z.crop = x.crop AND z.severity = x.severity WHERE (kind = 'animal') = contains(x.crop, '-tropical'))"
+
+
+def _classes(spark, sf):
+    kind = F.element_at(F.split("p_type", " "), 1)
+    name = F.concat(kind, F.lit("_"), F.length("p_brand").cast("string"), (F.col("p_size") % 3).cast("string"), F.lit(".tif"))
+    crop = F.concat("p_brand", F.when(F.col("p_size") % 5 == 0, "-tropical").otherwise(""))
+    return X.table(spark, sf, "part").select(crop.alias("crop"), F.when(F.col("p_size") % 2 == 0, "Severe").otherwise("Extreme").alias("severity"), kind.alias("hazard"), name.alias("file"))
+
+
+@query("g27_interaction_table", "SELECT * FROM (WITH " + _CLASSES + " SELECT crop, severity, kind, heat_simple, wet_simple, dry_simple, heat, wet, dry, code, in_short FROM t)")
+def _(spark, sf):
+    return R.interaction_table(_classes(spark, sf), INTERACTIONS, short=["Brand#11", "Brand#23-tropical"])
+
+
+@query("g27_distinct_combinations", "SELECT * FROM (WITH " + _CLASSES + " SELECT severity, kind, heat_simple, wet_simple, dry_simple, heat, wet, dry, code, bool_or(in_short) AS in_short FROM t GROUP BY ALL)")
+def _(spark, sf):
+    return R.distinct_combinations(R.interaction_table(_classes(spark, sf), INTERACTIONS, short=["Brand#11", "Brand#23-tropical"]))
 
 
 @query("g27_interaction_catalogue", "SELECT * FROM (WITH " + THRESHOLDS + " SELECT a.crop, a.severity, a.hazard AS heat, b.hazard AS wet, c.hazard AS dry, a.threshold AS heat_threshold, b.threshold AS wet_threshold, c.threshold AS dry_threshold FROM th a JOIN th b ON a.crop = b.crop AND a.severity = b.severity JOIN th c ON a.crop = c.crop AND a.severity = c.severity WHERE a.hazard < b.hazard AND b.hazard < c.hazard)")
@@ -166,9 +245,14 @@ def _(spark, sf):
     return rows.groupBy("n", "alias").agg(F.count(F.lit(1)).alias("rows_"))
 
 
+def subset_rows(spark, sf):
+    """crop, hazard_vars, severity, scenario, timeframe, value."""
+    return X.table(spark, sf, "lineitem").join(X.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("crop"), F.when(F.col("l_linenumber") % 2 == 0, "dry+heat+wet").otherwise("THI").alias("hazard_vars"), F.col("l_returnflag").alias("severity"), F.col("l_linestatus").alias("scenario"), F.year("l_shipdate").cast("string").alias("timeframe"), F.col("l_quantity").alias("value"))
+
+
 @query("f13_analytic_subset", "SELECT crop, hazard_vars, severity, scenario_x_time, count(*) AS n, sum(value) AS value FROM (SELECT p_brand AS crop, CASE l_linenumber % 2 WHEN 0 THEN 'dry+heat+wet' ELSE 'THI' END AS hazard_vars, l_returnflag AS severity, l_linestatus || '-' || year(l_shipdate) AS scenario_x_time, l_quantity AS value FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE hazard_vars = CASE WHEN crop IN ('Brand#15', 'Brand#25') THEN 'THI' ELSE 'dry+heat+wet' END AND severity IN ('A', 'N') AND scenario_x_time IN ('F-1997', 'O-1998') AND crop <> 'Brand#9' GROUP BY ALL")
 def _(spark, sf):
-    rows = X.table(spark, sf, "lineitem").join(X.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("crop"), F.when(F.col("l_linenumber") % 2 == 0, "dry+heat+wet").otherwise("THI").alias("hazard_vars"), F.col("l_returnflag").alias("severity"), F.col("l_linestatus").alias("scenario"), F.year("l_shipdate").cast("string").alias("timeframe"), F.col("l_quantity").alias("value"))
+    rows = subset_rows(spark, sf)
     own = R.analytic_subset(rows, "dry+heat+wet", {"Brand#15": "THI", "Brand#25": "THI"}, ["A", "N"], [("F", "1997"), ("O", "1998")], ["Brand#9"])
     return own.groupBy("crop", "hazard_vars", "severity", "scenario_x_time").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
 

@@ -102,14 +102,6 @@ def _(spark, sf):
     return f.join(Q.all_present(wanted, f, ["hazard"]).select("hazard").distinct().join(wanted, "hazard"), "hazard", "left_semi")
 
 
-@query("g27_interaction_catalogue", "SELECT c.crop, s.severity, 'heat:' || h || '+wet:' || w AS combo FROM (SELECT DISTINCT p_brand AS crop FROM part) c, (VALUES ('Moderate'), ('Severe'), ('Extreme')) s(severity), (VALUES ('NTx'), ('THI')) a(h), (VALUES ('PTOT'), ('NDWL')) b(w) WHERE NOT (h = 'THI' AND w = 'PTOT')")
-def _(spark, sf):
-    c = X.table(spark, sf, "part").select(F.col("p_brand").alias("crop")).distinct()
-    for name, values in (("severity", ("Moderate", "Severe", "Extreme")), ("h", ("NTx", "THI")), ("w", ("PTOT", "NDWL"))):
-        c = c.withColumn(name, F.explode(F.array(*map(F.lit, values))))
-    return c.where("not (h = 'THI' and w = 'PTOT')").select("crop", "severity", F.concat(F.lit("heat:"), "h", F.lit("+wet:"), "w").alias("combo"))
-
-
 @query("c09_json_attributes", "SELECT event_type, count(*) AS n, sum(length(props)) > 0 AS has FROM events GROUP BY ALL")
 def _(spark, sf):
     kind = F.to_json(F.struct("event_type"))

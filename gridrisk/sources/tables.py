@@ -63,8 +63,9 @@ def write_table(df: DataFrame, path: str, keys: list[str] | None = None, sort: l
 
 def patch_partition(spark: SparkSession, path: str, key: str, value: str, columns: dict) -> None:
     """Rewrites one key folder of a table with changed columns; the other folders stay as they are."""
-    rows = spark.read.parquet(path).where(F.col(key) == value).withColumns(columns)
-    write_table(rows, path, keys=[key])
+    from gridrisk.sources.keyed import patch_rows
+
+    patch_rows(spark, path, key, value, columns)
 
 
 def sidecar(df: DataFrame, keys: list[str]) -> DataFrame:

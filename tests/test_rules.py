@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridrisk.functions import scalars
+from gridrisk.operators import exposure as E
 from gridrisk.operators import rules as R
 from gridrisk.operators import trend, zonal
 from gridrisk.sources import tables
@@ -34,12 +35,31 @@ def test_national_statistics_are_complete(spark):
 
 def test_price_ladder_steps(spark):
     places = spark.createDataFrame([("a", "r1", "c1"), ("b", "r1", "c1"), ("c", "r1", "c1"), ("d", "r2", "c1"), ("e", "r3", "c2"), ("f", "r1", "c1")], "unit string, region string, continent string")
-    df = spark.createDataFrame([("a", "k", 2005, 10.0), ("a", "k", 2006, 20.0), ("a", "k", 1990, 99.0), ("b", "k", 1990, 4.0), ("a", "milk", 2005, 3.0), ("b", "milk", 2005, 7.0), ("a", "tea", 2005, 500.0), ("b", "tea", 2005, 900.0)], "unit string, crop string, year int, price double")
-    edges = spark.createDataFrame([("c", "b"), ("a", "b")], "unit string, neighbour string")
-    got = {(u, c): (p, s) for u, c, p, s in rows(R.price_ladder(df, places, edges, 2000, ["milk"], {"tea": 600.0}), "unit", "crop", "price", "step")}
-    assert got["a", "k"] == (15.0, "recent") and got["b", "k"] == (4.0, "longer") and got["c", "k"] == (4.0, "near")
-    assert got["f", "k"] == (9.5, "of_region") and got["d", "k"] == (9.5, "of_continent") and got["e", "k"] == (9.5, "of_all")
-    assert got["c", "milk"] == (5.0, "of_all") and got["a", "tea"] == (700.0, "of_all") and got["b", "tea"] == (900.0, "recent")
+    data = [("a", "k", 2005, 10.0), ("a", "k", 2006, 20.0), ("a", "k", 1990, 99.0), ("a", "k", 2011, 99.0), ("b", "k", 1996, 4.0), ("c", "k", 1990, 6.0), ("a", "milk", 2005, 3.0), ("b", "milk", 1997, 7.0), ("a", "tea", 2005, 500.0), ("b", "tea", 1999, 900.0), ("c", "tea", 2005, 640.0), ("a", "hay", 2005, 2.0)]
+    df = spark.createDataFrame(data, "unit string, crop string, year int, price double")
+    edges = spark.createDataFrame([("c", "b"), ("c", "a"), ("a", "b"), ("f", "b")], "unit string, neighbour string")
+    world = spark.createDataFrame([("k", 2005, 1.0), ("k", 2006, 3.0), ("k", 1999, 50.0), ("milk", 2005, 11.0), ("tea", 2005, 5.0)], "crop string, year int, price double")
+    got = {(u, c): (p, s) for u, c, p, s in rows(R.price_ladder(df, places, edges, (2000, 2010), ["milk", "hay"], {"tea": 600.0}, world), "unit", "crop", "price", "step")}
+    assert got["a", "k"] == (15.0, "recent") and got["b", "k"] == (4.0, "longer")  # five years before the window, not all
+    assert got["c", "k"] == (15.0, "near")  # of the recent prices alone: b's older one doesn't count, and 1990 is too long ago
+    assert got["f", "k"] == (15.0, "of_region") and got["d", "k"] == (15.0, "of_continent") and got["e", "k"] == (2.0, "of_all")
+    assert {got[u, "milk"] for u in "abcdef"} == {(11.0, "of_all")}  # an own price doesn't count
+    assert got["a", "hay"] == (2.0, "of_continent") and got["e", "hay"] == (None, None)  # no world price
+    assert got["a", "tea"] == (pytest.approx((500 + 900 + 640) / 3), "of_longer") and got["b", "tea"] == (900.0, "longer") and got["c", "tea"] == (640.0, "recent") and got["e", "tea"] == (680.0, "of_longer")
+    of_units = {(u, c): (p, s) for u, c, p, s in rows(R.price_ladder(df, places, edges, (2000, 2010)), "unit", "crop", "price", "step")}
+    assert of_units["e", "k"] == (15.0, "of_all") and of_units["a", "milk"] == (3.0, "recent")
+
+
+def test_hybrid_value_in_five_steps(spark):
+    places = spark.createDataFrame([(u, r, c) for u, r, c in (("a", "r1", "c1"), ("b", "r1", "c1"), ("c", "r1", "c1"), ("d", "r2", "c1"), ("e", "r3", "c2"))], "unit string, region string, continent string")
+    edges = spark.createDataFrame([("b", "a"), ("c", "b")], "unit string, neighbour string")
+    production = spark.createDataFrame([(u, "k", 1000.0 * n) for n, u in enumerate("abcde", 1)] + [("a", "z", None), ("b", "y", 500.0)], "unit string, crop string, production double")
+    prices = spark.createDataFrame([("a", "k", 10.4)] + [(u, "k", None) for u in "bcde"] + [("a", "z", 3.0)], "unit string, crop string, price double")
+    world = spark.createDataFrame([("k", 60.0, 30.0), ("y", 9.0, 3.0)], "crop string, value double, production double")
+    got = {(r["unit"], r["crop"]): r for r in E.hybrid_value(production, prices, world, places, edges).collect()}
+    assert {k: (r["value"], r["step"]) for k, r in got.items()} == {("a", "k"): (10.0, "own"), ("b", "k"): (21.0, "near"), ("c", "k"): (31.0, "of_region"), ("d", "k"): (42.0, "of_continent"), ("e", "k"): (10000.0, "of_world"), ("a", "z"): (None, None), ("b", "y"): (1500.0, "of_world")}
+    assert got["a", "k"]["of_region"] is None and got["a", "k"]["of_continent"] == 10.0  # the region without itself
+    assert got["b", "k"]["value_world"] == 4000.0 and got["e", "k"]["value_nearby"] is None and got["a", "k"]["value_world"] == 10.0
 
 
 def test_splits_and_siblings(spark):
@@ -58,12 +78,20 @@ def test_repair_seasons(spark):
 
 
 def test_merge_claims(spark):
-    df = spark.createDataFrame([(1, None, "x", 10.0), (2, None, "x", 40.0), (2, "p", "x", 7.0), (3, None, "x", 5.0), (1, None, "y", None), (2, None, "y", 8.0)], "code int, admin1 string, k string, value double")
-    claims, counts = spark.createDataFrame([(1, 2)], "disputed int, claimant int"), spark.createDataFrame([(1, 1), (2, 2), (3, 9)], "code int, n_cells int")
-    want = {"mean": (30.0, 8.0), "sum": (50.0, 8.0), "min": (10.0, 8.0), "max": (40.0, 8.0)}
-    for how, (x, y) in want.items():
-        out = R.merge_claims(df, claims, counts, "code", ["k"], how)
-        assert out.columns == df.columns and rows(out, "code", "admin1", "k", "value") == sorted([(2, None, "x", x), (2, None, "y", y), (2, "p", "x", 7.0), (3, None, "x", 5.0)], key=str)
+    """Area 100 is claimed by 160 and 161, 110 by 120 and 161: each has a row for either claimant."""
+    data = [(100, "SSD", None, None, "x", 10.0), (100, "SDN", None, None, "x", 10.0), (160, "SSD", None, None, "x", 1.0), (161, "SDN", None, None, "x", 2.0), (110, "SDN", None, None, "x", 30.0), (110, "EGY", None, None, "x", 30.0), (120, "EGY", None, None, "x", None)]
+    data += [(100, "SSD", "p", None, "x", 5.0), (100, "SSD", "p", "q", "x", 6.0), (7, "KEN", None, None, "x", 8.0), (None, "XXX", None, None, "x", 9.0), (120, "EGY", None, None, "y", None)]
+    df = spark.createDataFrame(data, "code int, iso3 string, admin1 string, admin2 string, k string, value double")
+    claims = spark.createDataFrame([(100, 160, "SSD"), (100, 161, "SDN"), (110, 120, "EGY"), (110, 161, "SDN")], "disputed int, claimant int, iso3 string")
+    counts = spark.createDataFrame([(100, 1), (110, 2), (120, 5), (160, 3), (161, 7)], "code int, n_cells int")
+    stay = [d for d in data if d[0] == 7 or d[0] is None or d[2]]
+    want = {"sum": (11.0, 42.0, 30.0, 0.0), "mean": ((10 + 3) / 4, (10 + 14 + 60) / 10, 30.0, None), "min": (1.0, 2.0, 30.0, None), "max": (10.0, 30.0, 30.0, None)}
+    for how, (ssd, sdn, egy, none) in want.items():
+        out = R.merge_claims(df, claims, counts, "code", ["iso3", "k"], how)
+        made = [(160, "SSD", None, None, "x", ssd), (161, "SDN", None, None, "x", sdn), (120, "EGY", None, None, "x", egy), (120, "EGY", None, None, "y", none)]
+        assert out.columns == df.columns and out.dtypes == df.dtypes and rows(out, *df.columns) == sorted(stay + made, key=str)
+    with pytest.raises(ValueError, match="iso3"):
+        R.merge_claims(df, claims, counts, "code", ["k"], "sum")
 
 
 def test_regrid_uses_both_areas(spark):
@@ -84,7 +112,9 @@ def test_touching_cells(spark):
 def test_thresholds_and_catalogue(spark):
     species = spark.createDataFrame([("maize", 20.0, 25.0, 30.2), ("maize", 21.0, 26.0, 31.1)], "crop string, opt double, mid double, abs double")
     assert rows(R.crop_thresholds(species, "NTx", "below"), "severity", "threshold") == [("extreme", 30.65), ("moderate", 20.5), ("severe", 25.5)]
-    assert rows(R.crop_thresholds(species, "PTOT_G", "above"), "severity", "threshold") == [("extreme", 31.0), ("moderate", 21.0), ("severe", 26.0)]
+    assert rows(R.crop_thresholds(species, "PTOT_G", "above"), "severity", "threshold") == [("extreme", 30.65), ("moderate", 20.5), ("severe", 25.5)]
+    rain = spark.createDataFrame([("maize", 10.25, 15.2, 20.1), ("maize", 10.25, 16.1, 20.1), ("maize", 10.25, 15.0, 20.1)], "crop string, opt double, mid double, abs double")
+    assert rows(R.crop_thresholds(rain, "PTOT_G", "above"), "severity", "threshold") == [("extreme", pytest.approx(20.1)), ("moderate", 10.25), ("severe", pytest.approx((16 + 17 + 15) / 3))]
     th = spark.createDataFrame([("maize", h, "severe", 1.0) for h in ("NTx", "NDWL", "NDWS")] + [("rice", "NTx", "severe", 2.0)], "crop string, hazard string, severity string, threshold double")
     combos = spark.createDataFrame([("NTx", "NDWL", "NDWS")], "heat string, wet string, dry string")
     catalogue = R.interaction_catalogue(th, combos)
@@ -188,3 +218,45 @@ def test_breaks_and_patched_folder(spark, tmp_path):
     tables.patch_partition(spark, path, "scenario", "F", {"hazard": F.when(F.col("hazard") == "R", "A").otherwise(F.col("hazard"))})
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("scenario", "hazard", "v").collect()) == [("F", "A", 1), ("F", "N", 2), ("O", "R", 3)]
     assert sorted(p.name for p in (tmp_path / "t" / "scenario=O").iterdir()) == before
+
+
+def test_ecocrop_thresholds(spark):
+    """Three species of a crop, one without limits; one of another crop with a null."""
+    columns = ["temp_opt_min", "temp_opt_max", "temp_abs_min", "temp_abs_max", "rain_opt_min", "rain_opt_max", "rain_abs_min", "rain_abs_max"]
+    species = spark.createDataFrame([("s1", 10.0, 30.0, 5.0, 40.0, 500.0, 900.0, 300.0, 1500.0), ("s2", 12.0, 32.5, 6.0, 43.0, 600.0, 1001.0, 400.0, 1600.0), ("s4", 1.0, 20.0, 0.0, 30.0, None, 800.0, 100.0, 1000.0)], "species string, " + ", ".join(f"{c} double" for c in columns))
+    crops = spark.createDataFrame([("maize", "s1; s2;s3;s1"), ("rye", "s4"), ("none", "s9")], "crop string, sci_name string")
+    got = {r[:4]: r[4] for r in rows(R.ecocrop_thresholds(crops, species), "crop", "index_name", "direction", "description", "threshold")}
+    assert {k[0] for k in got} == {"maize", "rye"} and len(got) == 2 * 21
+    m = lambda i, d: tuple(got["maize", i, d, s] for s in ("Moderate", "Severe", "Extreme"))
+    assert m("PTOT", "<") == (550.0, (400 + 500) / 2, 350.0) and m("PTOT", ">") == (950.5, (1200 + 1301) / 2, 1550.0)  # 1300.5 is rounded up before the mean
+    assert m("TAVG", "<") == (11.0, (7.5 + 9) / 2, 5.5) and m("TAVG", ">") == (31.25, (35 + 37.75) / 2, 41.5)
+    assert m("NTxM31", ">") == (7.0, 14.0, 21.0) and m("NTxS37", ">") == (7.0, 14.0, 21.0) and m("NTxE42", ">") == (1.0, 5.0, 10.0)  # (30 + 32) / 2; (35 + 38) / 2 up; (40 + 43) / 2 up
+    assert got["rye", "PTOT", "<", "Moderate"] is None and got["rye", "PTOT", "<", "Extreme"] == 100.0 and ("rye", "NTxM20", ">", "Severe") in got
+
+
+def test_interaction_table(spark):
+    classes = [(c, s, h, f"{h}_{c[:3]}_mean.tif") for c in ("maize", "rice", "cattle-tropical") for s in ("Severe", "Extreme") for h in ("NTxS", "PTOT_G", "PTOT_L", "THI_max") if not (c == "rice" and s == "Extreme" and h == "PTOT_L")] + [("beans", "Severe", "NTxS", "NTxS_mai_mean.tif"), ("beans", "Severe", "PTOT_G", "PTOT_G_mai_mean.tif"), ("beans", "Severe", "PTOT_L", "PTOT_L_mai_mean.tif")]
+    df = spark.createDataFrame(classes, "crop string, severity string, hazard string, file string")
+    both = [R.Interaction("NTxS", "PTOT_G", "PTOT_L"), R.Interaction("THI_max", "PTOT_G", "PTOT_L", kind="animal"), R.Interaction("NTx35", "NDWL0", "NDWS", True, True, True)]
+    table = R.interaction_table(df, both, short=["rice", "cattle-tropical"])
+    got = rows(table, "crop", "severity", "heat", "code", "in_short")
+    assert [g[:2] for g in got] == [("beans", "Severe"), ("cattle-tropical", "Extreme"), ("cattle-tropical", "Severe"), ("maize", "Extreme"), ("maize", "Severe"), ("rice", "Severe")]
+    assert got[1][2:] == ("THI-max-cat-mean", "PTOT-L-cat-mean+THI-max-cat-mean+PTOT-G-cat-mean", False) and got[5][4] and not got[3][4]
+    combos = R.distinct_combinations(table).collect()
+    assert len(combos) == 5 and "crop" not in combos[0].asDict() and [r["code"] for r in combos] == sorted(r["code"] for r in combos)  # beans and maize share one
+    with pytest.raises(ValueError, match="PTOT_L"):
+        R.interaction_table(df, [*both, R.Interaction("NTx40", "NDWL0", "PTOT_L", True, True, True)])
+
+
+def test_a_commodity_without_a_kind_is_an_error(spark):
+    freq = spark.createDataFrame([(1, "maize", 0.5)], "cell long, commodity string, p double")
+    ex = spark.createDataFrame([(1, "maize", "ha", 10.0), (1, "teff", "ha", 1.0)], "cell long, commodity string, variable string, value double")
+    with pytest.raises(ValueError, match="teff"):
+        R.selected_exposure(freq, ex, spark.createDataFrame([("maize", "crop")], "commodity string, kind string"))
+
+
+def test_no_name_is_registered_twice():
+    from gridrisk.plans import registry
+
+    with pytest.raises(ValueError, match="twice"):
+        registry.query("g25_crop_thresholds")(lambda spark, sf: None)
