@@ -17,6 +17,13 @@ def adoption(goal: str | Column, rate: float, year: str | Column, digits: int |
     return F.aggregate(F.sequence(F.lit(1), col(year)), F.lit(0.0), lambda a, _: F.round(a + (col(goal) - a) * rate, digits))
 
 
+def adoption_average(df: DataFrame, goals: list[float], rate: float, first_year: int, value: str = "value") -> DataFrame:
+    """goal, year and the means of what adopters have, what others have, and the percent that adopts, for every goal. The first year of adoption is first_year."""
+    rows = df.withColumn("goal", F.explode(F.array(*map(F.lit, goals)))).withColumn("_a", adoption(F.col("goal"), rate, F.col("year") - (first_year - 1)))
+    share = F.col(value) * F.col("_a")
+    return rows.groupBy("goal", "year").agg(F.avg(share).alias("adopters"), F.avg(F.col(value) - share).alias("others"), F.avg(100 * F.col("_a")).alias("pct"))
+
+
 def avoided_loss(sd_without: str | Column, sd_with: str | Column) -> Column:
     """Expected lower-half loss that a smaller spread avoids, not below 0; null for a negative spread."""
     gain = (col(sd_without) - col(sd_with)) / math.sqrt(2 * math.pi)

@@ -326,6 +326,16 @@ def exposure_subset(df: DataFrame, drop: str, suffix: str = "-(tropical|highland
     return own.groupBy("admin0", "admin1", F.regexp_replace("crop", suffix, "").alias("crop")).agg(F.sum("value").alias("value"))
 
 
+#: How adaptation tables code effects.
+EFFECTS = {-1: "decrease", 0: "no change", 1: "increase"}
+
+
+def recoded(df: DataFrame, codes: dict[str, str], marks: dict[str, tuple[str, str]], keys: list[str], labels: dict[int, str] | None = None) -> DataFrame:
+    """Distinct rows of the keys, each code column (old: new name) as its label, null if it has none, and for each mark (new: column, text) whether the column contains the text."""
+    of = F.create_map(*(F.lit(x) for kv in (labels or EFFECTS).items() for x in kv))
+    return df.select(*keys, *(F.try_element_at(of, F.col(a).cast("int")).alias(b) for a, b in codes.items()), *(F.contains(c, F.lit(t)).alias(n) for n, (c, t) in marks.items())).distinct()
+
+
 # --------------------------------------------------------------------------- statistics
 def t_p_value(t: str | Column, df: str | Column) -> Column:
     """Two-sided p of Student's t with a whole number of degrees of freedom: the finite series in the angle's cosine."""

@@ -53,6 +53,13 @@ def rolling_seasons(series: DataFrame, keys: list[str], stat: str, seasons=SEASO
     return rows.withColumn("season_year", year).groupBy(*keys, "season", "season_year").agg(statistic("value", stat).alias("value"), F.count("value").alias("n_value"), (F.countDistinct("month") == F.first("months")).alias("complete"))
 
 
+def quarters(series: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, q (0: December to February, then in threes), first_year (of the quarter's first month), complete (all three months are there) and the quarter's sum."""
+    q = F.expr("cast((month % 12) div 3 as int)")
+    first = F.when((F.col("q") == 0) & (F.col("month") < 12), F.col("year") - 1).otherwise(F.col("year"))
+    return series.withColumn("q", q).groupBy(*keys, "q", first.alias("first_year")).agg((F.countDistinct("month") == 3).alias("complete"), F.sum("value").alias("value"))
+
+
 def month_runs(series: DataFrame, keys: list[str]) -> DataFrame:
     """Islands of consecutive months, labelled with their first year and month."""
     from pyspark.sql import Window

@@ -21,8 +21,15 @@ def first_and_last(df: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
     return out.withColumn("change", F.col("last_mean") - F.col("first_mean"))
 
 
+#: Years of a series at most: pairs grow with its square, so a longer one (days, say) is an error.
+YEARS = 200
+
+
 def _pairs(df: DataFrame, keys: list[str]) -> DataFrame:
-    """All pairs of years in a series; a series is one value a year."""
+    """All pairs of years in a series; a series is one value a year, YEARS of them at most (checked as the pairs are made)."""
+    long = F.raise_error(F.concat(F.lit(f"a series has more than {YEARS} values: "), F.to_json(F.struct(*keys)))).cast("boolean")
+    checked = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.when(F.col("_n") <= YEARS, True).otherwise(long)).drop("_n")
+    df = df.join(checked, keys)
     a, b = df.select(*keys, F.col("year").alias("y1"), F.col("value").alias("v1")), df.select(*keys, F.col("year").alias("y2"), F.col("value").alias("v2"))
     return a.join(b, keys).where(F.col("y1") < F.col("y2"))
 

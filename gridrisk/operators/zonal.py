@@ -82,6 +82,21 @@ def majority(df: DataFrame, child: str, parent: str) -> DataFrame:
     return n.withColumn("_r", F.row_number().over(Window.partitionBy(child).orderBy(F.desc("n"), parent))).where("_r = 1").drop("_r")
 
 
+def second_zone_table(zones: DataFrame, second: DataFrame, zone: str, other: str) -> DataFrame:
+    """zone, other, cells, pct: how many cells of each zone lie in each of the second zones, and their percent of the zone's cells in any. zones: cell, zone. second: cell, other."""
+    both = zones.select("cell", zone).join(second.select("cell", other), "cell").groupBy(zone, other).agg(F.count(F.lit(1)).alias("cells"))
+    whole = both.groupBy(zone).agg(F.sum("cells").alias("_whole"))
+    return both.join(whole, zone).select(zone, other, "cells", (100.0 * safe_ratio("cells", F.col("_whole").cast("double"))).alias("pct"))
+
+
+def share_of_total_row(df: DataFrame, zone: str, kind: str, value: str = "value", total: str = "total") -> DataFrame:
+    """df with a row `total` for each zone (sums of its numbers) and pct: each value's percent of that row's."""
+    numbers = [c for c in df.columns if c not in (zone, kind)]
+    rows = df.unionByName(df.groupBy(zone).agg(*(F.sum(c).alias(c) for c in numbers)).withColumn(kind, F.lit(total)))
+    whole = F.max(F.when(F.col(kind) == total, F.col(value))).over(Window.partitionBy(zone))
+    return rows.withColumn("pct", 100 * safe_ratio(value, whole))
+
+
 def dominant(df: DataFrame, keys: list[str], label: str, value: str) -> DataFrame:
     """The label with the largest value; equal ones are joined in order."""
     top = df.withColumn("_m", F.max(value).over(Window.partitionBy(*keys))).where(F.col(value) == F.col("_m"))

@@ -8,6 +8,7 @@ from gridrisk.functions.scalars import break_sequence, interval_class, recode, s
 from gridrisk.operators import economics as E
 from gridrisk.operators import exposure as G
 from gridrisk.operators import grid, rules
+from gridrisk.operators import season as S
 from gridrisk.operators import zonal as Z
 from gridrisk.plans import fixtures as X
 from gridrisk.plans.exposure_queries import FILL, OTHERS
@@ -53,18 +54,13 @@ def _(spark, sf):
 
 @query("g30_adoption_average", "SELECT goal, year, avg(value * a) AS adopters, avg(value - value * a) AS others, avg(100 * a) AS pct FROM (SELECT *, goal * (1 - pow(0.9, year - 1994)) AS a FROM natyear, (VALUES (CAST(0.1 AS DOUBLE)), (0.3), (0.5)) g(goal)) GROUP BY ALL", "natyear")
 def _(spark, sf):
-    rows = X.nation_years(spark, sf).withColumn("goal", F.explode(F.array(*map(F.lit, (0.1, 0.3, 0.5))))).withColumn("a", E.adoption(F.col("goal"), 0.1, F.col("year") - 1994))
-    share = F.col("value") * F.col("a")
-    return rows.groupBy("goal", "year").agg(F.avg(share).alias("adopters"), F.avg(F.col("value") - share).alias("others"), F.avg(100 * F.col("a")).alias("pct"))
+    return E.adoption_average(X.nation_years(spark, sf), [0.1, 0.3, 0.5], 0.1, 1995)
 
 
 @query("g39_recoded_solutions", "SELECT DISTINCT p_brand AS solution, CASE CAST(p_size % 3 AS INT) - 1 WHEN -1 THEN 'decrease' WHEN 0 THEN 'no change' WHEN 1 THEN 'increase' END AS effect, CASE CAST(p_partkey % 3 AS INT) - 1 WHEN -1 THEN 'decrease' WHEN 0 THEN 'no change' WHEN 1 THEN 'increase' END AS income, contains(p_type, 'PROMO') AS promoted, contains(p_name, 'a') AS named FROM part")
 def _(spark, sf):
-    codes = spark.createDataFrame([(-1, "decrease"), (0, "no change"), (1, "increase")], "code int, label string")  # three rows
-    p = X.table(spark, sf, "part").select(F.col("p_brand").alias("solution"), (F.col("p_size") % 3 - 1).cast("int").alias("e"), (F.col("p_partkey") % 3 - 1).cast("int").alias("i"), F.contains("p_type", F.lit("PROMO")).alias("promoted"), F.contains("p_name", F.lit("a")).alias("named")).distinct()
-    for code, name in (("e", "effect"), ("i", "income")):
-        p = p.join(F.broadcast(codes.select(F.col("code").alias(code), F.col("label").alias(name))), code, "left")
-    return p.select("solution", "effect", "income", "promoted", "named").distinct()
+    p = X.table(spark, sf, "part").select(F.col("p_brand").alias("solution"), (F.col("p_size") % 3 - 1).alias("e"), (F.col("p_partkey") % 3 - 1).alias("i"), "p_type", "p_name")
+    return rules.recoded(p, {"e": "effect", "i": "income"}, {"promoted": ("p_type", "PROMO"), "named": ("p_name", "a")}, ["solution"])
 
 
 #: Classes of moisture and of warmth.
@@ -95,9 +91,7 @@ def _(spark, sf):
 def _(spark, sf):
     part = X.table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("basin"))
     basins = Z.majority(X.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("cell"), "l_partkey").join(part, F.col("l_partkey") == F.col("p_partkey")), "cell", "basin")
-    both = X.zones(spark, sf).select("cell", "admin1").join(basins.select("cell", "basin"), "cell").groupBy("admin1", "basin").agg(F.count(F.lit(1)).alias("cells"))
-    whole = both.groupBy("admin1").agg(F.sum("cells").alias("whole"))
-    return both.join(whole, "admin1").select("admin1", "basin", "cells", (100.0 * safe_ratio("cells", F.col("whole").cast("double"))).alias("pct"))
+    return Z.second_zone_table(X.zones(spark, sf), basins, "admin1", "basin")
 
 
 @query("s11_complete_gate", "SELECT scenario, hazard, count(DISTINCT model) AS n_models, count(DISTINCT year) AS n_years FROM cells GROUP BY ALL", "cells")
@@ -116,9 +110,7 @@ def _(spark, sf):
 
 @query("w02_quarter_patterns", "SELECT cell, q, CASE WHEN q = 0 AND month < 12 THEN year - 1 ELSE year END AS first_year, count(DISTINCT month) = 3 AS complete, sum(value) AS value FROM (SELECT *, CAST((month % 12) // 3 AS INT) AS q FROM monthly) GROUP BY ALL", "monthly")
 def _(spark, sf):
-    m = X.monthly(spark, sf).withColumn("q", F.expr("cast((month % 12) div 3 as int)"))
-    first = F.when((F.col("q") == 0) & (F.col("month") < 12), F.col("year") - 1).otherwise(F.col("year"))
-    return m.groupBy("cell", "q", first.alias("first_year")).agg((F.countDistinct("month") == 3).alias("complete"), F.sum("value").alias("value"))
+    return S.quarters(X.monthly(spark, sf), ["cell"])
 
 
 @query("c06_break_sequence", "SELECT hazard, list_transform(range(0, CAST(floor((b - a) / s + 1e-10) AS BIGINT) + 1), lambda k: a + k * s) AS breaks FROM (SELECT hazard, floor(lo * 10) / 10 AS a, ceil(hi * 10) / 10 AS b, pow(10.0, CASE WHEN log10((hi - lo) / 10) > 0 THEN ceil(log10((hi - lo) / 10)) ELSE floor(log10((hi - lo) / 10)) END) AS s FROM (SELECT hazard, min(value) / 7 AS lo, max(value) / 7 AS hi FROM yearly GROUP BY hazard))", "yearly")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridrisk.operators import exposure as G
 from gridrisk.operators import rules as R
+from gridrisk.operators import zonal as Z
 from gridrisk.plans import fixtures as X
 from gridrisk.plans.registry import query
 
@@ -277,12 +278,14 @@ def _(spark, sf):
     return R.method_quality(d, ["method"], "x", "y")
 
 
-FLOW = "fl AS (SELECT admin1, year - 1992 AS t, value AS benefit, 1000000.0 AS cost FROM natyear WHERE year BETWEEN 1993 AND 2002)"
+FLOW = "fl AS (SELECT admin1, year - (SELECT min(year) - 1 FROM natyear) AS t, value AS benefit, 1000000.0 AS cost FROM natyear)"
 
 
 @query("g36_cash_flow", "SELECT * FROM (WITH " + FLOW + ", z AS (SELECT admin1, t, benefit, cost FROM fl UNION ALL SELECT DISTINCT admin1, 0, 0.0, 1000000.0 FROM fl), s AS (SELECT admin1, t, CASE WHEN t < 4 THEN cost / 4 ELSE 0 END AS cost_t, coalesce(lag(benefit, 2) OVER (PARTITION BY admin1 ORDER BY t), 0) AS benefit_t FROM z) SELECT admin1, CAST(t AS INT) AS t, cost_t, benefit_t, sum(benefit_t / pow(1.05, t)) OVER w / sum(cost_t / pow(1.05, t)) OVER w AS bcr FROM s WINDOW w AS (PARTITION BY admin1 ORDER BY t))", "natyear")
 def _(spark, sf):
-    rows = X.nation_years(spark, sf).where("year between 1993 and 2002").select("admin1", (F.col("year") - 1992).alias("t"), F.col("value").alias("benefit"), F.lit(1000000.0).alias("cost"))
+    y = X.nation_years(spark, sf)
+    first = X.table(spark, sf, "orders").agg((F.min(F.year("o_orderdate")) - 1).alias("before"))  # one row
+    rows = y.join(F.broadcast(first), F.lit(True)).select("admin1", (F.col("year") - F.col("before")).alias("t"), F.col("value").alias("benefit"), F.lit(1000000.0).alias("cost"))
     return R.cash_flow(rows, ["admin1"], 0.05, 4, 2)
 
 
@@ -347,12 +350,8 @@ def _(spark, sf):
 
 @query("a71_share_of_total_row", "SELECT * FROM (WITH x AS (SELECT admin1, crop, sum(value) AS value, CAST(count(*) AS BIGINT) AS area FROM exposure JOIN zones USING (cell) GROUP BY ALL), t AS (SELECT admin1, 'total' AS crop, sum(value) AS value, sum(area) AS area FROM x GROUP BY admin1), u AS (SELECT * FROM x UNION ALL SELECT * FROM t) SELECT admin1, crop, value, CAST(area AS BIGINT) AS area, 100 * value / nullif(max(value) FILTER (crop = 'total') OVER (PARTITION BY admin1), 0) AS pct FROM u)", "exposure", "zones")
 def _(spark, sf):
-    from pyspark.sql import Window
-
     x = X.exposure(spark, sf).join(X.zones(spark, sf).select("cell", "admin1"), "cell").groupBy("admin1", "crop").agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("area"))
-    u = x.unionByName(x.groupBy("admin1").agg(F.sum("value").alias("value"), F.sum("area").alias("area")).withColumn("crop", F.lit("total")))
-    total = F.max(F.when(F.col("crop") == "total", F.col("value"))).over(Window.partitionBy("admin1"))
-    return u.withColumn("pct", 100 * F.col("value") / F.nullif(total, F.lit(0.0)))
+    return Z.share_of_total_row(x, "admin1", "crop")
 
 
 @query("s03_remote_predicates", "SELECT p_brand AS crop, l_returnflag AS hazard, l_quantity AS value FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand IN ('Brand#1', 'Brand#15') AND l_returnflag IN ('A', 'N') AND CASE WHEN l_suppkey % 3 <> 0 THEN l_suppkey END IS NULL")

@@ -196,9 +196,9 @@ def _(spark, sf):
     return X.yearly(spark, sf).select("cell", (F.col("cell") % 10).cast("double").alias("x"), F.expr("cast(cell div 10 as double)").alias("y"), layer, "value")
 
 
-@query("w02_pattern_groups", "SELECT cell, year, n_months = 3 AS complete FROM (SELECT cell, year, count(DISTINCT month) AS n_months FROM monthly WHERE month IN (6, 7, 8) GROUP BY ALL)", "monthly")
+@query("w02_pattern_groups", "SELECT cell, year, n_months = 3 AS complete FROM (SELECT cell, year, count(DISTINCT month) FILTER (month IN (6, 7, 8)) AS n_months FROM monthly GROUP BY ALL)", "monthly")
 def _(spark, sf):
-    return X.monthly(spark, sf).where(F.col("month").isin(6, 7, 8)).groupBy("cell", "year").agg((F.countDistinct("month") == 3).alias("complete"))
+    return X.monthly(spark, sf).groupBy("cell", "year").agg((F.countDistinct(F.when(F.col("month").isin(6, 7, 8), F.col("month"))) == 3).alias("complete"))
 
 
 @query("o02_dominant_crop", "SELECT admin1, crop FROM (SELECT admin1, crop, row_number() OVER (PARTITION BY admin1 ORDER BY v DESC, crop) AS r FROM (SELECT admin1, crop, sum(value) AS v FROM exposure JOIN zones USING (cell) GROUP BY ALL)) WHERE r = 1", "exposure", "zones")

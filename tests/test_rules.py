@@ -260,3 +260,19 @@ def test_no_name_is_registered_twice():
 
     with pytest.raises(ValueError, match="twice"):
         registry.query("g25_crop_thresholds")(lambda spark, sf: None)
+
+
+def test_long_series_are_refused(spark):
+    df = spark.range(trend.YEARS + 1).select(F.lit("a").alias("k"), F.col("id").cast("int").alias("year"), F.col("id").cast("double").alias("value"))
+    with pytest.raises(Exception, match="more than 200 values.*a"):
+        trend.theil_sen(df, ["k"]).collect()
+    assert trend.theil_sen(df.where("year > 0"), ["k"]).first()["slope"] == 1.0
+
+
+def test_lookup_lists_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(R, "LISTED", 3)
+    df = spark.createDataFrame([("b", 1.5), ("a", None), ("b", 1.5)], "crop string, s double")
+    assert spark.range(1).select(F.inline(R.listed(df, "crop", "s"))).collect() == [("a", None), ("b", 1.5)]
+    assert spark.range(1).select(F.inline(R.listed(df.limit(0), "crop"))).count() == 0
+    with pytest.raises(ValueError, match="more than 3"):
+        R.listed(spark.range(4), "id")
