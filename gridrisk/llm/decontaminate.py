@@ -14,8 +14,8 @@ answer, must be in the document. The answer is what follows the last sentence en
 WORDS words on either side, the question what comes before it; without such an end they are cut in the middle, and an
 item of under 2 * WORDS words is both.
 
-The benchmark is the query set: it is worked through in blocks of ITEMS items or ITEM_BYTES bytes at most, each an index that
-all tasks read. Item count, document frequencies, mean length and L are those of the whole benchmark in every block.
+The benchmark is the query set: it is cut into blocks of about ITEMS items or ITEM_BYTES bytes, each an index (postings, and a maximum for each term and block of
+items that has it) that all tasks read. Documents are read once, however many indexes there are: a task opens one at a time for GROUP_BYTES of its texts. Item count, document frequencies, mean length and L are those of the whole benchmark in every block.
 
 Defined results: documents and items without words (null and empty texts too) match nothing; items of under five words match
 documents of these words only; very long texts are read whole, a slice by themselves; several items of equal score are all reported;
@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from gridrisk.llm.textops import MARKS, U64, Prints, column_bytes, lower_ascii, shingles, slices, stored, words
 
 ITEMS, ITEM_BYTES, BLOCK, THRESHOLD, OVERLAP, PART_OVERLAP, WORDS = 4000, 4 << 20, 8, 0.6, 0.8, 0.5, 5
-#: (passage, term) rows that are scored at once.
-ROWS = 100_000
+#: (passage, term) rows that are scored at once; bytes of text for which the indexes are opened once.
+ROWS, GROUP_BYTES = 100_000, 16 << 20
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id bigint, item_id bigint, score double, n_item bigint, n_shared bigint, n_question bigint, question_shared bigint, n_answer bigint, answer_shared bigint"
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -71,11 +71,20 @@ class Index:
     items: np.ndarray
     weights: np.ndarray
     list_max: np.ndarray
-    block_max: np.ndarray  # terms x blocks
+    block_first: np.ndarray  # block maxima of term t: block_first[t]:block_first[t+1], for the blocks that have it
+    block_no: np.ndarray
+    block_top: np.ndarray
     seen: np.ndarray  # which of 65,536 hash prefixes have a term
     span: int  # words of the longest item
     grams: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each item: all, question, answer
 
+    @property
+    def block_max(self) -> np.ndarray:
+        """The block maxima as a terms x blocks matrix, to look at a small index."""
+        out = np.zeros((len(self.terms), -(-len(self.ids) // BLOCK)), np.float32)
+        out[np.repeat(np.arange(len(self.terms)), np.diff(self.block_first)), self.block_no] = self.block_top
+        return out
+
 
 @dataclass
 class Whole:
@@ -110,11 +119,16 @@ def build_index(ids: list, texts: list[str], whole: Whole | None = None) -> Inde
     weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / max(whole.mean, 1e-9))) if len(key) else np.zeros(0)
     own = np.bincount(item, weights=weight, minlength=len(texts))
     weight = weight / own[item]
-    block_max = np.zeros((len(terms), -(-len(texts) // BLOCK)), np.float32)
-    np.maximum.at(block_max, (term, item // BLOCK), weight.astype(np.float32))
+    blocks = max(1, -(-len(texts) // BLOCK))
+    cell = term * blocks + item // BLOCK  # sorted, as postings are
+    head = np.flatnonzero(np.diff(cell, prepend=-1))
+    block_top = np.maximum.reduceat(weight, head).astype(np.float32) if len(head) else np.zeros(0, np.float32)
+    block_term, block_no = cell[head] // blocks, (cell[head] % blocks).astype(np.int32)
+    block_first = np.searchsorted(block_term, np.arange(len(terms) + 1))
+    list_max = np.maximum.reduceat(block_top, block_first[:-1]) if len(terms) else np.zeros(0, np.float32)  # each term has a posting
     seen = np.zeros(1 << 16, bool)
     seen[(terms >> U64(48)).astype(np.int64)] = True
-    return Index(list(ids), terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, weight, block_max.max(axis=1, initial=0), block_max, seen, whole.span, all_grams)
+    return Index(list(ids), terms, np.searchsorted(term, np.arange(len(terms) + 1)), item.astype(np.int32), weight, list_max, block_first, block_no, block_top, seen, whole.span, all_grams)
 
 
 def _ragged(starts: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -165,7 +179,10 @@ def _search(index: Index, h: np.ndarray, first: np.ndarray, threshold: float) ->
     for a, b in _blocks(where, ROWS):
         w, t = where[a:b], term[a:b]
         head = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        block_bound = np.add.reduceat(index.block_max[t], head, axis=0)  # block maxima
+        blocks, passage_no = max(1, -(-len(index.ids) // BLOCK)), np.repeat(np.arange(len(head)), np.diff(np.append(head, len(w))))
+        count = index.block_first[t + 1] - index.block_first[t]
+        top = _ragged(index.block_first[t], count)
+        block_bound = np.bincount(np.repeat(passage_no, count) * blocks + index.block_no[top], weights=index.block_top[top], minlength=len(head) * blocks).reshape(len(head), blocks)  # block maxima
         passage, block = np.nonzero(block_bound >= threshold - slack)
         alive = np.unique(passage)
         if not len(alive):
@@ -227,7 +244,10 @@ def _indexes(items: DataFrame, item_id: str, item_text: str, items_at_once: int)
 
 def confirmed(index: Index, col: pa.Array, threshold: float = THRESHOLD) -> list[tuple]:
     """(row, item's place, score, then size and shared shingles of the item, its question and its answer) of all confirmed hits."""
-    h, first, _ = _hashed(*column_bytes(col))
+    return _confirmed(index, *_hashed(*column_bytes(col))[:2], threshold)
+
+
+def _confirmed(index: Index, h: np.ndarray, first: np.ndarray, threshold: float) -> list[tuple]:
     rows = []
     for d, i, s in _search(index, h, first, threshold):
         grams, _ = shingles(h[first[d] : first[d + 1]], np.array([0, first[d + 1] - first[d]]), WORDS)
@@ -239,37 +259,65 @@ def confirmed(index: Index, col: pa.Array, threshold: float = THRESHOLD) -> list
     return rows
 
 
+def _grouped(pieces: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Pieces of about `limit` bytes of the column together."""
+    group, size = [], 0
+    for b in pieces:
+        group.append(b)
+        size += column_bytes(b.column(b.schema.get_field_index(column)))[0].size
+        if size >= limit:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _hits(batches: Iterator[pa.RecordBatch], column: str, indexes: list, threshold: float) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+    """Each piece of the batches with its confirmed hits (row, item id, ...) in all indexes, which are opened one after the other for GROUP_BYTES of text."""
+    for group in _grouped(slices(batches, column), column, GROUP_BYTES if len(indexes) > 1 else 0):
+        hashed = [_hashed(*column_bytes(b.column(b.schema.get_field_index(column))))[:2] for b in group]
+        found: list[list[tuple]] = [[] for _ in group]
+        for held in indexes:
+            index = held.value
+            if len(indexes) > 1:
+                held.__dict__.pop("_value", None)  # a worker would keep it; the next group reads its file again
+            for n, (h, first) in enumerate(hashed):
+                found[n] += [(d, index.ids[i], *rest) for d, i, *rest in _confirmed(index, h, first, threshold)]
+            del index
+        yield from zip(group, found, strict=True)
+
+
+def _held(items: DataFrame, item_id: str, item_text: str, items_at_once: int) -> list:
+    """The indexes of all items as broadcasts, made and sent one by one: none stays on the driver, a worker opens one at a time."""
+    return [items.sparkSession.sparkContext.broadcast(x) for x in _indexes(items, item_id, item_text, items_at_once)]
+
+
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, items_at_once: int = ITEMS) -> DataFrame:
     """A row for each document and test item that it holds, with the passage score and the shared shingles."""
     own = docs.select(F.col(doc_id).try_cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    out = None
-    for index in _indexes(items, item_id, item_text, items_at_once):
+    indexes = _held(items, item_id, item_text, items_at_once)
 
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for b in slices(batches, "_text"):
-                ids = b.column(0).to_pylist()
-                rows = [(ids[d], index.ids[i], *rest) for d, i, *rest in confirmed(index, b.column(1), threshold)]
-                if rows:
-                    cols = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64() if n == 2 else pa.int64()) for n, x in enumerate(cols)], names=NAMES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, hits in _hits(batches, "_text", indexes, threshold):
+            ids = b.column(0).to_pylist()
+            if hits:
+                cols = zip(*((ids[d], *rest) for d, *rest in hits), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64() if n == 2 else pa.int64()) for n, x in enumerate(cols)], names=NAMES)
 
-        found = own.mapInArrow(run, SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out
+    return own.mapInArrow(run, SCHEMA)
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, items_at_once: int = ITEMS) -> DataFrame:
     """docs without the rows that hold a test item."""
-    for index in _indexes(items, item_id, item_text, items_at_once):
+    indexes = _held(items, item_id, item_text, items_at_once)
 
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for b in slices(batches, text):
-                keep = np.ones(b.num_rows, bool)
-                keep[[x[0] for x in confirmed(index, b.column(b.schema.get_field_index(text)), threshold)]] = False
-                yield b.filter(pa.array(keep))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, hits in _hits(batches, text, indexes, threshold):
+            keep = np.ones(b.num_rows, bool)
+            keep[[x[0] for x in hits]] = False
+            yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

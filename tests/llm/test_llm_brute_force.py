@@ -1,8 +1,11 @@
 """Queries of the training-data operators against plain loops, where SQL can't express them."""
 
 import math
+import pickle
+import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -258,6 +261,53 @@ def test_pivoting_wand_gives_the_same_hits(texts, spark):
     assert got.keys() == want.keys() and want and all(got[k] == pytest.approx(want[k], abs=1e-5) for k in want)
 
 
+def test_scores_by_plain_sums(spark, texts):
+    """BM25 of the best passage over the item's own, from word counts of the whole benchmark."""
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
+    split = lambda t: re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    words = {i: split(t) for i, t in items.items()}
+    df = Counter(w for ws in words.values() for w in set(ws))
+    mean, span = sum(map(len, words.values())) / len(words), max(map(len, words.values()))
+
+    def weights(i):
+        n = Counter(words[i])
+        raw = {w: math.log1p((len(words) - df[w] + 0.5) / (df[w] + 0.5)) * k * 2.2 / (k + 1.2 * (0.25 + 0.75 * len(words[i]) / mean)) for w, k in n.items()}
+        return {w: x / sum(raw.values()) for w, x in raw.items()}
+
+    got = decontaminate.contaminated(spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()
+    assert got
+    for r in got:
+        ws, own = split(texts[r["doc_id"]]), weights(r["item_id"])
+        best = max(sum(own.get(w, 0) for w in set(ws[lo : lo + 2 * span])) for lo in range(0, len(ws), span))
+        assert r["score"] == pytest.approx(best, abs=1e-5)
+
+
+def test_index_follows_its_postings_and_documents_are_read_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    items = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 40)) for _ in range(2000)]  # rare words: 80,000 terms
+    index = decontaminate.build_index(list(range(2000)), items)
+    assert 79_900 < len(index.terms) <= len(index.block_no) <= len(index.items) and len(pickle.dumps(index)) < 60 * 2000 * 40 * 2
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 2000)
+    n = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            n.add(b.num_rows)
+            yield b
+
+    docs = spark.createDataFrame([(i, f"before {items[7 * i % 300]} after it") for i in range(120)] + [(500, None)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items[:300])), "item_id long, text string")
+    runs = []
+    for at_once in (300, 40, 7, 1):
+        n.value = 0
+        runs.append(sorted(tuple(r) for r in decontaminate.contaminated(docs.mapInArrow(counted, docs.schema), bench, items_at_once=at_once).collect()))
+        assert n.value == 121
+        n.value = 0
+        left = decontaminate.without_contaminated(docs.mapInArrow(counted, docs.schema), bench, items_at_once=at_once).collect()
+        assert [r["doc_id"] for r in left] == [500] and n.value == 121
+    assert len(runs[0]) == 120 and all([x[:2] + x[3:] for x in run] == [x[:2] + x[3:] for x in runs[0]] for run in runs) and all(a[2] == pytest.approx(b[2]) for run in runs for a, b in zip(run, runs[0], strict=True))
+
+
 def test_every_passage_of_a_large_slice_is_scored(spark):
     rng = np.random.default_rng(1)
     vocab = np.array([f"t{i}" for i in range(400)])
