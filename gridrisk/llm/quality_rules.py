@@ -3,9 +3,10 @@
 A text is compressed as a whole and in fixed chunks of CHUNK bytes, the last one as long as it is, so that every
 byte of a text longer than one chunk is judged twice. The ratio
 (bytes before / after, frame overhead left out) must lie in a band that depends on the length:
-repetitive text compresses too well, random text hardly at all. A text fails on
-chunks when more than BAD_CHUNKS of them lie outside of the band of their length. (A text of
-one chunk is its own chunk and has the band of whole texts alone.)
+repetitive text compresses too well, random text hardly at all. A text fails when one full chunk lies outside of its band (a page of
+random letters or of one repeated line spoils a text, however long it is), or when more than BAD_CHUNKS of all its chunks, the short last one included, do. The
+floor of full chunks is above the ratio of text that is drawn from 64 letters, 8 / 6, as encoded binary data is; full chunks of prose labelled good
+have ratios of 2.0 to 2.3. (A text of one chunk is its own chunk and has the band of whole texts alone.)
 
 Defined results: a null, empty or blank text has no words and fails the base
 rule. Very long texts are read whole, a slice by themselves. Repeated rows are judged alike, ids aren't looked at. An empty table
@@ -29,7 +30,7 @@ LEVEL, CHUNK, BAD_CHUNKS = 3, 4096, 0.25
 #: (length in bytes from which the band holds, least ratio, largest ratio)
 BANDS = ((0, 0.0, 3.2), (256, 1.05, 3.2), (1024, 1.2, 3.6), (4096, 1.35, 4.2), (16384, 1.5, 5.5), (65536, 1.5, 6.5))
 #: The same for chunks; under 256 bytes the frame's tables weigh too much to tell random text.
-CHUNK_BANDS = ((0, 0.0, 3.2), (256, 1.1, 3.6), (1024, 1.3, 4.0), (4096, 1.3, 4.5))
+CHUNK_BANDS = ((0, 0.0, 3.2), (256, 1.1, 3.6), (1024, 1.3, 4.0), (4096, 1.4, 4.5))
 _OVERHEAD = 12
 _SYMBOLS = np.zeros(256, np.uint8)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = 1
@@ -98,14 +99,16 @@ def measure(col: pa.Array, bands=BANDS, chunk: int = CHUNK, chunk_bands=CHUNK_BA
         if not text:
             continue
         whole[d] = ratio(len(text), len(press.compress(text)))
-        n_chunks = -(-len(text) // chunk)
+        n_chunks, spoilt = -(-len(text) // chunk), False
         if n_chunks > 1:
             for i in range(0, len(text), chunk):
                 part = text[i : i + chunk]
                 lo, hi = band(len(part), chunk_bands)
-                bad[d] += not lo <= ratio(len(part), len(press.compress(part))) <= hi
+                out = not lo <= ratio(len(part), len(press.compress(part))) <= hi
+                bad[d] += out
+                spoilt |= out and len(part) == chunk
         lo, hi = band(len(text), bands)
-        kept[d] = not base_failed[d] and lo <= whole[d] <= hi and bad[d] <= bad_chunks * n_chunks
+        kept[d] = not base_failed[d] and lo <= whole[d] <= hi and not spoilt and bad[d] <= bad_chunks * n_chunks
     return {"n_words": n_words, "word_chars": word_chars, "n_symbols": symbols[offs[1:]] - symbols[offs[:-1]], "n_dup_lines": _dup_lines(raw, offs, blob), "n_repeat_words": repeats.astype(np.int64), "base_failed": base_failed, "ratio": whole, "n_bad_chunks": bad, "kept": kept}
 
 

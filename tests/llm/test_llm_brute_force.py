@@ -115,8 +115,9 @@ def test_quality_rules_by_plain_compression(spark, texts):
         b = ({**texts, **more}[r["doc_id"]] or "").encode()
         chunks = [b[i : i + 4096] for i in range(0, len(b), 4096)]
         bad = sum(not inside(x, quality_rules.CHUNK_BANDS) for x in chunks) if len(chunks) > 1 else 0
+        spoilt = len(chunks) > 1 and any(len(x) == 4096 and not inside(x, quality_rules.CHUNK_BANDS) for x in chunks)
         assert r["ratio"] == pytest.approx(ratio(b) if b else 0.0) and r["n_bad_chunks"] == bad
-        assert r["kept"] == (bool(b) and not r["base_failed"] and inside(b, quality_rules.BANDS) and bad <= 0.25 * len(chunks))
+        assert r["kept"] == (bool(b) and not r["base_failed"] and inside(b, quality_rules.BANDS) and not spoilt and bad <= 0.25 * len(chunks))
 
 
 def test_language_id_by_plain_vectors(spark, texts):
@@ -295,17 +296,17 @@ def test_index_follows_its_postings_and_documents_are_read_once(spark, monkeypat
             n.add(b.num_rows)
             yield b
 
-    docs = spark.createDataFrame([(i, f"before {items[7 * i % 300]} after it") for i in range(120)] + [(500, None)], "doc_id long, text string").repartition(3)
-    bench = spark.createDataFrame(list(enumerate(items[:300])), "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before {items[7 * i % 30]} after it") for i in range(60)] + [(500, None)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items[:30])), "item_id long, text string")
     runs = []
-    for at_once in (300, 40, 7, 1):
+    for at_once in (30, 7, 1):
         n.value = 0
         runs.append(sorted(tuple(r) for r in decontaminate.contaminated(docs.mapInArrow(counted, docs.schema), bench, items_at_once=at_once).collect()))
-        assert n.value == 121
+        assert n.value == 61
         n.value = 0
         left = decontaminate.without_contaminated(docs.mapInArrow(counted, docs.schema), bench, items_at_once=at_once).collect()
-        assert [r["doc_id"] for r in left] == [500] and n.value == 121
-    assert len(runs[0]) == 120 and all([x[:2] + x[3:] for x in run] == [x[:2] + x[3:] for x in runs[0]] for run in runs) and all(a[2] == pytest.approx(b[2]) for run in runs for a, b in zip(run, runs[0], strict=True))
+        assert [r["doc_id"] for r in left] == [500] and n.value == 61
+    assert len(runs[0]) == 60 and all([x[:2] + x[3:] for x in run] == [x[:2] + x[3:] for x in runs[0]] for run in runs) and all(a[2] == pytest.approx(b[2]) for run in runs for a, b in zip(run, runs[0], strict=True))
 
 
 def test_every_passage_of_a_large_slice_is_scored(spark):

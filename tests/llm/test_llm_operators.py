@@ -183,6 +183,18 @@ def test_compression_bands():
     assert got["ratio"][1] > 20 and got["ratio"][2] < 1.35
 
 
+def test_one_full_chunk_spoils_a_text():
+    """12 KB of prose with 4 KB of random characters, 28 KB with 8 KB, a chunk of 64 random letters, a chunk of one line: none is kept; prose alone is, of any length."""
+    word = lambda i: hashlib.sha256(str(i % 1500).encode()).hexdigest()[: 3 + i * i % 5].translate(str.maketrans("0123456789", "etaoinshrd"))
+    prose = lambda n, seed: " ".join(word(int(x)) for x in np.random.default_rng(seed).integers(0, 1500, n))[:n]
+    random = lambda n, letters: "".join(letters[b % len(letters)] for i in range(n // 64 + 1) for b in hashlib.sha512(str(i).encode()).digest())[:n]
+    printable, base64 = [chr(33 + i) for i in range(90)], [chr(48 + i) for i in range(10)] + [chr(65 + i) for i in range(26)] + [chr(97 + i) for i in range(26)] + ["+", "/"]
+    spoilt = [prose(12288, 1) + random(4096, printable), prose(28672, 2) + random(8192, printable), prose(40960, 3) + random(4096, base64) + prose(8192, 4), prose(61440, 5) + ("the same line again\n" * 250)[:4096] + prose(4096, 6)]
+    got = quality_rules.measure(pa.array([*spoilt, *(prose(n, 7) for n in (3000, 5000, 16384, 70000))]))
+    assert not got["base_failed"].any() and got["kept"].tolist() == [False] * 4 + [True] * 4
+    assert all(n >= 1 for n in got["n_bad_chunks"][:4].tolist()) and not got["n_bad_chunks"][4:].any()
+
+
 def test_sharding(spark, texts):
     rows = sorted((r["doc_id"], r["shard"], r["slot"], r["size"], r["text_crc32"]) for r in sharding.query(spark, SMALL).collect())
     assert [(d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in sorted(texts.items())] == [(d, s, c) for d, _, _, s, c in rows]
