@@ -14,6 +14,7 @@ from gridrisk.functions.scalars import safe_ratio
 from gridrisk.operators.grid import crossings, with_rings
 from gridrisk.operators.ordered import same_keys, weighted_quantiles
 from gridrisk.operators.zonal import pretty_histogram
+from gridrisk.sources.shared import pinned
 
 #: Shares under it are what is left of sums that cancel.
 LEAST = 1e-9
@@ -84,7 +85,7 @@ def covered_statistics(cells: DataFrame, shares: DataFrame, keys: list[str], val
     cells: x, y, keys, value. shares: zone_id, x, y, fraction. Cells without a value take no part; a zone and key without any has no row.
     """
     by = ["zone_id", *keys]
-    rows = cells.where(F.abs(F.col(value).cast("double")) < float("inf")).join(shares.where("fraction > 0"), ["x", "y"]).select(*by, value, "fraction")
+    rows = pinned(cells.where(F.abs(F.col(value).cast("double")) < float("inf")).join(shares.where("fraction > 0"), ["x", "y"]).select(*by, value, "fraction"))
     stats = rows.groupBy(*by).agg(safe_ratio(F.sum(F.col(value) * F.col("fraction")), F.sum("fraction")).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
     for more in (weighted_quantiles(rows, by, value, "fraction", [0.5], rule).withColumnRenamed("q50", "median"), pretty_histogram(rows, by, value, bins)):
         named = more.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(by)), *more.columns[len(by) :])

@@ -64,7 +64,7 @@ def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str,
     if rule not in ("share", "interpolated"):
         raise ValueError(f"unknown rule {rule}")
     ties = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*keys, F.col(value).alias("_v")).agg(F.sum(weight).alias("_w"))
-    run = running(bucketed(ties, keys, "_v"), keys, "_v", _run=F.col("_w"))
+    run = running(bucketed(pinned(ties), keys, "_v"), keys, "_v", _run=F.col("_w"))
 
     def reaching(target: Column) -> Column:
         return F.min(F.when(F.col("_run") >= target, F.col("_v")))
@@ -80,25 +80,46 @@ def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str,
     return run.groupBy(*keys).agg(*(quantile(p).alias(f"q{round(p * 100)}") for p in probs))
 
 
-def pattern_groups(df: DataFrame, keys: list[str], order: str, value: str, pattern: list, incomplete: bool = False) -> DataFrame:
-    """df with group, the number of the match of `pattern` in the key's values, in order; 0 outside of any.
+def _covered(df: DataFrame, keys: list[str], order: str, value: str, patterns: dict[str, list]) -> DataFrame:
+    """df with _o, _b (order and bucket) and _hits, the names of the patterns of which a match covers the row.
 
-    Rows that some match covers (matches may overlap) are numbered in order and cut into groups of the pattern's length. A last group that
-    overlaps leave short is 0 too, or keeps its number (incomplete). `order` is a number that tells a key's rows apart; adjacent means next in this order, whatever lies
-    between. A null value matches nothing. Rows of a key go to blocks of BLOCK rows, each with the few rows on either side that a match can reach.
+    Rows of a key go to blocks of BLOCK rows, each with the few rows on either side that a match can reach.
     """
-    n = len(pattern)
-    if not n or any(p is None for p in pattern):
+    if not patterns or any(not p or any(x is None for x in p) for p in patterns.values()):
         raise ValueError("a pattern has one value at least, and no null")
-    at = running(bucketed(df.withColumn("_o", F.col(order).cast("double")), keys, "_o"), keys, "_o", _n=F.lit(1)).drop("_b", "_n_all")
+    reach = max(map(len, patterns.values()))
+    at = running(bucketed(pinned(df.withColumn("_o", F.col(order).cast("double"))), keys, "_o"), keys, "_o", _n=F.lit(1)).drop("_n_all")
     block, place = F.floor((F.col("_n") - 1) / BLOCK), (F.col("_n") - 1) % BLOCK
-    near = F.array_compact(F.array(block, F.when((place < n - 1) & (block > 0), block - 1), F.when(place >= BLOCK - (n - 1), block + 1)))
+    near = F.array_compact(F.array(block, F.when((place < reach - 1) & (block > 0), block - 1), F.when(place >= BLOCK - (reach - 1), block + 1)))
     dealt = at.withColumns({"_home": block, "_block": F.explode(near)})
     own = Window.partitionBy(*keys, "_block").orderBy("_n")
-    around = F.array(*(F.lag(value, -i).over(own) for i in range(1 - n, n)))
-    hit = F.exists(F.sequence(F.lit(1), F.lit(n)), lambda i: F.slice("_around", i, F.lit(n)) == F.array(*(F.lit(p) for p in pattern)))
-    found = dealt.withColumn("_around", around).where("_block = _home").withColumn("_hit", hit.cast("long")).drop("_around", "_block", "_home", "_n")
-    counted = running(bucketed(found, keys, "_o"), keys, "_o", _c=F.col("_hit"))
-    group = F.ceil(F.col("_c") / n)
+    around = F.array(*(F.lag(value, -i).over(own) for i in range(1 - reach, reach)))
+
+    def hit(name: str, pattern: list) -> Column:
+        n, wanted = len(pattern), F.array(*(F.lit(p) for p in pattern))
+        return F.when(F.exists(F.sequence(F.lit(reach - n + 1), F.lit(reach)), lambda i: F.slice("_around", i, F.lit(n)) == wanted), F.lit(name))
+
+    found = dealt.withColumn("_around", around).where("_block = _home")
+    return found.withColumn("_hits", F.array_compact(F.array(*(hit(n, p) for n, p in patterns.items())))).drop("_around", "_block", "_home", "_n")
+
+
+def pattern_groups(df: DataFrame, keys: list[str], order: str, value: str, pattern: list, incomplete: bool = False) -> DataFrame:
+    """df with group, the number of the match of `pattern` in the key's values, in order; 0 outside of any.
+
+    Rows that some match covers (matches may overlap) are numbered in order and cut into groups of the pattern's length. A last group that
+    overlaps leave short is 0 too, or keeps its number (incomplete). `order` is a number that tells a key's rows apart; adjacent means next in this order, whatever lies
+    between. A null value matches nothing.
+    """
+    found = _covered(df, keys, order, value, {"p": pattern}).withColumn("_hit", F.size("_hits").cast("long"))
+    counted = running(found, keys, "_o", _c=F.col("_hit"))
+    n, group = len(pattern), F.ceil(F.col("_c") / len(pattern))
     whole = F.lit(True) if incomplete else group * n <= F.col("_c_all")
     return counted.withColumn("group", F.when((F.col("_hit") == 1) & whole, group).otherwise(0).cast("long")).select(*df.columns, "group")
+
+
+def pattern_matches(df: DataFrame, keys: list[str], order: str, value: str, patterns: dict[str, list]) -> DataFrame:
+    """The rows of whole matches of several patterns, found in one pass: df with pattern (its name) and group, numbered as in `pattern_groups`. A row in matches of two patterns comes twice."""
+    found = _covered(df, keys, order, value, patterns).withColumn("pattern", F.explode("_hits")).drop("_hits")
+    counted = running(found, [*keys, "pattern"], "_o", _c=F.lit(1))
+    size = F.create_map(*(F.lit(x) for n, p in patterns.items() for x in (n, len(p))))[F.col("pattern")]
+    return counted.withColumn("group", F.ceil(F.col("_c") / size)).where(F.col("group") * size <= F.col("_c_all")).select(*df.columns, "pattern", "group")

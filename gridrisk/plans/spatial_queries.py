@@ -63,12 +63,8 @@ _found = " UNION ALL ".join(f"SELECT cell, '{n}' AS season, year AS first_year,
 def _(spark, sf):
     """Whole seasons of each cell, labelled with the year of their first month; months that are missing break them."""
     m = X.monthly(spark, sf).where((F.col("cell") + F.col("year") * 12 + F.col("month")) % 7 != 0).withColumn("at", F.col("year") * 12 + F.col("month"))
-    out = None
-    for name, months in PATTERNS.items():
-        own = O.pattern_groups(m, ["cell"], "at", "month", list(months)).where("group > 0").groupBy("cell", "group").agg(F.min("year").alias("first_year"), F.sum("value").alias("value"))
-        own = own.select(F.lit(name).alias("season"), "cell", "first_year", "value")
-        out = own if out is None else out.unionByName(own)
-    return out
+    found = O.pattern_matches(m, ["cell"], "at", "month", {n: list(p) for n, p in PATTERNS.items()})
+    return found.groupBy(F.col("pattern").alias("season"), "cell", "group").agg(F.min("year").alias("first_year"), F.sum("value").alias("value")).drop("group")
 
 
 # --------------------------------------------------------------------------- covered shares
