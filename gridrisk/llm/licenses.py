@@ -5,8 +5,9 @@ shingles long and begin at every STRIDE-th shingle; a template has windows at ev
 ROWS minwise tokens each (least of the shingle hashes under a keyed flip of their bits); equal bands of a document's and a template's
 window retrieve the template, and a match is a template with at least CONTAINED of its shingles in the document.
 
-Windows follow the template's length, so that the retrieval is sure: the least number of shingles that stay in one piece when a fifth
-of a template's m shingles go (an inserted word takes four) holds a whole window at each stride, and then all bands agree:
+Windows follow the template's length, so that the retrieval is sure when words are inserted, deleted or replaced: the least number of shingles that stay in one piece when a fifth
+of a template's m shingles go (an inserted word takes four) holds a whole window at each stride, and then all bands agree. (It isn't sure for a text that repeats words at each
+break, so that a cut costs fewer than four shingles: 80 % can stay there without one whole window; such windows are retrieved with the probability below.)
 
 | m from | WIDTH | STRIDE | shingles in one piece needed | left in one piece, at least |
 | 40 | 8 | 4 | 11 | 0.8 m / (m / 20 + 1), 11 at m = 40 |

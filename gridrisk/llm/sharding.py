@@ -8,7 +8,8 @@ at equal targets, so shards are contiguous in that order and each differs from
 the target by about one document at most.
 
 Defined results: null ids come first; repeated rows are interchangeable and get
-different slots; a null text has size 16 and the checksum of the empty text.
+different slots, ties of id go by checksum and size; a null text has size 16 and the checksum of the empty text. A very long text goes whole into one shard,
+which may then be larger than the target, and neighbours may be empty. Ids may be of any type that Spark sorts. An empty table gives an empty one. Other columns, whatever their names, aren't read.
 """
 
 from __future__ import annotations

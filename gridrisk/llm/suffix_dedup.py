@@ -1,4 +1,4 @@
-"""Repeated substrings across documents: prefix doubling on a sparse suffix array.
+"""Repeated substrings across documents: names of short windows, then one step of prefix doubling on what they leave open.
 
 A byte goes if a string of LENGTH bytes that covers it also starts in a document
 with a smaller id. Prefix doubling sorts positions by the pair (rank of the

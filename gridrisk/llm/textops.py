@@ -66,7 +66,7 @@ def _folder(spark: SparkSession, path: str):
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage, survives lost executors. The table goes with the application, or by `discard`."""
+    """Write df to the shared folder and read it again: cuts lineage, survives lost executors. The table goes with the application, or by `discard`. Needs the classic API, not Spark Connect."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-tables/{name}-{uuid.uuid4().hex}"
     with _cleanup(spark):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from test_llm_operators import odd
 
 import corpus_pipeline
-from gridrisk.llm import decontaminate, hmm, language_id, licenses, quality_classifier, quality_rules, sentencepiece_bpe, suffix_dedup
+from gridrisk.llm import decontaminate, hmm, language_id, licenses, near_dedup, quality_classifier, quality_rules, sentencepiece_bpe, suffix_dedup
 
 
 @pytest.fixture(scope="module")
@@ -371,3 +371,30 @@ def test_long_text_over_several_slices(spark):
     docs = spark.createDataFrame([(1, long), (2, "zz " + long[1_500_000:1_600_000])], "doc_id long, text string")
     got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs).collect()}
     assert got == {1: 0, 2: 100_000} and len(long) > 2 * (1 << 20)
+
+
+def test_texts_over_several_slices(spark):
+    """A text of more than two slices is read whole by every operator that works on slices: results are those of its own words, and the same beside other rows."""
+    rng = np.random.default_rng(13)
+    words = [f"w{x}" for x in rng.integers(0, 5000, 400_000)]
+    long, short = " ".join(words), "just a short text with some words in it, " * 12
+    assert len(long) > 2 << 20
+    one, both = (spark.createDataFrame([(1, long), (2, short)][:n], "doc_id long, text string").repartition(1) for n in (1, 2))
+
+    def of(df):
+        return df.where("doc_id = 1").first()
+
+    rules = [of(quality_rules.quality_rules(d)) for d in (one, both)]
+    assert rules[0] == rules[1] and rules[0]["n_words"] == 400_000 and rules[0]["word_chars"] == sum(map(len, words))
+    model = quality_classifier.train(both, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    scores = [of(quality_classifier.score(d, model)) for d in (one, both)]
+    assert scores[0] == scores[1] and scores[0]["score"] > 0.5
+    lm = of(hmm.score(both.withColumn("h", F.col("doc_id") == 2), "h", iterations=1))
+    assert (lm["n_tokens"], lm["n_known"], lm["train_tokens"]) == (400_001, 400_001, 400_001)
+    near = near_dedup.near_duplicates(both).where("doc_id = 1").first()
+    assert near["n_shingles"] == len({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+    langs = language_id.learn(both.withColumn("lang", F.when(F.col("doc_id") == 1, "xx").otherwise("yy")))
+    assert of(language_id.identify(both, langs))["lang_pred"] == "xx"
+    pieces = sentencepiece_bpe.Pieces.load()
+    back = sentencepiece_bpe.decode(sentencepiece_bpe.encode(both.withColumn("was", F.col("text")), pieces), pieces)
+    assert back.where("not (text <=> was)").isEmpty() and back.count() == 2
