@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridrisk.functions.scalars import classify, col, safe_ratio
 
+#: Codes of compound hazards.
 COMBOS = ((1, "dry"), (10, "heat"), (11, "dry+heat"), (100, "wet"), (101, "dry+wet"), (110, "heat+wet"), (111, "dry+heat+wet"))
 
 
