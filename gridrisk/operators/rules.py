@@ -111,17 +111,18 @@ def copy_to_siblings(df: DataFrame, siblings: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- seasons
-def repair_seasons(df: DataFrame, late_countries: list[str], late: int = 30) -> DataFrame:
+def repair_seasons(df: DataFrame, late_countries: list[str], late: int = 30, totals: list[tuple[str, str]] = ()) -> DataFrame:
     """s1, e1, lgp1, s2, e2, lgp2 of a cell, from dekads to months.
 
-    In late_countries a lone season that starts after dekad `late` is the second one. Starts and ends become months (of the day 10 times the dekad after 1 January of a leap year), lengths
+    In late_countries a lone season that starts after dekad `late` is the second one, and its totals (pairs of columns: of the first, of the second season; rain, say) go with it. Starts and ends become months (of the day 10 times the dekad after 1 January of a leap year), lengths
     whole months. A season that ends in its first month ends in the next one (13 is January). Last, each null
     of the first season takes the second's value, which becomes null.
     """
     lone = (F.col("s1") > late) & F.col("s2").isNull() & F.col("admin0").isin(*late_countries)
-    out = df
+    moves = F.coalesce(lone, F.lit(False))
+    out = df.withColumns({c: x for a, b in totals for c, x in ((a, F.when(~moves, F.col(a))), (b, F.when(moves, F.col(a)).otherwise(F.col(b))))}) if totals else df
     for a, b in (("s1", "s2"), ("e1", "e2"), ("lgp1", "lgp2")):
-        out = out.withColumn(f"_{a}", F.when(~F.coalesce(lone, F.lit(False)), F.col(a))).withColumn(f"_{b}", F.when(F.coalesce(lone, F.lit(False)), F.col(a)).otherwise(F.col(b)))
+        out = out.withColumn(f"_{a}", F.when(~moves, F.col(a))).withColumn(f"_{b}", F.when(moves, F.col(a)).otherwise(F.col(b)))
     month = {c: F.month(F.date_add(F.lit("2024-01-01").cast("date"), F.col(f"_{c}").cast("int") * 10)) for c in ("s1", "e1", "s2", "e2")}
     out = out.select(*(c for c in df.columns if c not in ("s1", "e1", "lgp1", "s2", "e2", "lgp2")), *(m.alias(f"_{c}") for c, m in month.items()), *(F.ceil(F.col(f"_{c}") / 3).cast("int").alias(f"_{c}") for c in ("lgp1", "lgp2")))
     for i in ("1", "2"):

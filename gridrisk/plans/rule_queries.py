@@ -111,14 +111,28 @@ def _(spark, sf):
 SEASONS = "q AS (SELECT l_suppkey AS cell, n_name AS admin0, CASE WHEN l_suppkey % 7 <> 0 THEN 1 + min(dayofyear(l_shipdate)) FILTER (l_linenumber = 1) % 36 END AS s1, CASE WHEN l_suppkey % 7 <> 0 THEN 1 + min(dayofyear(l_shipdate)) FILTER (l_linenumber = 2) % 36 END AS e1, CASE WHEN l_suppkey % 5 = 0 THEN 1 + min(dayofyear(l_shipdate)) FILTER (l_linenumber = 3) % 36 END AS s2, CASE WHEN l_suppkey % 5 = 0 THEN 1 + min(dayofyear(l_shipdate)) FILTER (l_linenumber = 4) % 36 END AS e2 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2)"
 
 
-@query("g22_repair_seasons", "SELECT * FROM (WITH " + SEASONS + ", b AS (SELECT *, coalesce(s1 > 30 AND s2 IS NULL AND admin0 IN ('NATION_3', 'NATION_4', 'NATION_7', 'NATION_11'), false) AS late FROM q), c AS (SELECT cell, admin0, CASE WHEN NOT late THEN s1 END AS s1, CASE WHEN NOT late THEN e1 END AS e1, CASE WHEN NOT late THEN e1 - s1 END AS l1, CASE WHEN late THEN s1 ELSE s2 END AS s2, CASE WHEN late THEN e1 ELSE e2 END AS e2, CASE WHEN late THEN e1 - s1 ELSE e2 - s2 END AS l2 FROM b), d AS (SELECT cell, admin0, " + ", ".join(f"month(DATE '2024-01-01' + CAST(10 * {x} AS INT)) AS {x}" for x in ("s1", "e1", "s2", "e2")) + ", ceil(l1 / 3.0) AS l1, ceil(l2 / 3.0) AS l2 FROM c), e AS (SELECT cell, admin0, s1, s2, l1, l2, " + ", ".join(f"CASE WHEN s{i} = e{i} THEN CASE WHEN e{i} = 12 THEN 1 ELSE e{i} + 1 END ELSE e{i} END AS e{i}" for i in (1, 2)) + " FROM d) SELECT cell, admin0, " + ", ".join(f"CAST(coalesce({x}1, {x}2) AS INT) AS {y}1, CAST(CASE WHEN {x}1 IS NOT NULL THEN {x}2 END AS INT) AS {y}2" for x, y in (("s", "s"), ("e", "e"), ("l", "lgp"))) + " FROM e)")
-def _(spark, sf):
+def _dekads(spark, sf):
+    """Seasons of each cell in dekads, with a total for either."""
     own = X.table(spark, sf, "lineitem").join(X.table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(X.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     day = {c: F.min(F.when(F.col("l_linenumber") == i, F.dayofyear("l_shipdate"))) % 36 + 1 for i, c in enumerate(("s1", "e1", "s2", "e2"), 1)}
-    q = own.groupBy(F.col("l_suppkey").alias("cell"), F.col("n_name").alias("admin0")).agg(*(v.alias(k) for k, v in day.items()))
-    q = q.select("cell", "admin0", *(F.when(F.col("cell") % 7 != 0, F.col(c)).alias(c) for c in ("s1", "e1")), *(F.when(F.col("cell") % 5 == 0, F.col(c)).alias(c) for c in ("s2", "e2")))
-    q = q.withColumns({"lgp1": F.col("e1") - F.col("s1"), "lgp2": F.col("e2") - F.col("s2")})
-    return R.repair_seasons(q, ["NATION_3", "NATION_4", "NATION_7", "NATION_11"])
+    q = own.groupBy(F.col("l_suppkey").alias("cell"), F.col("n_name").alias("admin0")).agg(*(v.alias(k) for k, v in day.items()), *(F.sum(F.when(F.col("l_linenumber") == n, F.col("l_quantity"))).alias(c) for c, n in (("rain1", 1), ("rain2", 3))))
+    q = q.select("cell", "admin0", *(F.when(F.col("cell") % 7 != 0, F.col(c)).alias(c) for c in ("s1", "e1", "rain1")), *(F.when(F.col("cell") % 5 == 0, F.col(c)).alias(c) for c in ("s2", "e2", "rain2")))
+    return q.withColumns({"lgp1": F.col("e1") - F.col("s1"), "lgp2": F.col("e2") - F.col("s2")})
+
+
+LATE = ["NATION_3", "NATION_4", "NATION_7", "NATION_11"]
+
+
+@query("g22_repair_seasons", "SELECT * FROM (WITH " + SEASONS + ", b AS (SELECT *, coalesce(s1 > 30 AND s2 IS NULL AND admin0 IN ('NATION_3', 'NATION_4', 'NATION_7', 'NATION_11'), false) AS late FROM q), c AS (SELECT cell, admin0, CASE WHEN NOT late THEN s1 END AS s1, CASE WHEN NOT late THEN e1 END AS e1, CASE WHEN NOT late THEN e1 - s1 END AS l1, CASE WHEN late THEN s1 ELSE s2 END AS s2, CASE WHEN late THEN e1 ELSE e2 END AS e2, CASE WHEN late THEN e1 - s1 ELSE e2 - s2 END AS l2 FROM b), d AS (SELECT cell, admin0, " + ", ".join(f"month(DATE '2024-01-01' + CAST(10 * {x} AS INT)) AS {x}" for x in ("s1", "e1", "s2", "e2")) + ", ceil(l1 / 3.0) AS l1, ceil(l2 / 3.0) AS l2 FROM c), e AS (SELECT cell, admin0, s1, s2, l1, l2, " + ", ".join(f"CASE WHEN s{i} = e{i} THEN CASE WHEN e{i} = 12 THEN 1 ELSE e{i} + 1 END ELSE e{i} END AS e{i}" for i in (1, 2)) + " FROM d) SELECT cell, admin0, " + ", ".join(f"CAST(coalesce({x}1, {x}2) AS INT) AS {y}1, CAST(CASE WHEN {x}1 IS NOT NULL THEN {x}2 END AS INT) AS {y}2" for x, y in (("s", "s"), ("e", "e"), ("l", "lgp"))) + " FROM e)")
+def _(spark, sf):
+    return R.repair_seasons(_dekads(spark, sf).drop("rain1", "rain2"), LATE)
+
+
+@query("g22_moved_totals", "SELECT * FROM (WITH " + SEASONS.replace(" FROM lineitem", ", CASE WHEN l_suppkey % 7 <> 0 THEN sum(l_quantity) FILTER (l_linenumber = 1) END AS r1, CASE WHEN l_suppkey % 5 = 0 THEN sum(l_quantity) FILTER (l_linenumber = 3) END AS r2 FROM lineitem") + ", b AS (SELECT *, coalesce(s1 > 20 AND s2 IS NULL AND admin0 <> 'NATION_1', false) AS late FROM q) SELECT cell, CASE WHEN NOT late THEN r1 END AS rain1, CASE WHEN late THEN r1 ELSE r2 END AS rain2 FROM b)")
+def _(spark, sf):
+    q = _dekads(spark, sf)
+    countries = [r[0] for r in X.table(spark, sf, "nation").where("n_name <> 'NATION_1'").select("n_name").collect()]  # 24 names
+    return R.repair_seasons(q, countries, 20, [("rain1", "rain2")]).select("cell", "rain1", "rain2")
 
 
 CLAIMS = "cl(disputed, claimant, iso3) AS (VALUES (1, 2, 'N2'), (1, 3, 'N3'), (5, 2, 'N2'), (5, 10, 'N10'), (9, 10, 'N10'), (9, 3, 'N3')), s0 AS (SELECT s_nationkey AS code, CASE WHEN s_suppkey % 3 = 0 THEN 'part' END AS admin1, CAST(s_suppkey % 4 AS INT) AS scenario, s_acctbal AS v FROM supplier), z AS (SELECT code, coalesce(iso3, 'N' || code) AS iso3, admin1, scenario, sum(CASE WHEN v > 0 THEN v END) AS value FROM s0 LEFT JOIN cl ON disputed = code GROUP BY ALL), w AS (SELECT s_nationkey AS code, count(*) AS n_cells FROM supplier GROUP BY ALL), codes AS (SELECT disputed AS code FROM cl UNION SELECT claimant FROM cl)"

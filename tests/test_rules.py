@@ -77,6 +77,14 @@ def test_repair_seasons(spark):
     assert got == {1: (11, 12, 3, None, None, None), 2: (11, 12, 3, None, None, None), 3: (3, 4, 2, None, None, None), 4: (12, 1, 1, 2, 3, 2)}
 
 
+def test_totals_move_with_a_late_season(spark):
+    data = [(1, "Angola", 31, 36, 9, None, None, None, 50.0, None), (2, "Other", 31, 36, 9, None, None, None, 60.0, None), (3, "Angola", 30, 36, 9, None, None, None, 70.0, 5.0), (4, "Angola", 31, 36, 9, 4, 9, 6, 80.0, 8.0)]
+    df = spark.createDataFrame(data, "cell int, admin0 string, s1 int, e1 int, lgp1 int, s2 int, e2 int, lgp2 int, rain1 double, rain2 double")
+    got = R.repair_seasons(df, ["Angola"], totals=[("rain1", "rain2")])
+    assert rows(got, "cell", "rain1", "rain2") == [(1, None, 50.0), (2, 60.0, None), (3, 70.0, 5.0), (4, 80.0, 8.0)]
+    assert rows(got, "cell", "s1", "s2") == rows(R.repair_seasons(df, ["Angola"]), "cell", "s1", "s2")
+
+
 def test_merge_claims(spark):
     """Area 100 is claimed by 160 and 161, 110 by 120 and 161: each has a row for either claimant."""
     data = [(100, "SSD", None, None, "x", 10.0), (100, "SDN", None, None, "x", 10.0), (160, "SSD", None, None, "x", 1.0), (161, "SDN", None, None, "x", 2.0), (110, "SDN", None, None, "x", 30.0), (110, "EGY", None, None, "x", 30.0), (120, "EGY", None, None, "x", None)]
