@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridrisk.llm.textops import discard, stored
-from gridrisk.llm.vectors import matrix, products, scaled, usable, width_of
+from gridrisk.llm.vectors import matrix, numbers, products, scaled, usable, width_of
 
 SCALE, POSITIVES, NEGATIVES, LOW, HIGH = 256, 5, 5, 80, 100
 #: Bytes of anchor vectors in one pass; rows and anchors that are scored at once; candidates that a task holds before it drops what can't count.
@@ -190,7 +190,7 @@ def hard_negatives(
         raise ValueError("low and high must lie between 0 and 100")
     spark = df.sparkSession
     kept = df.where(F.col(vec_id).isNotNull() & F.col(label).isNotNull() & usable(vector))
-    rows = [F.col(vec_id).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("vector")]
+    rows = [F.col(vec_id).cast("long").alias("id"), F.col(label).cast("string").alias("label"), numbers(df, vector).alias("vector")]
     width = width_of(kept, vector)
     chosen = stored(kept.where(is_anchor).select(*rows).withColumn("nth", F.monotonically_increasing_id()), "anchors")
     total, most = chosen.count(), max(1, ANCHOR_BYTES // (8 * max(1, width)))

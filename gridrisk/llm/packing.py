@@ -256,7 +256,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
 
 def _numbered(packed: DataFrame, turn: int) -> DataFrame:
     """row, stays, sequence_id (turn, unit and sequence in one number) and offset."""
-    return packed.select("row", "stays", (F.shiftleft(F.lit(turn).cast("long"), 56) + F.col("unit") * UNIT + F.col("bin")).alias("sequence_id"), "offset")
+    return packed.select("row", "stays", (F.shiftleft(F.lit(turn).cast("long"), 56) + F.shiftleft("unit", 28) + F.col("bin")).alias("sequence_id"), "offset")
 
 
 def sequences(packed: DataFrame, doc_id: str = "doc_id") -> DataFrame:

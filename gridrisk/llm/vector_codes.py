@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridrisk.llm.textops import discard, stored
-from gridrisk.llm.vectors import matrix, scaled, usable, width_of
+from gridrisk.llm.vectors import matrix, numbers, scaled, usable, width_of
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
 #: Rows that are measured at once. Whole numbers below SMALL have distances of 63 bits; larger ones go as Python's integers.
 ROWS, SMALL = 4096, float(1 << 28)
-STATE = "id long, vector array<double>, label string, entry array<tinyint>, upper array<float>, upper_round array<tinyint>, lower array<float>, lower_round array<tinyint>, error decimal(38,0), totals array<decimal(38,0)>"
+STATE = "id long, vector {}, label string, entry array<tinyint>, upper array<float>, upper_round array<tinyint>, lower array<float>, lower_round array<tinyint>, error decimal(38,0), totals array<decimal(38,0)>"
 #: Relative slack for square roots and sums of doubles.
 SLACK = 1e-9
 
@@ -109,9 +109,9 @@ def assign(batches: Iterator[pa.RecordBatch], history: History, width: int, scal
     parts, entries, w = history.book.shape
     sums, counts, measured = np.zeros((parts, entries, w), object), np.zeros((parts, entries), object), [0, 0]
     names = [c.split(" ")[0] for c in STATE.split(", ")]
-    rows = 0
+    rows, vectors = 0, None
     for b in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
-        n = b.num_rows
+        n, vectors = b.num_rows, b.schema.field(1).type
         rows += n
         x = integers(scaled(matrix(b.column(1), width), scale))
         if fresh:
@@ -141,7 +141,7 @@ def assign(batches: Iterator[pa.RecordBatch], history: History, width: int, scal
         cols = [b.column(0), b.column(1), b.column(2), *lists, pa.array(error.tolist(), kinds), pa.nulls(n, pa.list_(kinds))]
         yield pa.RecordBatch.from_arrays(cols, names=names)
     if rows:
-        kinds = [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.list_(pa.int8()), pa.list_(pa.float32()), pa.list_(pa.int8()), pa.list_(pa.float32()), pa.list_(pa.int8()), pa.decimal128(38, 0), pa.list_(pa.decimal128(38, 0))]
+        kinds = [pa.int64(), vectors, pa.string(), pa.list_(pa.int8()), pa.list_(pa.float32()), pa.list_(pa.int8()), pa.list_(pa.float32()), pa.list_(pa.int8()), pa.decimal128(38, 0), pa.list_(pa.decimal128(38, 0))]
         total = [*sums.ravel().tolist(), *counts.ravel().tolist(), *measured]
         yield pa.RecordBatch.from_arrays([*(pa.nulls(1, k) for k in kinds[:-1]), pa.array([total], kinds[-1])], names=names)
 
@@ -156,8 +156,9 @@ def fitted(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     """The last state (a stored table of STATE), the codebooks of all rounds, and by round how many parts were measured against their own entry, and against all."""
     if not 0 < entries <= 127 or not 0 <= rounds <= 126 or parts < 1:
         raise ValueError("at most 127 entries and 126 rounds, one part at least")
-    kept = df.where(usable(vector)).select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), F.col(label).cast("string").alias("label"))
+    kept = df.where(usable(vector)).select(F.col(vec_id).cast("long").alias("id"), numbers(df, vector).alias("vector"), F.col(label).cast("string").alias("label"))
     w = max(1, -(-width_of(kept, "vector") // parts))
+    schema = STATE.format(kept.schema["vector"].dataType.simpleString())
     first = kept.orderBy(F.col("id").asc_nulls_last(), "vector").limit(entries).select("vector").collect()
     start = scaled(matrix(pa.array([r[0] for r in first], pa.list_(pa.float64())), parts * w), scale)
     books = [np.array([[[int(v) for v in row[j * w : (j + 1) * w]] for row in start] for j in range(parts)], object).reshape(parts, len(first), w)]
@@ -166,7 +167,7 @@ def fitted(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     source = kept.selectExpr("id", "vector", "label", *columns)
     for t in range(rounds + 1):
         history = History(books)
-        fresh = stored(source.mapInArrow(lambda b, h=history, new=t == 0: assign(b, h, parts * w, scale, new), STATE), "vector-codes")
+        fresh = stored(source.mapInArrow(lambda b, h=history, new=t == 0: assign(b, h, parts * w, scale, new), schema), "vector-codes")
         if state is not None:
             discard(state)
         state = fresh

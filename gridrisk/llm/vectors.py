@@ -16,6 +16,12 @@ def usable(vector: str) -> Column:
     return F.coalesce(F.forall(F.col(vector).cast("array<double>"), lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
 
 
+def numbers(df: DataFrame, vector: str) -> Column:
+    """The vector as it is if its components are floats or doubles, else as doubles."""
+    kind = df.schema[vector].dataType.simpleString()
+    return F.col(vector) if kind in ("array<float>", "array<double>") else F.col(vector).cast("array<double>")
+
+
 def width_of(df: DataFrame, vector: str) -> int:
     """Components of the longest vector."""
     return df.agg(F.max(F.size(vector))).first()[0] or 0
