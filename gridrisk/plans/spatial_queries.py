@@ -69,7 +69,7 @@ def _(spark, sf):
 
 # --------------------------------------------------------------------------- covered shares
 #: Zones as rectangles (x0, y0, x1, y1): a part with a hole, one that fills the hole, and one of two parts.
-RECTANGLES = {1: ([(0.25, 0.0, 5.3, 7.75)], [(1.5, 1.25, 3.75, 4.0)]), 2: ([(1.5, 1.25, 3.75, 4.0)], []), 3: ([(5.3, 0.0, 9.9, 20.25), (0.25, 7.75, 5.3, 1000.0)], [])}
+RECTANGLES = {1: ([(0.25, 0.0, 5.3, 7.75)], [(1.6, 1.25, 3.75, 4.0)]), 2: ([(1.6, 1.25, 3.75, 4.0)], []), 3: ([(5.3, 0.0, 9.9, 20.25), (0.25, 7.75, 5.3, 1000.0)], [])}
 
 
 def _rings(spark):
