@@ -1,4 +1,4 @@
-"""Repeated substrings across documents: names of short windows, then one step of prefix doubling on what they leave open.
+"""Repeated substrings across documents: names of short windows, then two steps of growing length on what they leave open.
 
 A byte goes if a string of LENGTH bytes that covers it also starts in a document
 with a smaller id. Prefix doubling sorts positions by the pair (rank of the
@@ -9,14 +9,17 @@ whose rank isn't unique yet, until unique or past the threshold. Here:
   enter: the least name in every LENGTH-byte window (equal windows have equal minimizers), about 1 position in
   16. A run of windows with the same minimizer is one row. Runs are sorted by (name, fingerprint of the whole run). A name within one
   document only is unique and drops out. If the whole run occurs in a smaller id, all of its windows are settled at once.
-* The runs left, at the ends of repeats, are open: each carries its own bytes, and every window in them is ranked by the pair (name of its first
-  half, name of the half that starts LENGTH / 2 further on), which is the doubling step that ends at LENGTH. The smallest id of each pair
-  is found by a grouping that combines before its shuffle, and joined back: only equal windows meet.
+* The runs left are open: at the ends of repeats, or a short string that other documents have among other words. Each carries its own bytes.
+* Round 2 goes half of the way on: a window holds its first minimizer and either the (LENGTH - GRAM) / 2 bytes before it or as many after it.
+  Neighbouring windows with the same such stretch are one row; stretches of one document only drop out with their windows.
+* Round 3: every window left is ranked by the pair (name of its first half, name of the half that starts LENGTH / 2 further on), which is
+  the doubling step that ends at LENGTH. The smallest id of each pair is found by a grouping that combines before its shuffle, and joined
+  back (round 2 does the same): only equal windows meet.
   (All rounds h = 20, 40, 50 with rank pairs joined by position need the tables of 40 positions a run, beyond the disk budget: figures in the README.)
 * A name in very many documents (a common line) would put all its runs into one task of round 1. Such names are found on one document in
   SAMPLE, at most HOT_NAMES of them, and go another way: least and largest id by grouping, joined back. The result is the same by either way.
 
-Fingerprints are always compared in pairs of 64 bits.
+What goes is always decided by pairs of 64-bit fingerprints; single ones only tell what may drop out.
 
 Defined results: null and empty texts have no bytes and lose none; very long texts are read whole; a row without id (or with one that isn't a number)
 neither loses bytes nor takes them from others; rows with equal ids don't take
@@ -41,6 +44,8 @@ from gridrisk.llm.textops import U64, Prints, column_bytes, discard, free_name,
 LENGTH, GRAM = 50, 20
 #: A name is hot with HOT_LEAST runs in the documents looked at; the HOT_NAMES commonest of them count.
 SAMPLE, HOT_NAMES, HOT_LEAST = 64, 1 << 15, 64
+#: Windows of a run at most; a longer one is several (its size takes 16 bits of a row). That is the most for LENGTH too.
+MOST = 1 << 15
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -72,7 +77,12 @@ def runs(raw: np.ndarray, offs: np.ndarray, length: int, gram: int) -> dict[str,
     first[starts_doc] = valid[starts_doc]
     last = valid.copy()
     last[:-1] &= ~valid[1:] | first[1:]
-    lo, hi = np.flatnonzero(first), np.flatnonzero(last) + length
+    lo, hi = np.flatnonzero(first), np.flatnonzero(last)
+    long = hi - lo >= MOST
+    if long.any():
+        cuts = np.concatenate([np.arange(a, b + 1, MOST)[1:] for a, b in zip(lo[long], hi[long], strict=True)])
+        lo, hi = np.sort(np.concatenate([lo, cuts])), np.sort(np.concatenate([hi, cuts - 1]))
+    hi += length
     doc = np.searchsorted(offs, lo, side="right") - 1
     return {"doc": doc, "name": least[lo], "whole": prints.of(lo, hi), "lo": lo - offs[doc], "size": hi - lo}
 
@@ -87,10 +97,12 @@ def _texts(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
 
 #: tag and start of a range in one number, which takes less room in a shuffle
 _TAG, _LO = "cast(at >> 40 AS int)", "cast(at & ((1L << 40) - 1) AS int)"
+#: start, size and tag of a run in one number; what the rows of a document share (id, tag) comes side by side, so that it compresses
+_RUN = ("cast(run & 65535 AS int) AS _tag", "cast(run >> 32 AS int) AS lo", "cast((run >> 32) + (run >> 16 & 65535) AS int) AS hi")
 
 
 def _runs(docs: DataFrame, length: int, gram: int, hot: np.ndarray | None = None, wanted: bool = False) -> DataFrame:
-    """name, whole, _id, at, size of all runs of _texts, but those of hot names (wanted: of hot names only)."""
+    """_id, run (see _RUN), name, whole of all runs of _texts, but those of hot names (wanted: of hot names only)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text"):
@@ -100,10 +112,10 @@ def _runs(docs: DataFrame, length: int, gram: int, hot: np.ndarray | None = None
                 got = {k: v[own] for k, v in got.items()}
             if len(got["doc"]):
                 ids, tags = np.asarray(b.column(0)), np.asarray(b.column(1)).astype(np.int64)
-                cols = got["name"].view(np.int64), got["whole"].view(np.int64), ids[got["doc"]], tags[got["doc"]] << 40 | got["lo"], got["size"].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["name", "whole", "_id", "at", "size"])
+                cols = ids[got["doc"]], got["lo"] << 32 | got["size"] << 16 | tags[got["doc"]], got["name"].view(np.int64), got["whole"].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["_id", "run", "name", "whole"])
 
-    return docs.mapInArrow(find, "name bigint, whole bigint, _id bigint, at bigint, size int")
+    return docs.mapInArrow(find, "_id bigint, run bigint, name bigint, whole bigint")
 
 
 def _hot_names(texts: DataFrame, length: int, gram: int) -> np.ndarray:
@@ -114,20 +126,23 @@ def _hot_names(texts: DataFrame, length: int, gram: int) -> np.ndarray:
 
 
 def _round1(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """Runs that occur in several documents: settled, or open to the doubling."""
+    """Stored: runs whose name occurs in several documents, settled or open to the next rounds."""
     hot = _hot_names(texts, length, gram)
     cold = _runs(texts, length, gram, hot) if len(hot) else _runs(texts, length, gram)
     name, whole = Window.partitionBy("name"), Window.partitionBy("name", "whole")
     shared = cold.withColumns({"first": F.min("_id").over(name), "last": F.max("_id").over(name), "one": F.min("whole").over(name) == F.max("whole").over(name)}).where("first < last")
     found = shared.withColumn("settled", F.min("_id").over(whole) < F.col("_id")).where("settled or not one")
-    kept = ["_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi", "settled"]
-    out = found.selectExpr(*kept)
+    kept = ["_id", *_RUN, "settled"]
+    out, used = found.selectExpr(*kept), []
     if len(hot):
         common = stored(_runs(texts, length, gram, hot, True), "suffix-hot")
         by_name = common.groupBy("name").agg(F.min("_id").alias("first"), F.max("_id").alias("last"), (F.min("whole") == F.max("whole")).alias("one")).where("first < last")
         by_whole = stored(common.groupBy("name", "whole").agg(F.min("_id").alias("owner")), "suffix-hot-owners")
         found = common.join(F.broadcast(by_name), "name").join(by_whole.hint("merge"), ["name", "whole"])  # HOT_NAMES rows at most
         out = out.unionByName(found.withColumn("settled", F.col("owner") < F.col("_id")).where("settled or not one").selectExpr(*kept))
+        used = [common, by_whole]
+    out = stored(out, "suffix-round1")
+    discard(*used)
     return out
 
 
@@ -148,25 +163,69 @@ def _parts(texts: DataFrame, open_: DataFrame) -> DataFrame:
     return texts.join(lists, ["_id", "_tag"]).select("_id", "_tag", "_text", "_at").mapInArrow(carry, "_id bigint, at bigint, part binary")
 
 
+def _places(offs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in the row) of every window of parts that lie one after the other."""
+    n = np.diff(offs) - length + 1
+    return np.repeat(np.arange(len(n)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """(_id, at, stretch, part): open runs cut where the stretch changes, which is the first minimizer with half of the rest of a window, on the left if the window has that much there."""
+    more = (length - gram) // 2
+    for b in slices(batches, "part", 1 << 18):
+        if not b.num_rows:
+            continue
+        raw, offs = column_bytes(b.column(2))
+        row, nth = _places(offs, length)
+        start, prints = offs[row] + nth, Prints(raw)
+        names = prints.windows(gram)
+        least = _sliding(names, length - gram + 1, np.minimum)[offs[:-1]]  # the same for all windows of a run
+        is_least = names == np.repeat(least, np.diff(offs))[: len(names)]
+        minimizer = np.minimum.accumulate(np.where(is_least, np.arange(len(names)), len(names))[::-1])[::-1][start]
+        begin = np.where(minimizer - start >= more, minimizer - more, minimizer)
+        first = np.ones(len(row), bool)
+        first[1:] = (row[1:] != row[:-1]) | (begin[1:] != begin[:-1])
+        lo = np.flatnonzero(first)
+        hi = np.append(lo[1:], len(row)) - 1
+        blob, own = raw.tobytes(), row[lo]
+        part = [blob[x:y] for x, y in zip(start[lo].tolist(), (start[hi] + length).tolist(), strict=True)]
+        ids, at = (np.asarray(b.column(i)) for i in range(2))
+        cols = ids[own], at[own] + nth[lo], prints.windows(gram + more)[begin[lo]].view(np.int64), pa.array(part, pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["_id", "at", "stretch", "part"])
+
+
+def _round2(parts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(_id, at, part), stored: what of the open runs has a stretch that occurs in several documents."""
+    stretches = parts.mapInArrow(lambda x: _stretches(x, length, gram), "_id bigint, at bigint, stretch bigint, part binary")
+    several = stored(stretches.groupBy("stretch").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").select("stretch"), "suffix-stretches")
+    out = stored(stretches.join(several.hint("merge"), "stretch").select("_id", "at", "part"), "suffix-round2")
+    discard(several, parts)
+    return out
+
+
 def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(front, back, _id, at) of every window of open runs: the names of its halves."""
+    """(_id, at, front, back) of every window of open runs: the names of its halves."""
     half = length // 2
     for b in slices(batches, "part", 1 << 18):
         raw, offs = column_bytes(b.column(2))
-        n = np.diff(offs) - length + 1
-        row = np.repeat(np.arange(len(n)), n)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        row, nth = _places(offs, length)
         prints, start = Prints(raw), offs[row] + nth
         front, back = prints.windows(half)[start], prints.windows(length - half)[start + half]
         ids, at = (np.asarray(b.column(i)) for i in range(2))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (front.view(np.int64), back.view(np.int64), ids[row], at[row] + nth)], names=["front", "back", "_id", "at"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[row], at[row] + nth, front.view(np.int64), back.view(np.int64))], names=["_id", "at", "front", "back"])
 
 
-def _doubled(parts: DataFrame, length: int) -> DataFrame:
-    """(_id, at): windows of open runs that start in a smaller id too."""
-    windows = parts.mapInArrow(lambda x: _windows(x, length), "front bigint, back bigint, _id bigint, at bigint")
+def _round3(parts: DataFrame, length: int) -> DataFrame:
+    """(_id, _tag, lo, hi), stored: ranges of windows of open runs that start in a smaller id too."""
+    windows = parts.mapInArrow(lambda x: _windows(x, length), "_id bigint, at bigint, front bigint, back bigint")
     owners = windows.groupBy("front", "back").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").select("front", "back", "first")
-    return windows.join(stored(owners, "suffix-owners").hint("merge"), ["front", "back"]).where("_id > first").select("_id", "at")
+    owners = stored(owners, "suffix-owners")
+    gone = windows.join(owners.hint("merge"), ["front", "back"]).where("_id > first").select("_id", "at")
+    cells = gone.groupBy("_id", F.expr("at >> 5").alias("cell")).agg(F.expr("bit_or(1L << cast(at & 31 AS int))").alias("mask"))
+    ranges = cells.mapInArrow(lambda x: _cell_ranges(x, length), "_id bigint, at bigint, size int").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
+    out = stored(ranges, "suffix-ranges")
+    discard(owners, parts)
+    return out
 
 
 def _cell_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -183,14 +242,13 @@ def _cell_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
 
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """_id, _tag (of the text), lo, hi: byte ranges that repeat a smaller id's bytes; they may overlap."""
-    if not 0 < gram <= length:
-        raise ValueError("gram must not be longer than length")
+    if not 0 < gram <= length <= MOST:
+        raise ValueError(f"gram must not be longer than length, nor length than {MOST}")
     texts = _texts(docs, doc_id, text, length)
-    round1 = stored(_round1(texts, length, gram), "suffix-round1")
-    gone = _doubled(stored(_parts(texts, round1.where("not settled")), "suffix-parts"), length)
-    cells = gone.groupBy("_id", F.expr("at >> 5").alias("cell")).agg(F.expr("bit_or(1L << cast(at & 31 AS int))").alias("mask"))
-    ranges = cells.mapInArrow(lambda x: _cell_ranges(x, length), "_id bigint, at bigint, size int").selectExpr("_id", f"{_TAG} AS _tag", f"{_LO} AS lo", f"{_LO} + size AS hi")
-    return round1.where("settled").select("_id", "_tag", "lo", "hi").unionByName(stored(ranges, "suffix-ranges"))
+    round1 = _round1(texts, length, gram)
+    parts = stored(_parts(texts, round1.where("not settled")), "suffix-parts")
+    ranges = _round3(_round2(parts, length, gram), length)
+    return round1.where("settled").select("_id", "_tag", "lo", "hi").unionByName(ranges)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, returns: tuple[str, ...] = RESULTS) -> DataFrame:
