@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridrisk.functions.scalars import normal_cdf, safe_ratio
+from gridrisk.functions.scalars import normal_tail, safe_ratio
 
 
 def anomalies(df: DataFrame, keys: list[str], first: int, last: int) -> DataFrame:
@@ -46,7 +46,7 @@ def mann_kendall(df: DataFrame, keys: list[str]) -> DataFrame:
     t = df.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("t")).groupBy(*keys).agg(F.sum("t").alias("n"), F.sum(F.col("t") * (F.col("t") - 1) * (2 * F.col("t") + 5)).alias("ties"))
     out = t.join(s, keys).withColumn("var", (F.col("n") * (F.col("n") - 1) * (2 * F.col("n") + 5) - F.col("ties")) / 18.0)
     out = out.withColumn("z", F.when(F.col("s") == 0, 0.0).otherwise(safe_ratio(F.col("s") - F.signum(F.col("s").cast("double")), F.sqrt("var"))))
-    return out.withColumn("p", 2 * (1 - normal_cdf(F.abs("z")))).drop("ties")
+    return out.withColumn("p", 2 * normal_tail(F.abs("z"))).drop("ties")
 
 
 def sen_interval(df: DataFrame, keys: list[str], z: float = 1.959964) -> DataFrame:

@@ -227,7 +227,17 @@ def _(spark, sf):
     return E.mirr(_flows(spark, sf), ["admin1"], 0.06, 0.04)
 
 
-@query("g35_irr")
+#: Net present value of a list of flows at a rate.
+WORTH = "list_sum(list_transform(flows, lambda x: x.flow / pow(1 + {}, x.t)))"
+IRR = (
+    f"WITH RECURSIVE f AS (SELECT admin1, t, list({{'t': t, 'flow': flow}}) OVER (PARTITION BY admin1 ORDER BY t ROWS UNBOUNDED PRECEDING) AS flows FROM ({FLOW})), "
+    f"b AS (SELECT 0 AS step, admin1, t, flows, CAST(-0.9 AS DOUBLE) AS lo, CAST(10 AS DOUBLE) AS hi, sign({WORTH.format('CAST(-0.9 AS DOUBLE)')}) AS low_sign FROM f WHERE sign({WORTH.format('CAST(-0.9 AS DOUBLE)')}) * sign({WORTH.format('CAST(10 AS DOUBLE)')}) < 0 "
+    f"UNION ALL SELECT step + 1, admin1, t, flows, CASE WHEN up THEN mid ELSE lo END, CASE WHEN up THEN hi ELSE mid END, low_sign FROM (SELECT *, (lo + hi) / 2 AS mid, sign({WORTH.format('(lo + hi) / 2')}) = low_sign AS up FROM b WHERE step < 60)) "
+    "SELECT admin1, t, round((lo + hi) / 2, 6) AS irr FROM f LEFT JOIN (SELECT admin1, t, lo, hi FROM b WHERE step = 60) USING (admin1, t)"
+)
+
+
+@query("g35_irr", f"SELECT * FROM ({IRR})", "natyear")
 def _(spark, sf):
     return E.irr(_flows(spark, sf), ["admin1"]).select("admin1", "t", F.round("irr", 6).alias("irr"))
 

@@ -149,6 +149,15 @@ def test_returns(spark):
     assert spark.range(1).select(economics.avoided_loss(F.lit(0.3), F.lit(0.2)), economics.avoided_loss(F.lit(0.3), F.lit(-0.1))).first()[:] == (pytest.approx(0.1 / math.sqrt(2 * math.pi)), None)
 
 
+def test_normal_tail(spark):
+    at = [0.0, 0.3, 1.96, 2.999, 3.0, 5.0, 9.0, 30.0]
+    df = spark.createDataFrame([(z,) for z in at], "z double").select("z", C.normal_tail("z").alias("tail"), C.normal_cdf(-F.col("z")).alias("below"), C.normal_cdf("z").alias("cdf"))
+    for r in df.collect():
+        want = math.erfc(r["z"] / math.sqrt(2)) / 2
+        assert r["tail"] == r["below"] == pytest.approx(want, rel=1e-12) and r["cdf"] == pytest.approx(1 - want, rel=1e-14)
+    assert spark.sql("SELECT CAST(NULL AS DOUBLE) AS z").select(C.normal_tail("z")).first()[0] is None
+
+
 def test_guards(spark):
     df = spark.createDataFrame([(1, -1.0), (1, 2.0)], "k int, v double")
     for call in (lambda: quality.unique_keys(df, ["k"]), lambda: quality.not_negative(df, "v"), lambda: quality.no_collision(df, ["v"]), lambda: quality.same_keys(df, df.limit(1), ["k"]), lambda: quality.equal_models(df, ["k"], 3, "v"), lambda: quality.all_present(df, df.where("k = 9"), ["k"]), lambda: tables.require_complete(df, "k")):
