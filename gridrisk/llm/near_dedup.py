@@ -187,10 +187,14 @@ def _clusters(reps: DataFrame, trees: int, least: int, percent: int) -> DataFram
         links = stored(leaves.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "cluster bigint, side int, rep bigint, weight bigint").distinct(), "clusters")
         out = links if out is None else out.unionByName(links)
         large = nodes.where(F.col("size") > LEAF)
-        if last or large.isEmpty():
+        done = last or large.isEmpty()
+        used = [level, nodes]
+        if not done:
+            again = level.join(large.select("path"), "path").join(reps.select("rep", "sig"), "rep").select("rep", "path", "sig")
+            level = stored(again.mapInArrow(branch, "rep bigint, path bigint"), "paths")
+        discard(*used)
+        if done:
             return out
-        again = level.join(large.select("path"), "path").join(reps.select("rep", "sig"), "rep").select("rep", "path", "sig")
-        level = stored(again.mapInArrow(branch, "rep bigint, path bigint"), "paths")
     return out
 
 
@@ -238,13 +242,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     drawn = stored(sketches(docs, doc_id, text, k), "sketches")
     same = ["n_shingles", "f1", "f2"]
-    alive = drawn.where("n_shingles > 0 and doc_id is not null")
+    has_class = "n_shingles > 0 and doc_id is not null"
+    alive = drawn.where(has_class)
     classes = stored(alive.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "classes")
     p = percent / 100
     least = int(PLACES * p - 5 * (PLACES * p * (1 - p)) ** 0.5)  # five standard deviations below the threshold
     found = components(_confirmed(docs, _clusters(classes, trees, least, percent), doc_id, text, k, percent, least))
     of_class = classes.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("reach"))
-    reach = drawn.join(of_class, same, "left").withColumn("reach", F.when(F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id")))
+    # rows without a class (empty texts, which may be many, and null ids) stay out of the join
+    alone = drawn.where(f"not ({has_class})").select("doc_id", "n_shingles", F.col("doc_id").alias("reach"))
+    reach = alive.join(of_class, same).select("doc_id", "n_shingles", "reach").unionByName(alone)
     return reach.select("doc_id", "n_shingles", F.col("reach").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("reach"), F.lit(True)).alias("kept"))
 
 
