@@ -7,6 +7,7 @@ pair table, no join.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,14 +58,18 @@ def _near(i: Column, o0: float, od: float, on: int, n0: float, nd: float, nn: in
     return _span(F.greatest(first(i), F.lit(0)), F.least(first(i + 1) - 1, F.lit(nn - 1)), lambda j: F.lit(1.0))
 
 
-def _linear(i: Column, o0: float, od: float, on: int, n0: float, nd: float, nn: int) -> Column:
-    """[(new index, weight)]: new cells whose centre lies less than one old cell from the centre of old cell i, inside of the old grid."""
+def _linear(i: Column, o0: float, od: float, on: int, n0: float, nd: float, nn: int, beyond: bool = False) -> Column:
+    """[(new index, weight)]: new cells whose centre lies less than one old cell from the centre of old cell i, inside of the old grid unless beyond."""
 
     def place(j: Column) -> Column:  # the new centre, in old cells from the first old centre on
         return (n0 + (j + 0.5) * nd - o0) / od - 0.5
 
+    def weight(j: Column) -> Column:
+        w = 1 - F.abs(place(j) - i)
+        return w if beyond else F.when((place(j) >= -0.5) & (place(j) <= on - 0.5), w).otherwise(0.0)
+
     lo, hi = (F.floor((o0 + (i + k) * od - n0) / nd - 0.5) for k in (-0.5, 1.5))
-    return F.filter(_span(F.greatest(lo, F.lit(0)), F.least(hi + 1, F.lit(nn - 1)), lambda j: F.when((place(j) >= -0.5) & (place(j) <= on - 0.5), 1 - F.abs(place(j) - i)).otherwise(0.0)), lambda s: s["w"] > 1e-12)
+    return F.filter(_span(F.greatest(lo, F.lit(0)), F.least(hi + 1, F.lit(nn - 1)), weight), lambda s: s["w"] > 1e-12)
 
 
 def _overlap(i: Column, o0: float, od: float, on: int, n0: float, nd: float, nn: int, measure=lambda a: a) -> Column:
@@ -83,11 +88,14 @@ def _span(lo: Column, hi: Column, weight) -> Column:
     return F.transform(whole, lambda j: F.struct(j.alias("j"), weight(j).cast("double").alias("w")))
 
 
-def pairs(df: DataFrame, old: Grid, new: Grid, how: str = "bilinear", cell: str = "cell", sphere: bool = False) -> DataFrame:
-    """df once for each new cell that its old cell takes part in: new_cell and weight. nearest: 1; bilinear: by distance of centres; area: the share of the old cell."""
-    sides = {"nearest": _near, "bilinear": _linear, "area": _overlap}
+def pairs(df: DataFrame, old: Grid, new: Grid, how: str = "bilinear", cell: str = "cell", sphere: bool = False, beyond: bool = False) -> DataFrame:
+    """df once for each new cell that its old cell takes part in: new_cell and weight. nearest: 1; bilinear: by distance of centres (beyond: also for
+    new centres less than half an old cell outside of the old grid); area: the share of the old cell."""
+    sides = {"nearest": _near, "bilinear": partial(_linear, beyond=beyond), "area": _overlap}
     if how not in sides:
         raise ValueError(f"how must be one of {', '.join(sides)}")
+    if beyond and how != "bilinear":
+        raise ValueError("beyond is for bilinear weights")
     f, known = sides[how], df.where((F.col(cell) >= 0) & (F.col(cell) < old.nx * old.ny))
     sine = {"measure": lambda a: F.sin(F.radians(a))} if how == "area" and sphere else {}
     rows = known.withColumns({"_i": F.explode(f(old.column(cell), old.x0, old.dx, old.nx, new.x0, new.dx, new.nx))})
@@ -95,17 +103,18 @@ def pairs(df: DataFrame, old: Grid, new: Grid, how: str = "bilinear", cell: str
     return rows.withColumns({"new_cell": F.col("_j.j") * new.nx + F.col("_i.j"), "weight": F.col("_i.w") * F.col("_j.w")}).drop("_i", "_j")
 
 
-def regrid(df: DataFrame, old: Grid, new: Grid, keys: list[str] = (), how: str = "bilinear", mass: bool = False, sphere: bool = False, cell: str = "cell", value: str = "value") -> DataFrame:
+def regrid(df: DataFrame, old: Grid, new: Grid, keys: list[str] = (), how: str = "bilinear", mass: bool = False, sphere: bool = False, cell: str = "cell", value: str = "value", beyond: bool = False) -> DataFrame:
     """cell (of the new grid), keys, value.
 
     Values are taken over (nearest), or averaged by weight over the old cells that have one: missing cells and the grid's edge leave the
     others' weights to make up the whole. mass: values are amounts of a cell; they go as densities and come back times the new area, and by overlap (how area) each is
-    shared out, so that what lies inside of the new grid keeps its sum. New cells that meet no value have no row.
+    shared out, so that what lies inside of the new grid keeps its sum. New cells that meet no value have no row. beyond (bilinear): new cells whose centre lies
+    outside of the old grid, but less than half an old cell, take their value from its edge.
     """
     rows = df.where(F.col(value).isNotNull())
     if mass and how != "area":
         rows = rows.withColumn(value, F.col(value) / old.area(cell, sphere))
-    rows = pairs(rows, old, new, how, cell, sphere)
+    rows = pairs(rows, old, new, how, cell, sphere, beyond)
     if how == "area" and not mass:  # by overlapping area
         rows = rows.withColumn("weight", F.col("weight") * old.area(cell, sphere))
     total = F.sum(F.col(value) * F.col("weight"))

@@ -3,10 +3,12 @@
 import math
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridrisk import plans
 from gridrisk.operators import coverage as K
 from gridrisk.operators import grid, rules
 from gridrisk.operators.grids import Grid, pairs, regrid
@@ -171,3 +173,30 @@ def test_weights_make_up_the_whole_inside(spark):
         Grid(0, 0, 0, 1, 1, 1)
     got = df.select(OLD.cell_of(OLD.column("cell") + 0.5, OLD.row("cell") * 0.5 + 10.1).alias("c"), "cell").where("c <> cell or c is null")
     assert got.isEmpty() and spark.range(1).select(OLD.cell_of(F.lit(-0.1), F.lit(11.0))).first()[0] is None
+
+
+@pytest.mark.parametrize(("old", "new"), [(OLD, Grid(-1.4, 8.7, 0.8, 0.3, 15, 30)), (NEW, Grid(-1.0, 9.0, 0.8, 0.3, 18, 40))])
+def test_bilinear_beyond_the_edge_by_plain_pairs(spark, old, new):
+    data = values(np.random.default_rng(5), old)
+    got = {r["cell"]: r["value"] for r in regrid(spark.createDataFrame(list(data.items()), "cell long, value double"), old, new, beyond=True).collect()}
+    want = {}
+    for n in range(new.nx * new.ny):
+        u, v = (new.x0 + (n % new.nx + 0.5) * new.dx - old.x0) / old.dx - 0.5, (new.y0 + (n // new.nx + 0.5) * new.dy - old.y0) / old.dy - 0.5
+        ws = [(x, w) for o, x in data.items() if (w := max(0.0, 1 - abs(u - o % old.nx)) * max(0.0, 1 - abs(v - o // old.nx))) > 1e-12]
+        if ws:
+            want[n] = sum(x * w for x, w in ws) / sum(w for _, w in ws)
+    assert got.keys() == want.keys() and all(got[n] == pytest.approx(want[n]) for n in want)
+    assert len(want) > len(plain(data, old, new, "bilinear"))
+    with pytest.raises(ValueError):
+        pairs(spark.range(1).withColumnRenamed("id", "cell"), old, new, "nearest", beyond=True)
+
+
+def test_bilinear_query_in_the_last_rows_of_the_suppliers_grid(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(s, h, float(rng.integers(1, 50))) for s in range(19950, 20020) for h in "ANR" if rng.random() > 0.2]
+    spark.createDataFrame(rows, "l_suppkey long, l_returnflag string, l_quantity double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    got = {(r["cell"], r["hazard"]): r["value"] for r in plans.queries()["r03_bilinear_grids"](spark, str(tmp_path)).collect()}
+    want = {(c, h): v for c, h, v in con.sql(f"SELECT cell, hazard, value FROM ({plans.oracle_sql()['r03_bilinear_grids']})").fetchall()}
+    assert max(c for c, _ in want) >= 4999 * 25 and got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
