@@ -1,4 +1,4 @@
-"""Guards: conditions that must hold before a result is used."""
+"""Guards: conditions that must hold before a result is used; and an audit that only counts."""
 
 from __future__ import annotations
 
@@ -44,3 +44,13 @@ def no_collision(df: DataFrame, new: list[str]) -> DataFrame:
 def all_present(wanted: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     _first(wanted.join(found, keys, "left_anti"), "missing inputs")
     return found
+
+
+def audit(df: DataFrame, by: list[str], keys: list[str], value: str, low: float) -> DataFrame:
+    """by, n_rows, n_null (no value), n_low (value below low), n_duplicate (rows that follow another of the same by and keys; null is a key like others).
+
+    Counted by whole key first: by has few groups, and a distinct count over them would hold every key once more.
+    """
+    count, v = F.count(F.lit(1)), F.col(value)
+    each = df.groupBy(*by, *(k for k in keys if k not in by)).agg(count.alias("n"), F.count(v).alias("valued"), F.count(F.when(v < low, 1)).alias("low"))
+    return each.groupBy(*by).agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - F.col("valued")).alias("n_null"), F.sum("low").alias("n_low"), F.sum(F.col("n") - 1).alias("n_duplicate"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +12,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def cells(spark: SparkSession, sf: str) -> DataFrame:
-    """cell, year, month, model, hazard, scenario, value."""
-    return (
-        table(spark, sf, "lineitem")
-        .groupBy(F.col("l_suppkey").alias("cell"), F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), F.col("l_linenumber").alias("model"), F.col("l_returnflag").alias("hazard"), F.col("l_linestatus").alias("scenario"))
-        .agg(F.sum("l_quantity").alias("value"))
-    )
+#: Rows that a task gets where it holds nearly every row once for each grouping: some 70 MB for each.
+ROWS_PER_TASK = 250_000
+
+
+def cells(spark: SparkSession, sf: str, rows_per_task: int | None = None) -> DataFrame:
+    """cell, year, month, model, hazard, scenario, value.
+
+    rows_per_task: rows go out by key before they are summed (nearly every one has a key of its own, so sums before the shuffle save nothing), about so
+    many to a task; what a task holds stays the same however large the table is.
+    """
+    t = table(spark, sf, "lineitem")
+    keys = {"cell": F.col("l_suppkey"), "year": F.year("l_shipdate"), "month": F.month("l_shipdate"), "model": F.col("l_linenumber"), "hazard": F.col("l_returnflag"), "scenario": F.col("l_linestatus")}
+    rows = t.select(*(c.alias(k) for k, c in keys.items()), "l_quantity")
+    if rows_per_task:
+        rows = rows.repartition(max(spark.sparkContext.defaultParallelism, math.ceil(t.count() / rows_per_task)), *keys)
+    return rows.groupBy(*keys).agg(F.sum("l_quantity").alias("value"))
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:

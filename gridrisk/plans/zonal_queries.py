@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridrisk.functions.scalars import cell_area_km2, nice_step, safe_ratio
 from gridrisk.operators import grid as R
 from gridrisk.operators import hazards as H
+from gridrisk.operators import quality
 from gridrisk.operators import season as S
 from gridrisk.operators import trend as T
 from gridrisk.operators import zonal as Z
@@ -173,8 +174,8 @@ def _(spark, sf):
 
 @query("s12_data_quality", "SELECT hazard, count(*) AS n_rows, count(*) - count(v) AS n_null, count(*) FILTER (v < 10) AS n_low, count(*) - count(DISTINCT (cell, year, month, model, scenario)) AS n_duplicate FROM (SELECT *, nullif(value, 50) AS v FROM cells) GROUP BY hazard", "cells")
 def _(spark, sf):
-    rows = X.cells(spark, sf).withColumn("v", F.nullif("value", F.lit(50.0)))
-    return rows.groupBy("hazard").agg(F.count(F.lit(1)).alias("n_rows"), (F.count(F.lit(1)) - F.count("v")).alias("n_null"), F.count(F.when(F.col("v") < 10, 1)).alias("n_low"), (F.count(F.lit(1)) - F.countDistinct("cell", "year", "month", "model", "scenario")).alias("n_duplicate"))
+    rows = X.cells(spark, sf, X.ROWS_PER_TASK).withColumn("v", F.nullif("value", F.lit(50.0)))
+    return quality.audit(rows, ["hazard"], ["cell", "year", "month", "model", "scenario"], "v", 10)
 
 
 @query("s11_completeness", "SELECT scenario, count(*) FILTER (hazard = 'A') AS n_A, count(*) FILTER (hazard = 'N') AS n_N, count(*) FILTER (hazard = 'R') AS n_R, count(DISTINCT year) AS n_years FROM cells GROUP BY scenario", "cells")

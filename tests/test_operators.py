@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridrisk import plans
 from gridrisk.functions import scalars as C
 from gridrisk.operators import economics, exposure, grid, hazards, quality, season, trend, zonal
+from gridrisk.plans import fixtures
 from gridrisk.sources import tables
 
 
@@ -165,6 +166,32 @@ def test_guards(spark):
             call()
 
 
+def test_audit_counts_nulls_low_values_and_duplicates(spark):
+    rows = [("a", 1, "x", 5.0), ("a", 1, "x", 50.0), ("a", 1, None, None), ("a", 1, None, 10.0), ("a", None, None, 9.0), ("b", 1, "x", None), (None, 1, "x", 1.0), (None, 1, "x", 1.0), (None, 1, "x", 1.0)]
+    df = spark.createDataFrame(rows, "g string, k int, l string, v double")
+    got = {r["g"]: tuple(r)[1:] for r in quality.audit(df, ["g"], ["g", "k", "l"], "v", 10).select("g", "n_rows", "n_null", "n_low", "n_duplicate").collect()}
+    assert got == {"a": (5, 1, 2, 2), "b": (1, 1, 0, 0), None: (3, 0, 3, 2)}
+
+
+def test_data_quality_query_with_null_keys(spark, tmp_path):
+    """A null in a key is a key of its own: such cells are no duplicates."""
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT * REPLACE (nullif(l_suppkey, 3) AS l_suppkey, CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE l_shipdate END AS l_shipdate, CASE WHEN l_orderkey % 70 = 0 THEN NULL ELSE l_quantity END AS l_quantity) FROM '{SMALL}/lineitem.parquet') TO '{tmp_path}/lineitem.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
+    cols = ["hazard", "n_rows", "n_null", "n_low", "n_duplicate"]
+    got = {tuple(r) for r in plans.queries()["s12_data_quality"](spark, str(tmp_path)).select(*cols).collect()}
+    assert got == set(con.sql(f"SELECT {', '.join(cols)} FROM ({plans.oracle_sql()['s12_data_quality']})").fetchall()) and len(got) == 3
+
+
+def test_cells_of_a_bounded_task(spark):
+    """More rows go to more tasks, not to larger ones; the cells are the same."""
+    n = fixtures.table(spark, SMALL, "lineitem").count()
+    dealt = fixtures.cells(spark, SMALL, 300)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == math.ceil(n / 300) and max(sizes) < 450
+    assert dealt.exceptAll(fixtures.cells(spark, SMALL)).isEmpty() and fixtures.cells(spark, SMALL).exceptAll(dealt).isEmpty()
+
+
 def test_points_in_rings(spark):
     cells = spark.createDataFrame([(1, 1.0, 1.0), (2, 4.0, 1.0), (3, 9.0, 9.0)], "cell int, x double, y double")
     zones = spark.createDataFrame([(7, [(0.0, 0.0), (3.0, 0.0), (0.0, 3.0)]), (8, [(3.5, 0.0), (8.0, 0.0), (8.0, 6.0), (3.5, 6.0)])], "zone_id int, ring array<struct<x:double,y:double>>")
